@@ -1,0 +1,33 @@
+"""Broadcast behind a check of the measured size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
+
+from ..session import checkpoint_dir
+
+BROADCAST_MAX_BYTES = 32 * 1024 * 1024
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Compute a side table once, measure it, and hint a broadcast only when it fits.
+
+    The table is written to the shared checkpoint folder, so it is not computed
+    again for the join and outlives lost executors. A larger table comes back
+    without a hint: Spark then joins by shuffle and splits hot keys (AQE).
+    """
+    checkpoint_dir(df.sparkSession)
+    table = df.checkpoint()
+    row_bytes = sum(
+        (
+            F.coalesce(F.octet_length(field.name), F.lit(0)) + 16
+            if isinstance(field.dataType, (StringType, BinaryType))
+            else F.lit(16)
+            for field in df.schema.fields
+        ),
+        F.lit(0),
+    )
+    size = table.agg(F.coalesce(F.sum(row_bytes), F.lit(0))).first()[0]
+    return F.broadcast(table) if size <= max_bytes else table
