@@ -69,6 +69,12 @@ def admit_ocpp(df: DataFrame, cap: Column | int = C.DEFAULT_MAX_CAPTURE_BYTES) -
     )
 
 
+def withhold(df: DataFrame, *columns: str) -> DataFrame:
+    """Empty the given columns of rejected rows, which redaction may not have reached."""
+    passed = F.col("drop_reason").isNull()
+    return df.withColumns({name: F.when(passed, F.col(name)) for name in columns})
+
+
 def admitted(df: DataFrame) -> DataFrame:
     return df.where(F.col("drop_reason").isNull()).drop("drop_reason")
 

@@ -115,4 +115,4 @@ def decode_ocpi(df: DataFrame) -> DataFrame:
 def decode_ocpp(df: DataFrame) -> DataFrame:
     """Records of OCPP batch bodies, their frames as text. Malformed bodies yield none."""
     records = _decode(df, schemas.OCPP_RECORD)
-    return records.withColumn("raw_frame", F.decode(F.unbase64("raw_frame"), "UTF-8"))
+    return records.withColumn("raw_frame", F.unbase64("raw_frame").cast("string"))

@@ -21,34 +21,33 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 _BUCKET, _BLOCK, _VALUE, _IS_ROW, _ORDER = "__bucket", "__block", "__value", "__is_row", "__order"
 
 
-def _before(keys: Sequence[str], order: str):
-    return (
-        Window.partitionBy(*keys)
-        .orderBy(_IS_ROW, order)
-        .rowsBetween(Window.unboundedPreceding, -1)
+def _before(keys: Sequence[str], *order: str) -> WindowSpec:
+    rows = Window.partitionBy(*keys).orderBy(*order)
+    return rows.rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _with_starts(rows: DataFrame, starts: DataFrame) -> DataFrame:
+    """Put the start values beside the rows; `__is_row` sorts them to the head."""
+    return rows.withColumn(_IS_ROW, F.lit(True)).unionByName(
+        starts.withColumn(_IS_ROW, F.lit(False)), allowMissingColumns=True
     )
 
 
 def _start_values(buckets: DataFrame, keys: list[str], fan_bits: int) -> DataFrame:
     """Per bucket: the total of all earlier buckets of its key."""
-    buckets = buckets.withColumn(_BLOCK, F.shiftright(_BUCKET, fan_bits)).withColumn(
-        _IS_ROW, F.lit(True)
-    )
-    blocks = buckets.groupBy(*keys, _BLOCK).agg(F.sum(_VALUE).alias(_VALUE), F.first(_IS_ROW).alias(_IS_ROW))
-    block_starts = blocks.select(
-        *keys,
-        _BLOCK,
-        F.lit(None).cast("bigint").alias(_BUCKET),
-        F.coalesce(F.sum(_VALUE).over(_before(keys, _BLOCK)), F.lit(0)).alias(_VALUE),
-        F.lit(False).alias(_IS_ROW),
-    )
+    buckets = buckets.withColumn(_BLOCK, F.shiftright(_BUCKET, fan_bits))
+    blocks = buckets.groupBy(*keys, _BLOCK).agg(F.sum(_VALUE).alias(_VALUE))
+    before_block = F.sum(_VALUE).over(_before(keys, _BLOCK))
+    starts = blocks.withColumn(_VALUE, F.coalesce(before_block, F.lit(0)))
+    before_bucket = F.sum(_VALUE).over(_before([*keys, _BLOCK], _IS_ROW, _BUCKET))
     return (
-        buckets.unionByName(block_starts)
-        .withColumn(_VALUE, F.sum(_VALUE).over(_before([*keys, _BLOCK], _BUCKET)))
+        _with_starts(buckets, starts)
+        .withColumn(_VALUE, before_bucket)
         .where(_IS_ROW)
         .select(*keys, _BUCKET, _VALUE)
     )
@@ -75,7 +74,6 @@ def running_total(
             _ORDER: order,
             _BUCKET: F.shiftright(order, bucket_bits),
             _VALUE: value.cast("bigint"),
-            _IS_ROW: F.lit(True),
         }
     )
     sums = rows.groupBy(*keys, _BUCKET).agg(F.sum(_VALUE).alias(_VALUE))
@@ -86,7 +84,7 @@ def running_total(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        rows.unionByName(starts.withColumn(_IS_ROW, F.lit(False)), allowMissingColumns=True)
+        _with_starts(rows, starts)
         .withColumn(out, F.sum(_VALUE).over(upto))
         .where(_IS_ROW)
         .select(*df.columns, out)
@@ -108,8 +106,3 @@ def with_position(
 def fifo(df: DataFrame, *keys: str) -> DataFrame:
     """Oldest to newest inside every partition; no global sort."""
     return df.sortWithinPartitions(*keys, "seq")
-
-
-def newest(df: DataFrame, n: int) -> DataFrame:
-    """The newest `n` rows of a single client."""
-    return df.orderBy(F.col("seq").desc()).limit(n)

@@ -8,41 +8,49 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from ..session import stage
 from .admission import add_reason
 from .ordering import with_position
-from .sizing import broadcast_if_small
+
+
+def _entered(df: DataFrame) -> DataFrame:
+    """Rejected messages never enter a buffer and take up no room in it."""
+    return df.where(F.col("drop_reason").isNull()) if "drop_reason" in df.columns else df
 
 
 def oldest_kept(df: DataFrame, capacity: Column | int, keys: Sequence[str]) -> DataFrame:
-    """Per full buffer: `__oldest`, the smallest `seq` that is still inside.
+    """Per full buffer: `oldest`, the smallest `seq` that is still inside.
 
     Works on the key columns alone, so no body is read or shuffled. There is
     one row per buffer that is full and none for the others.
     """
     size = capacity if isinstance(capacity, Column) else F.lit(capacity)
-    narrow = df.select(*keys, "seq", size.cast("bigint").alias("__capacity"))
-    ranked = with_position(narrow, keys, "__age", order=F.bitwise_not("seq"))
-    return ranked.where(F.col("__age") == F.col("__capacity") - 1).select(
-        *keys, F.col("seq").alias("__oldest")
-    )
+    narrow = _entered(df).select(*keys, "seq", size.cast("bigint").alias("__capacity"))
+    aged = with_position(narrow, keys, "__age", order=F.bitwise_not("seq"))
+    last_place = F.col("__age") == F.col("__capacity") - 1
+    return aged.where(last_place).select(*keys, F.col("seq").alias("oldest"))
 
 
 def mark_ring_overflow(
     df: DataFrame,
     capacity: Column | int = C.DEFAULT_BUFFER_CAPACITY,
     keys: Sequence[str] = ("client_id",),
+    limits: DataFrame | None = None,
 ) -> DataFrame:
     """Set `drop_reason` on admitted messages that newer ones pushed out.
 
-    Rejected messages never entered the buffer and take up no room in it.
+    `limits` is `oldest_kept` of the same input. By default it is computed here
+    and written to the shared folder, so that Spark knows its true size: it
+    broadcasts a small one, and no body is shuffled at all. A large one is
+    joined by sorting, and AQE splits a client that is too hot.
     """
-    entered = df.where(F.col("drop_reason").isNull()) if "drop_reason" in df.columns else df
-    limits = broadcast_if_small(oldest_kept(entered, capacity, keys))
-    limits = limits.select(*[F.col(key).alias(f"__{key}") for key in keys], "__oldest")
+    if limits is None:
+        limits = stage(oldest_kept(df, capacity, keys), "ring")
+    limits = limits.select(*[F.col(key).alias(f"__{key}") for key in keys], "oldest")
     same_buffer = [F.col(key).eqNullSafe(F.col(f"__{key}")) for key in keys]
     marked = df.join(limits, same_buffer, "left")
-    too_old = F.when(F.col("seq") < F.col("__oldest"), F.lit(C.RING_OVERFLOW))
-    return add_reason(marked, too_old).drop("__oldest", *[f"__{key}" for key in keys])
+    pushed_out = F.when(F.col("seq") < F.col("oldest"), F.lit(C.RING_OVERFLOW))
+    return add_reason(marked, pushed_out).drop("oldest", *[f"__{key}" for key in keys])
 
 
 def keep_newest(
@@ -53,3 +61,13 @@ def keep_newest(
     """Of each buffer the newest `capacity` messages."""
     marked = mark_ring_overflow(df, capacity, keys)
     return marked.where(F.col("drop_reason").isNull()).select(*df.columns)
+
+
+def newest(df: DataFrame, n: int) -> DataFrame:
+    """The newest `n` messages of a table that holds one client.
+
+    The smallest `seq` to keep is found first and becomes a plain filter, so
+    whole rows never meet in one task as they would in a sort with a limit.
+    """
+    oldest = oldest_kept(df, n, keys=()).select(F.min("oldest")).scalar()
+    return _entered(df).where(F.col("seq") >= F.coalesce(oldest, F.col("seq")))

@@ -12,15 +12,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..operators.admission import admit_ocpi, admit_ocpp, admitted, ocpp_events, rejected
+from ..operators.admission import admit_ocpi, admit_ocpp, admitted, ocpp_events, rejected, withhold
 from ..operators.batching import assemble_envelopes, with_chunk
 from ..operators.clients import with_config
 from ..operators.records import OCPI_FIELDS, OCPP_FIELDS, ocpi_records, ocpp_records
 from ..operators.redaction import Redactor, ocpi_redactor, ocpp_redactor
 from ..operators.ring import mark_ring_overflow
-from ..session import stage
 
 FIELDS = {C.OCPI: OCPI_FIELDS, C.OCPP: OCPP_FIELDS}
+_OCPI_CONTENT = ("request_headers", "response_headers", "request_body", "response_body")
 
 
 class Flushed(NamedTuple):
@@ -34,9 +34,10 @@ def prepare_ocpi(
     extra_headers: Iterable[str] | Column = (),
     redact: Redactor | None = None,
 ) -> DataFrame:
-    """Validate, then redact; rejected rows stay, with their reason."""
+    """Validate, then redact; rejected rows stay, with their reason and without their content."""
     redact = redact or ocpi_redactor(extra_headers)
-    return captures.transform(admit_ocpi, cap).transform(redact)
+    prepared = captures.transform(admit_ocpi, cap).transform(redact)
+    return prepared.transform(withhold, *_OCPI_CONTENT)
 
 
 def prepare_ocpp(
@@ -44,9 +45,10 @@ def prepare_ocpp(
     cap: Column | int = C.DEFAULT_MAX_CAPTURE_BYTES,
     redact: Redactor | None = None,
 ) -> DataFrame:
-    """Project, validate, then redact; rejected rows stay, with their reason."""
+    """Project, validate, then redact; rejected rows stay, with their reason and without their frame."""
     redact = redact or ocpp_redactor()
-    return events.transform(ocpp_events).transform(admit_ocpp, cap).transform(redact)
+    prepared = events.transform(ocpp_events).transform(admit_ocpp, cap).transform(redact)
+    return prepared.transform(withhold, "payload")
 
 
 def prepare_ocpi_per_client(captures: DataFrame, config: DataFrame) -> DataFrame:
@@ -68,15 +70,16 @@ def flush(
     protocol: str,
     capacity: Column | int | None = None,
     keys: Sequence[str] = ("client_id",),
+    limits: DataFrame | None = None,
 ) -> Flushed:
     """Cut the records; with a `capacity`, bound each buffer first.
 
-    The prepared rows are written once. Records and quarantine both read the
-    written table, and buffer limits are found from its key columns alone.
+    `prepared` is read more than once. Hand in a table that `stage` has written,
+    or a persisted micro-batch.
     """
-    held = stage(prepared, "prepared")
+    held = prepared
     if capacity is not None:
-        held = mark_ring_overflow(held, capacity, keys)
+        held = mark_ring_overflow(held, capacity, keys, limits)
     to_records = ocpi_records if protocol == C.OCPI else ocpp_records
     return Flushed(to_records(admitted(held)), rejected(held, protocol))
 
@@ -88,6 +91,10 @@ def batches(
     size: int = C.BATCH_CAP,
     compression: Column | str = C.DEFAULT_COMPRESSION,
 ) -> DataFrame:
-    """Cut records into ordered batches and write each as one body."""
-    chunked = with_chunk(stage(records, "records"), keys, size)
+    """Cut records into ordered batches, each written as one body.
+
+    `records` is read twice: its keys to number the rows, then whole. Hand in a
+    table that `stage` has written, or a persisted micro-batch.
+    """
+    chunked = with_chunk(records, keys, size)
     return assemble_envelopes(chunked, FIELDS[protocol], keys, compression)

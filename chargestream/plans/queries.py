@@ -90,7 +90,7 @@ def ocpp_source_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "ocpp-capture")
     _ocpp_events(spark, sf_dir).write.json(path)
     return captures.read_ocpp(spark, path, "json").select(
-        "seq", "client_id", "event_type", "charger_id", "direction", F.decode("payload", "UTF-8").alias("payload")
+        "seq", "client_id", "event_type", "charger_id", "direction", F.col("payload").cast("string").alias("payload")
     )
 
 
@@ -115,7 +115,7 @@ def direction_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def event_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ocpp_events(spark, sf_dir).select(
-        "seq", "event_type", "direction", F.decode("payload", "UTF-8").alias("payload")
+        "seq", "event_type", "direction", F.col("payload").cast("string").alias("payload")
     )
 
 
@@ -213,7 +213,7 @@ def credentials_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def masked_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     masked = testdata.ocpi_capture(spark, sf_dir).transform(redaction.mask_credentials)
-    texts = [F.decode(body, "UTF-8").alias(body) for body in ("request_body", "response_body")]
+    texts = [F.col(body).cast("string").alias(body) for body in ("request_body", "response_body")]
     return masked.select("seq", *texts, "drop_reason")
 
 
@@ -246,7 +246,7 @@ def ring_overflow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ring_newest_global(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ordering.newest(testdata.ocpp_capture(spark, sf_dir), RING_CAPACITY).select("client_id", "seq")
+    return ring.newest(testdata.ocpp_capture(spark, sf_dir), RING_CAPACITY).select("client_id", "seq")
 
 
 @query
@@ -271,13 +271,13 @@ def flush_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def envelope_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bodies = flush.batches(_ocpi_records(spark, sf_dir), C.OCPI)
+    bodies = flush.batches(stage(_ocpi_records(spark, sf_dir), "records"), C.OCPI)
     return bodies.withColumn("body", F.md5("body"))
 
 
 @query
 def ocpp_envelope_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bodies = flush.batches(_ocpp_records(spark, sf_dir), C.OCPP, compression="gzip")
+    bodies = flush.batches(stage(_ocpp_records(spark, sf_dir), "records"), C.OCPP, compression="gzip")
     return bodies.withColumn("body", F.md5("body"))
 
 
@@ -286,23 +286,23 @@ def content_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["client_id", "cycle"]
     day = F.to_timestamp("captured_at")
     rows = _ocpi_records(spark, sf_dir).withColumn("cycle", batching.flush_cycle(day, DAY))
-    return flush.batches(rows, C.OCPI, keys).select(
+    return flush.batches(stage(rows, "records"), C.OCPI, keys).select(
         "client_id", _epoch_second("cycle").alias("cycle"), "n_messages", "body_bytes", "route", "content_encoding"
     )
 
 
 @query
 def envelope_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bodies = flush.batches(_ocpi_records(spark, sf_dir), C.OCPI)
+    bodies = flush.batches(stage(_ocpi_records(spark, sf_dir), "records"), C.OCPI)
     decoded = batching.decode_ocpi(bodies.select("client_id", "body"))
-    texts = {name: F.decode(name, "UTF-8") for name in ("request_body", "response_body")}
+    texts = {name: F.col(name).cast("string") for name in ("request_body", "response_body")}
     return _with_header_text(decoded).withColumns(texts)
 
 
 @query
 def routed_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "envelopes")
-    sinks.write_envelopes(flush.batches(_ocpp_records(spark, sf_dir), C.OCPP), path)
+    sinks.write_envelopes(flush.batches(stage(_ocpp_records(spark, sf_dir), "records"), C.OCPP), path)
     return batching.decode_ocpp(sinks.read_envelopes(spark, path))
 
 

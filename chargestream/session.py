@@ -19,10 +19,22 @@ RUNTIME_CONF = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session."""
+# What one shuffle partition should hold at most.
+_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def configure(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
+    """Apply the runtime settings to an existing session.
+
+    `shuffle_bytes`, the size of the captures a large job works on, sets how
+    many partitions a shuffle starts with. AQE merges those that turn out small
+    but does not add any, so 100 TB need the number said up front.
+    """
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    if shuffle_bytes is not None:
+        partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), shuffle_bytes // _PARTITION_BYTES)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
     return spark
 
 

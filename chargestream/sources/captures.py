@@ -23,11 +23,11 @@ def stream(
     path: str,
     schema: StructType,
     fmt: str = "parquet",
-    max_bytes: str = "8g",
+    max_bytes: int = 1 << 30,
 ) -> DataFrame:
     """Files as they arrive. `max_bytes` bounds what one flush takes in."""
     reader = spark.readStream.schema(schema).format(fmt)
-    return reader.option("maxBytesPerTrigger", max_bytes).load(path)
+    return reader.option("maxBytesPerTrigger", str(max_bytes)).load(path)
 
 
 def stream_ocpi(spark: SparkSession, path: str, **options) -> DataFrame:

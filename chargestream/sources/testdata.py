@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .captures import stream
+
 OCPI_SQL = """
 SELECT o_orderkey AS seq,
   'gw-' || (o_custkey % 4) AS client_id,
@@ -171,7 +173,7 @@ def ocpp_capture_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same events as `ocpp_capture`, arriving as a stream."""
     schema = table(spark, sf_dir, "events").schema
     # A pattern matches a table that is one file as well as a folder of files.
-    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
+    events = stream(spark, f"{sf_dir}/events.parque[t]", schema)
     return _ocpp_columns(spark.sql(OCPP_SQL, events=events))
 
 

@@ -7,16 +7,29 @@ flushes. A flush that is run again replaces its own folders.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import ExitStack, contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import constants as C
+from ..operators.ring import oldest_kept
 from ..plans.flush import batches, flush
 from ..sources.sinks import write_envelopes, write_records, write_rejected
 
 
+@contextmanager
+def _kept(df: DataFrame) -> Iterator[DataFrame]:
+    """A part of a micro-batch that several writes read; what is lost is computed again."""
+    kept = df.persist()
+    kept.count()
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 def flush_into(
     path: str,
     prepare: Callable[[DataFrame], DataFrame],
@@ -32,12 +45,17 @@ def flush_into(
     """
 
     def run(captures: DataFrame, flush_id: int) -> None:
-        flushed = flush(prepare(captures), protocol, capacity, keys)
-        write_records(flushed.records, f"{path}/records/flush={flush_id}")
-        write_rejected(flushed.rejected, f"{path}/rejected/flush={flush_id}")
-        if envelopes:
-            bodies = batches(flushed.records, protocol, keys)
-            write_envelopes(bodies, f"{path}/envelopes/flush={flush_id}")
+        with ExitStack() as held:
+            prepared = held.enter_context(_kept(prepare(captures)))
+            limits = None
+            if capacity is not None:
+                limits = held.enter_context(_kept(oldest_kept(prepared, capacity, keys)))
+            flushed = flush(prepared, protocol, capacity, keys, limits)
+            write_records(flushed.records, f"{path}/records/flush={flush_id}")
+            write_rejected(flushed.rejected, f"{path}/rejected/flush={flush_id}")
+            if envelopes:
+                bodies = batches(flushed.records, protocol, keys)
+                write_envelopes(bodies, f"{path}/envelopes/flush={flush_id}")
 
     return run
 
