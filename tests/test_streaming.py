@@ -1,0 +1,175 @@
+"""Streams give what the batch operators give, over several micro-batches."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from chargestream import constants as C
+from chargestream import schemas
+from chargestream.operators import admission as A
+from chargestream.operators import batching as B
+from chargestream.operators import sessions as S
+from chargestream.plans.flush import flush, prepare_ocpi, prepare_ocpp
+from chargestream.sources import captures, sinks
+from chargestream.streaming import connections
+from chargestream.streaming import flush as sf
+
+
+@pytest.fixture
+def folder(tmp_path):
+    return str(tmp_path)
+
+
+def write_parts(df, path, parts):
+    """One file, and so one micro-batch, per slice of `seq`."""
+    count = df.count()
+    for part in range(parts):
+        piece = df.where((F.col("seq") * parts / count).cast("int") == part)
+        piece.coalesce(1).write.mode("append").parquet(path)
+
+
+def arriving(spark, path, schema, fmt="parquet"):
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).format(fmt).load(path)
+
+
+def sample_ocpi(ocpi, n):
+    return ocpi(
+        *[
+            {
+                "client_id": "hot" if at % 3 else "gw",
+                "platform_id": "" if at % 7 == 0 else "acme",
+                "url": "/credentials" if at % 5 == 0 else f"/cdrs/{at}",
+                "request_body": b'{"token":"S"}',
+                "request_headers": {"Cookie": "c", "accept": str(at)},
+            }
+            for at in range(n)
+        ]
+    )
+
+
+def sample_ocpp(ocpp, n):
+    return ocpp(
+        *[
+            {
+                "charger_id": " " if at % 11 == 0 else f"CP-{at % 3}",
+                "event_type": (2, 1, 2, 2, 0)[at % 5],
+                "payload": f"[{at}]".encode(),
+                "direction": "TO_CP",
+            }
+            for at in range(n)
+        ]
+    )
+
+
+def rows(df, *names):
+    return sorted(tuple(row) for row in df.select(*names).collect())
+
+
+def test_drain_equals_batch(spark, ocpi, folder):
+    batch = sample_ocpi(ocpi, 60)
+    write_parts(batch, f"{folder}/in", 3)
+    stream = arriving(spark, f"{folder}/in", schemas.OCPI_CAPTURE)
+    query = sf.start_flushing(stream, f"{folder}/out", prepare_ocpi, C.OCPI, interval=None, envelopes=True)
+    query.awaitTermination()
+
+    want = flush(prepare_ocpi(batch), C.OCPI)
+    names = ("seq", "client_id", "url", "request_body", "protocol")
+    got = sf.read_flushed(spark, f"{folder}/out")
+    assert rows(got, *names) == rows(want.records, *names)
+    assert got.select("flush").distinct().count() == 3
+    lost = sf.read_flushed(spark, f"{folder}/out", "rejected")
+    assert rows(lost, "seq", "drop_reason") == rows(want.rejected, "seq", "drop_reason")
+    bodies = sinks.read_envelopes(spark, f"{folder}/out/envelopes")
+    assert rows(B.decode_ocpi(bodies), "url") == rows(want.records, "url")
+
+
+def test_buffers_are_bounded_per_flush(spark, ocpi, folder):
+    write_parts(ocpi(*[{}] * 24), f"{folder}/in", 2)
+    stream = arriving(spark, f"{folder}/in", schemas.OCPI_CAPTURE)
+    sf.start_flushing(stream, f"{folder}/out", prepare_ocpi, C.OCPI, interval=None, capacity=5).awaitTermination()
+    kept = sorted(row.seq for row in sf.read_flushed(spark, f"{folder}/out").collect())
+    assert kept == [7, 8, 9, 10, 11, 19, 20, 21, 22, 23]
+    lost = sf.read_flushed(spark, f"{folder}/out", "rejected")
+    assert {row.drop_reason for row in lost.collect()} == {C.RING_OVERFLOW} and lost.count() == 14
+
+
+def test_a_flush_that_runs_again_replaces_itself(spark, ocpi, folder):
+    run = sf.flush_into(folder, prepare_ocpi, C.OCPI, capacity=None)
+    for _ in range(2):
+        run(sample_ocpi(ocpi, 20), 0)
+    assert sf.read_flushed(spark, folder).count() + sf.read_flushed(spark, folder, "rejected").count() == 20
+
+
+def test_forced_flush_and_close(spark, ocpi, folder):
+    write_parts(ocpi({}, {}), f"{folder}/in", 1)
+    stream = arriving(spark, f"{folder}/in", schemas.OCPI_CAPTURE)
+    query = sf.start_flushing(stream, f"{folder}/out", prepare_ocpi, C.OCPI, interval=0.1)
+    sf.force_flush(query)
+    assert sf.read_flushed(spark, f"{folder}/out").count() == 2
+    ocpi({}, {}).withColumn("seq", F.col("seq") + 2).write.mode("append").parquet(f"{folder}/in")
+    sf.close(query)
+    sf.close(query)
+    assert not query.isActive
+    assert sorted(row.seq for row in sf.read_flushed(spark, f"{folder}/out").collect()) == [0, 1, 2, 3]
+
+
+def test_a_restarted_stream_goes_on_where_it_was(spark, ocpi, folder):
+    for first in (0, 2):
+        ocpi({}, {}).withColumn("seq", F.col("seq") + first).write.mode("append").parquet(f"{folder}/in")
+        stream = arriving(spark, f"{folder}/in", schemas.OCPI_CAPTURE)
+        sf.start_flushing(stream, f"{folder}/out", prepare_ocpi, C.OCPI, interval=None).awaitTermination()
+    assert sorted(row.seq for row in sf.read_flushed(spark, f"{folder}/out").collect()) == [0, 1, 2, 3]
+
+
+def test_connection_ids_equal_the_batch_ids(spark, ocpp, folder):
+    batch = sample_ocpp(ocpp, 90).drop("connection_id")
+    write_parts(batch, f"{folder}/in", 4)
+    stream = arriving(spark, f"{folder}/in", batch.schema)
+    numbered = connections.assign_connections(stream)
+    sf.start_flushing(numbered, f"{folder}/out", prepare_ocpp, C.OCPP, interval=None).awaitTermination()
+
+    names = ("seq", "charger_id", "connection_id", "event_type", "raw_frame")
+    events = batch.transform(S.assign_connections)
+    want = flush(prepare_ocpp(events), C.OCPP)
+
+    def plain(df):
+        return sorted(map(repr, rows(df.fillna("", ["connection_id", "raw_frame"]), *names)))
+
+    got = sf.read_flushed(spark, f"{folder}/out")
+    assert plain(got) == plain(want.records)
+    assert got.select("flush").distinct().count() == 4
+    lost = sf.read_flushed(spark, f"{folder}/out", "rejected")
+    assert rows(lost, "seq", "drop_reason") == rows(want.rejected, "seq", "drop_reason")
+
+
+def test_late_events_get_the_current_connection(spark, ocpp, folder):
+    kinds = {0: C.CONNECT, 5: C.CONNECT, 3: C.MESSAGE}
+    for seq, kind in kinds.items():
+        part = ocpp({"seq": seq, "event_type": kind}).drop("connection_id")
+        part.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = arriving(spark, f"{folder}/in", part.schema)
+    out = connections.with_connection_ordinal(stream).writeStream.option("checkpointLocation", f"{folder}/progress")
+    out.trigger(availableNow=True).format("parquet").start(f"{folder}/out").awaitTermination()
+    got = {row.seq: row.ordinal for row in spark.read.parquet(f"{folder}/out").collect()}
+    assert got == {0: 1, 5: 2, 3: 2}
+
+
+def test_sources_read_what_was_written(spark, ocpi, ocpp, folder):
+    exchange, event = sample_ocpi(ocpi, 8), sample_ocpp(ocpp, 8)
+    for fmt in ("parquet", "json"):
+        exchange.write.format(fmt).save(f"{folder}/ocpi-{fmt}")
+        event.write.format(fmt).save(f"{folder}/ocpp-{fmt}")
+        assert sorted(captures.read_ocpi(spark, f"{folder}/ocpi-{fmt}", fmt).collect(), key=lambda r: r.seq) == exchange.collect()
+        assert sorted(captures.read_ocpp(spark, f"{folder}/ocpp-{fmt}", fmt).collect(), key=lambda r: r.seq) == event.collect()
+        assert captures.stream_ocpi(spark, f"{folder}/ocpi-{fmt}", fmt=fmt).isStreaming
+        assert captures.stream_ocpp(spark, f"{folder}/ocpp-{fmt}", fmt=fmt).isStreaming
+
+
+def test_a_streamed_union_of_directions(spark, ocpi, folder):
+    for side in ("in", "out"):
+        ocpi({"url": f"/{side}"}).drop("direction").write.parquet(f"{folder}/{side}")
+    sides = [captures.stream_ocpi(spark, f"{folder}/{side}").drop("direction") for side in ("in", "out")]
+    query = sf.start_flushing(A.stamp_direction(*sides), f"{folder}/sink", prepare_ocpi, C.OCPI, interval=None)
+    query.awaitTermination()
+    assert rows(sf.read_flushed(spark, f"{folder}/sink"), "url", "direction") == [("/in", "IN"), ("/out", "OUT")]
