@@ -36,9 +36,11 @@ def within_cap(body: str, cap: Column | int) -> Column:
     return body_size(F.col(body)) <= (cap if isinstance(cap, Column) else F.lit(cap))
 
 
-def frame_complete() -> Column:
-    """A frame needs bytes (they may be empty) and a direction."""
-    return F.col("payload").isNotNull() & F.col("direction").isNotNull()
+def complete() -> Column:
+    """A frame needs bytes (they may be empty) and a direction; any event needs a known kind."""
+    frame = F.col("payload").isNotNull() & F.col("direction").isNotNull()
+    kind = F.col("event_type")
+    return F.coalesce(kind.isin(C.DISCONNECT, C.CONNECT) | ((kind == C.MESSAGE) & frame), F.lit(False))
 
 
 def add_reason(df: DataFrame, reason: Column) -> DataFrame:
@@ -63,7 +65,7 @@ def admit_ocpp(df: DataFrame, cap: Column | int = C.DEFAULT_MAX_CAPTURE_BYTES) -
     is_frame = F.col("event_type") == C.MESSAGE
     return add_reason(
         df,
-        F.when(is_frame & ~frame_complete(), F.lit(C.INCOMPLETE_FRAME))
+        F.when(~complete(), F.lit(C.INCOMPLETE_FRAME))
         .when(~charger_identity(), F.lit(C.INVALID_IDENTITY))
         .when(is_frame & ~within_cap("payload", cap), F.lit(C.FRAME_OVERSIZE)),
     )

@@ -80,8 +80,8 @@ def with_config(captures: DataFrame, config: DataFrame) -> DataFrame:
     """Put each message beside its client's limits, as the struct `config`.
 
     Messages of inert or unknown clients get the reason they are lost. No hint:
-    Spark broadcasts the configuration when it is small enough by its own
-    estimate, and otherwise sorts, splitting a client that is too hot.
+    Spark broadcasts the configuration when its table is small, and otherwise
+    sorts, where AQE splits a client that is too hot.
     """
     resolved = resolve_config(config).where("active").drop("active", "endpoint", "debug")
     limits = resolved.select("client_id", F.struct(*resolved.columns[1:]).alias("config"))

@@ -23,9 +23,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
+BUCKET_BITS = 14
+
 _BUCKET, _BLOCK, _VALUE, _IS_ROW, _ORDER = "__bucket", "__block", "__value", "__is_row", "__order"
 
 
+def bucket_of(order: Column, bucket_bits: int = BUCKET_BITS) -> Column:
+    """The bucket a value of the order column falls into."""
+    return F.shiftright(order, bucket_bits)
+
+
 def _before(keys: Sequence[str], *order: str) -> WindowSpec:
     rows = Window.partitionBy(*keys).orderBy(*order)
     return rows.rowsBetween(Window.unboundedPreceding, -1)
@@ -38,18 +45,29 @@ def _with_starts(rows: DataFrame, starts: DataFrame) -> DataFrame:
     )
 
 
-def _start_values(buckets: DataFrame, keys: list[str], fan_bits: int) -> DataFrame:
-    """Per bucket: the total of all earlier buckets of its key."""
-    buckets = buckets.withColumn(_BLOCK, F.shiftright(_BUCKET, fan_bits))
-    blocks = buckets.groupBy(*keys, _BLOCK).agg(F.sum(_VALUE).alias(_VALUE))
-    before_block = F.sum(_VALUE).over(_before(keys, _BLOCK))
-    starts = blocks.withColumn(_VALUE, F.coalesce(before_block, F.lit(0)))
-    before_bucket = F.sum(_VALUE).over(_before([*keys, _BLOCK], _IS_ROW, _BUCKET))
+def total_before(
+    buckets: DataFrame,
+    keys: Sequence[str],
+    bucket: str,
+    value: str,
+    out: str,
+    bucket_bits: int = BUCKET_BITS,
+) -> DataFrame:
+    """Add `out`: the sum of `value` over all earlier buckets of the same keys.
+
+    `buckets` has one row per key and bucket.
+    """
+    keys = list(keys)
+    spread = buckets.withColumn(_BLOCK, F.shiftright(bucket, math.ceil((64 - bucket_bits) / 2)))
+    blocks = spread.groupBy(*keys, _BLOCK).agg(F.sum(value).alias(value))
+    before_block = F.sum(value).over(_before(keys, _BLOCK))
+    starts = blocks.withColumn(value, F.coalesce(before_block, F.lit(0)))
+    before_bucket = F.sum(value).over(_before([*keys, _BLOCK], _IS_ROW, bucket))
     return (
-        _with_starts(buckets, starts)
-        .withColumn(_VALUE, before_bucket)
+        _with_starts(spread, starts)
+        .withColumn(out, before_bucket)
         .where(_IS_ROW)
-        .select(*keys, _BUCKET, _VALUE)
+        .select(*buckets.columns, out)
     )
 
 
@@ -59,7 +77,7 @@ def running_total(
     value: Column,
     out: str,
     order: Column | None = None,
-    bucket_bits: int = 14,
+    bucket_bits: int = BUCKET_BITS,
 ) -> DataFrame:
     """Add `out`: the sum of `value` over the rows of the same keys up to and including this one.
 
@@ -70,14 +88,11 @@ def running_total(
     keys = list(keys)
     order = F.col("seq") if order is None else order
     rows = df.withColumns(
-        {
-            _ORDER: order,
-            _BUCKET: F.shiftright(order, bucket_bits),
-            _VALUE: value.cast("bigint"),
-        }
+        {_ORDER: order, _BUCKET: bucket_of(order, bucket_bits), _VALUE: value.cast("bigint")}
     )
     sums = rows.groupBy(*keys, _BUCKET).agg(F.sum(_VALUE).alias(_VALUE))
-    starts = _start_values(sums, keys, math.ceil((64 - bucket_bits) / 2))
+    starts = total_before(sums, keys, _BUCKET, _VALUE, "__start", bucket_bits)
+    starts = starts.select(*keys, _BUCKET, F.col("__start").alias(_VALUE))
     upto = (
         Window.partitionBy(*keys, _BUCKET)
         .orderBy(_IS_ROW, _ORDER)
@@ -96,7 +111,7 @@ def with_position(
     keys: Sequence[str],
     out: str = "position",
     order: Column | None = None,
-    bucket_bits: int = 14,
+    bucket_bits: int = BUCKET_BITS,
 ) -> DataFrame:
     """Add `out`: 0 for the first row of its keys, 1 for the next, and so on."""
     ranked = running_total(df, keys, F.lit(1), out, order, bucket_bits)

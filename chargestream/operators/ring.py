@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..session import stage
 from .admission import add_reason
-from .ordering import with_position
+from .ordering import bucket_of, total_before
+
+Hold = Callable[[DataFrame], DataFrame]
+
+
+def _written(table: DataFrame) -> DataFrame:
+    return stage(table, "ring")
 
 
 def _entered(df: DataFrame) -> DataFrame:
@@ -18,39 +24,64 @@ def _entered(df: DataFrame) -> DataFrame:
     return df.where(F.col("drop_reason").isNull()) if "drop_reason" in df.columns else df
 
 
-def oldest_kept(df: DataFrame, capacity: Column | int, keys: Sequence[str]) -> DataFrame:
+def _join(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on keys that may be null; the side's key columns are dropped."""
+    side = side.withColumnsRenamed({key: f"__{key}" for key in keys})
+    same = [F.col(key).eqNullSafe(F.col(f"__{key}")) for key in keys]
+    return df.join(side, same, how).drop(*[f"__{key}" for key in keys])
+
+
+def oldest_kept(
+    df: DataFrame, capacity: Column | int, keys: Sequence[str], hold: Hold = _written
+) -> DataFrame:
     """Per full buffer: `oldest`, the smallest `seq` that is still inside.
 
-    Works on the key columns alone, so no body is read or shuffled. There is
-    one row per buffer that is full and none for the others.
+    There is one row per full buffer and none for the others. Only the key
+    columns are read: first as counts per bucket of `seq`, newest bucket first,
+    which tell the one bucket where a buffer runs full; then the rows of that
+    bucket, of which there are at most 2**14. No row outside it is shuffled.
+
+    `hold` materialises a small intermediate table, so that Spark joins it by
+    its true size: a small one is broadcast, a large one joined by sorting.
     """
-    size = capacity if isinstance(capacity, Column) else F.lit(capacity)
-    narrow = _entered(df).select(*keys, "seq", size.cast("bigint").alias("__capacity"))
-    aged = with_position(narrow, keys, "__age", order=F.bitwise_not("seq"))
-    last_place = F.col("__age") == F.col("__capacity") - 1
-    return aged.where(last_place).select(*keys, F.col("seq").alias("oldest"))
+    keys = list(keys)
+    size = (capacity if isinstance(capacity, Column) else F.lit(capacity)).cast("bigint")
+    newest_first = F.bitwise_not("seq")
+    rows = _entered(df).select(
+        *keys, "seq", size.alias("__size"), bucket_of(newest_first).alias("__slice")
+    )
+    slices = rows.groupBy(*keys, "__slice").agg(
+        F.count(F.lit(1)).alias("__n"), F.max("__size").alias("__room")
+    )
+    counted = total_before(slices, keys, "__slice", "__n", "__before")
+    before = F.coalesce("__before", F.lit(0))
+    runs_full = (before < F.col("__room")) & (before + F.col("__n") >= F.col("__room"))
+    left = F.col("__room") - before
+    edges = hold(counted.where(runs_full).select(*keys, "__slice", left.alias("__left")))
+    at_edge = _join(rows.drop("__size"), edges, [*keys, "__slice"], "inner")
+    place = F.row_number().over(Window.partitionBy(*keys, "__slice").orderBy(F.col("seq").desc()))
+    placed = at_edge.withColumn("__place", place)
+    return placed.where(F.col("__place") == F.col("__left")).select(
+        *keys, F.col("seq").alias("oldest")
+    )
 
 
 def mark_ring_overflow(
     df: DataFrame,
     capacity: Column | int = C.DEFAULT_BUFFER_CAPACITY,
     keys: Sequence[str] = ("client_id",),
-    limits: DataFrame | None = None,
+    hold: Hold = _written,
 ) -> DataFrame:
     """Set `drop_reason` on admitted messages that newer ones pushed out.
 
-    `limits` is `oldest_kept` of the same input. By default it is computed here
-    and written to the shared folder, so that Spark knows its true size: it
-    broadcasts a small one, and no body is shuffled at all. A large one is
-    joined by sorting, and AQE splits a client that is too hot.
+    The limits are one row per full buffer. Small ones are broadcast, and no
+    body is shuffled at all; large ones are joined by sorting, where AQE splits
+    a client that is too hot.
     """
-    if limits is None:
-        limits = stage(oldest_kept(df, capacity, keys), "ring")
-    limits = limits.select(*[F.col(key).alias(f"__{key}") for key in keys], "oldest")
-    same_buffer = [F.col(key).eqNullSafe(F.col(f"__{key}")) for key in keys]
-    marked = df.join(limits, same_buffer, "left")
+    limits = hold(oldest_kept(df, capacity, keys, hold))
+    marked = _join(df, limits, keys, "left")
     pushed_out = F.when(F.col("seq") < F.col("oldest"), F.lit(C.RING_OVERFLOW))
-    return add_reason(marked, pushed_out).drop("oldest", *[f"__{key}" for key in keys])
+    return add_reason(marked, pushed_out).drop("oldest")
 
 
 def keep_newest(

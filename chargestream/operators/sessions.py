@@ -56,8 +56,9 @@ def assign_connections(df: DataFrame) -> DataFrame:
 def with_identity(frames: DataFrame, connections: DataFrame) -> DataFrame:
     """Frames of a session carry neither charger nor tenant; its connection supplies them.
 
-    No hint: Spark broadcasts the connections when they are small enough by its
-    own estimate, and otherwise sorts, splitting a connection that is too hot.
+    No hint: Spark broadcasts the connections when their table is small, and
+    otherwise sorts, where AQE splits a connection that is too hot. For both,
+    `connections` has to be a table, or one that `stage` has written.
     """
     return frames.join(connections, "connection_id")
 

@@ -17,7 +17,7 @@ from ..operators.batching import assemble_envelopes, with_chunk
 from ..operators.clients import with_config
 from ..operators.records import OCPI_FIELDS, OCPP_FIELDS, ocpi_records, ocpp_records
 from ..operators.redaction import Redactor, ocpi_redactor, ocpp_redactor
-from ..operators.ring import mark_ring_overflow
+from ..operators.ring import Hold, mark_ring_overflow
 
 FIELDS = {C.OCPI: OCPI_FIELDS, C.OCPP: OCPP_FIELDS}
 _OCPI_CONTENT = ("request_headers", "response_headers", "request_body", "response_body")
@@ -70,7 +70,7 @@ def flush(
     protocol: str,
     capacity: Column | int | None = None,
     keys: Sequence[str] = ("client_id",),
-    limits: DataFrame | None = None,
+    hold: Hold | None = None,
 ) -> Flushed:
     """Cut the records; with a `capacity`, bound each buffer first.
 
@@ -79,7 +79,8 @@ def flush(
     """
     held = prepared
     if capacity is not None:
-        held = mark_ring_overflow(held, capacity, keys, limits)
+        options = {} if hold is None else {"hold": hold}
+        held = mark_ring_overflow(held, capacity, keys, **options)
     to_records = ocpi_records if protocol == C.OCPI else ocpp_records
     return Flushed(to_records(admitted(held)), rejected(held, protocol))
 

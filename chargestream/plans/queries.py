@@ -64,6 +64,11 @@ def _ocpp_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.transform(redaction.ocpp_redactor()).transform(records.ocpp_records)
 
 
+def _session(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    known = stage(testdata.connections(spark, sf_dir), "connections")
+    return testdata.session_frames(spark, sf_dir), known
+
+
 def _epoch_second(ts: str) -> Column:
     return F.unix_seconds(ts)
 
@@ -321,7 +326,7 @@ def record_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def session_identity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frames, known = testdata.session_frames(spark, sf_dir), testdata.connections(spark, sf_dir)
+    frames, known = _session(spark, sf_dir)
     return sessions.with_identity(frames, known).select(
         "connection_id", "seq", "charger_id", "tenant_id", "tenant_name", "direction"
     )
@@ -329,7 +334,7 @@ def session_identity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def session_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frames, known = testdata.session_frames(spark, sf_dir), testdata.connections(spark, sf_dir)
+    frames, known = _session(spark, sf_dir)
     events = sessions.session_events(frames, known).transform(admission.admit_ocpp, DOCUMENT_CAP)
     return events.select(
         "connection_id",

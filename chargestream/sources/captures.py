@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .. import constants as C
 from .. import schemas
 
 
@@ -38,16 +40,29 @@ def stream_ocpp(spark: SparkSession, path: str, **options) -> DataFrame:
     return stream(spark, path, schemas.OCPP_CAPTURE, **options)
 
 
+def parse_messages(df: DataFrame, schema: StructType) -> DataFrame:
+    """Captures from JSON messages in a `value` column; bodies are base64 text."""
+    message = F.from_json(F.col("value").cast("string"), schema)
+    return df.select(message.alias("capture")).select("capture.*")
+
+
 def stream_kafka(
-    spark: SparkSession, options: dict[str, str], min_messages: int = 1000, max_delay: str = "5s"
+    spark: SparkSession,
+    options: dict[str, str],
+    schema: StructType,
+    max_messages: int = 1_000_000,
+    max_delay: str = "5s",
 ) -> DataFrame:
-    """A Kafka topic, flushed on count or delay. Needs Spark's Kafka package on the class path.
+    """A Kafka topic of JSON captures, flushed on count or delay.
 
-    `options` carries the servers, the topic and a `maxOffsetsPerTrigger`.
+    Needs Spark's Kafka package on the class path. `options` names servers and
+    topic; `max_messages` bounds what one flush takes in.
     """
     reader = spark.readStream.format("kafka").options(**options)
-    return (
-        reader.option("minOffsetsPerTrigger", str(min_messages))
+    topic = (
+        reader.option("minOffsetsPerTrigger", str(C.BATCH_CAP))
         .option("maxTriggerDelay", max_delay)
+        .option("maxOffsetsPerTrigger", str(max_messages))
         .load()
     )
+    return parse_messages(topic, schema)

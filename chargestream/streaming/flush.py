@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import constants as C
-from ..operators.ring import oldest_kept
 from ..plans.flush import batches, flush
 from ..sources.sinks import write_envelopes, write_records, write_rejected
 
@@ -46,11 +45,10 @@ def flush_into(
 
     def run(captures: DataFrame, flush_id: int) -> None:
         with ExitStack() as held:
-            prepared = held.enter_context(_kept(prepare(captures)))
-            limits = None
-            if capacity is not None:
-                limits = held.enter_context(_kept(oldest_kept(prepared, capacity, keys)))
-            flushed = flush(prepared, protocol, capacity, keys, limits)
+            def hold(part: DataFrame) -> DataFrame:
+                return held.enter_context(_kept(part))
+
+            flushed = flush(hold(prepare(captures)), protocol, capacity, keys, hold)
             write_records(flushed.records, f"{path}/records/flush={flush_id}")
             write_rejected(flushed.rejected, f"{path}/rejected/flush={flush_id}")
             if envelopes:

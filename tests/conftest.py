@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chargestream import schemas
@@ -77,6 +78,35 @@ def config(spark):
     return build
 
 
+@pytest.fixture
+def skewed(spark) -> DataFrame:
+    """Rows of which two thirds share one `key`."""
+    ids = spark.range(0, 60_000, 1, 8).select(F.col("id").alias("seq"))
+    key = F.when(F.col("seq") % 3 == 0, F.concat(F.lit("k"), F.col("seq") % 500)).otherwise("hot")
+    return ids.select("seq", key.alias("key"), F.sha2(F.col("seq").cast("string"), 256).alias("text"))
+
+
+@pytest.fixture
+def assert_skew_is_split(spark):
+    """With broadcasts off, the join must still not put a hot key into one task."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+    }
+
+    def check(joined: DataFrame, rows: int) -> None:
+        assert len(joined.collect()) == rows
+        assert "SortMergeJoin(skew=true)" in joined._jdf.queryExecution().executedPlan().toString()
+
+    for name, value in conf.items():
+        spark.conf.set(name, value)
+    yield check
+    for name in conf:
+        spark.conf.unset(name)
+
+
 def by_seq(df: DataFrame) -> list[Row]:
     return df.orderBy("seq").collect()
 

@@ -137,6 +137,8 @@ def test_event_codes_and_projection(ocpp):
     assert [row.event_type for row in rows] == [1, 2, 0, None]
     assert [row.payload for row in rows] == [None, b"f", None, None]
     assert [row.direction for row in rows] == [None, "TO_CP", None, None]
+    reasons = column(df.withColumn("event_name", mapping).transform(A.ocpp_events).transform(A.admit_ocpp), "drop_reason")
+    assert reasons == [None, None, None, C.INCOMPLETE_FRAME]
 
 
 def test_text_frames_become_bytes(ocpp):

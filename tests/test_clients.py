@@ -6,9 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from chargestream import constants as C
+from chargestream import schemas
 from chargestream.operators import clients as K
 from chargestream.operators.ring import mark_ring_overflow
 from chargestream.plans.flush import prepare_ocpi_per_client, prepare_ocpp_per_client
+from chargestream.session import stage
 
 from .conftest import by_seq, column
 
@@ -103,6 +105,16 @@ def test_each_client_gets_its_own_limits(config, ocpi):
     assert rows[3].request_headers == {"accept": "*"}
 
 
+def test_a_hot_client_is_split_when_the_configuration_is_large(spark, skewed, assert_skew_is_split):
+    captures = skewed.withColumnRenamed("key", "client_id")
+    columns = [F.lit(None).cast(field.dataType).alias(field.name) for field in schemas.CLIENT_CONFIG.fields[1:]]
+    clients = captures.select("client_id").distinct().select("client_id", *columns)
+    clients = clients.withColumns({"endpoint": F.lit("https://x.example.com"), "has_api_key": F.lit(True)})
+    table = stage(clients, "config")
+    for joined in (K.with_config(captures, table), K.exclude_inert(captures, table)):
+        assert_skew_is_split(joined, skewed.count())
+
+
 def test_frame_cap_per_client(config, ocpp):
     df = config({"client_id": "csms", "max_capture_bytes": 2})
     events = ocpp(*[{"payload": body, "direction": "TO_CP"} for body in (b"12", b"123")])

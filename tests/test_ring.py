@@ -72,6 +72,11 @@ def test_small_limits_are_broadcast_and_bodies_stay_where_they_are(spark, ocpi):
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
+def test_a_hot_client_is_split_when_the_limits_are_large(skewed, assert_skew_is_split):
+    df = skewed.withColumnRenamed("key", "client_id")
+    assert_skew_is_split(df.transform(ring.mark_ring_overflow, 5), skewed.count())
+
+
 def test_large_limits_are_joined_without_broadcast(spark, ocpi):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from chargestream import constants as C
 from chargestream.operators import admission as A
 from chargestream.operators import sessions as S
+from chargestream.session import stage
 
 from .conftest import by_seq, column
 
@@ -86,3 +87,10 @@ def test_events_of_an_invalid_identity_are_all_rejected(spark):
     sent = frames(spark, (1, "c1", "TO_CP", bytearray(b"f")), (2, "c2", "TO_CP", bytearray(b"f")))
     rows = S.session_events(sent, known).transform(A.admit_ocpp).collect()
     assert [row.drop_reason for row in rows] == [C.INVALID_IDENTITY] * 6
+
+
+def test_a_hot_connection_is_split_when_its_table_is_large(skewed, assert_skew_is_split):
+    """Without a broadcast, AQE splits the partition that one connection fills."""
+    sent = skewed.withColumnRenamed("key", "connection_id")
+    known = stage(sent.select("connection_id").distinct().withColumn("charger_id", F.lit("CP")), "connections")
+    assert_skew_is_split(S.with_identity(sent, known), skewed.count())

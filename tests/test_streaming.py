@@ -173,3 +173,11 @@ def test_a_streamed_union_of_directions(spark, ocpi, folder):
     query = sf.start_flushing(A.stamp_direction(*sides), f"{folder}/sink", prepare_ocpi, C.OCPI, interval=None)
     query.awaitTermination()
     assert rows(sf.read_flushed(spark, f"{folder}/sink"), "url", "direction") == [("/in", "IN"), ("/out", "OUT")]
+
+
+def test_messages_are_parsed_from_json(spark, ocpi):
+    exchange = sample_ocpi(ocpi, 5)
+    topic = exchange.select(F.to_json(F.struct("*")).cast("binary").alias("value"))
+    parsed = captures.parse_messages(topic, schemas.OCPI_CAPTURE)
+    assert parsed.schema == exchange.schema
+    assert sorted(parsed.collect(), key=lambda row: row.seq) == exchange.collect()
