@@ -21,7 +21,7 @@ _JSON_OPTIONS = {"ignoreNullFields": "false", "writeNonAsciiCharacterAsCodePoint
 def flush_cycle(ts: Column, interval: Column | float = C.DEFAULT_FLUSH_INTERVAL) -> Column:
     """Start of the flush cycle a message belongs to; cycles are aligned to the epoch."""
     seconds = interval if isinstance(interval, Column) else F.lit(float(interval))
-    length = F.greatest(F.round(seconds * 1_000_000).cast("bigint"), F.lit(1))
+    length = F.greatest(F.round(F.least(seconds * 1_000_000, F.lit(9e18))).cast("bigint"), F.lit(1))
     micros = F.unix_micros(ts.cast("timestamp"))
     return F.timestamp_micros(micros - F.pmod(micros, length))
 

@@ -139,10 +139,11 @@ def test_chunks_of_several_clients_and_cycles(spark):
 
 def test_cycles_are_aligned_to_the_epoch(spark):
     df = spark.createDataFrame(
-        [(0, 4.999999, 5.0), (1, 5.0, 5.0), (2, -0.5, 5.0), (3, 7.25, 0.001)], "i INT, t DOUBLE, step DOUBLE"
+        [(0, 4.999999, 5.0), (1, 5.0, 5.0), (2, -0.5, 5.0), (3, 7.25, 0.001), (4, 7.0, float("inf"))],
+        "i INT, t DOUBLE, step DOUBLE",
     ).withColumn("ts", F.timestamp_micros(F.round(F.col("t") * 1_000_000).cast("bigint")))
     found = df.select("i", F.unix_micros(B.flush_cycle(F.col("ts"), F.col("step"))).alias("start"))
-    assert [row.start for row in found.orderBy("i").collect()] == [0, 5_000_000, -5_000_000, 7_250_000]
+    assert [row.start for row in found.orderBy("i").collect()] == [0, 5_000_000, -5_000_000, 7_250_000, 0]
 
 
 def test_small_bodies_are_sent_as_they_are(spark):
