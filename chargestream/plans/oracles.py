@@ -102,7 +102,7 @@ attempt AS ({_sql(testdata.ATTEMPTS_SQL)}),
 attempt_step AS (
   SELECT *, coalesce(status, 0) AS code, coalesce(status IN (200, 400, 401, 413), false) AS decisive FROM attempt WHERE attempt < 5),
 settled AS (
-  SELECT batch_id, protocol, n_messages, attempt + 1 AS attempts, code AS final_status, decisive
+  SELECT batch_id, protocol, n_messages, (attempt + 1)::INTEGER AS attempts, code AS final_status, decisive
   FROM attempt_step
   QUALIFY row_number() OVER (PARTITION BY batch_id ORDER BY decisive DESC, CASE WHEN decisive THEN attempt ELSE -attempt END) = 1),
 outcome AS (

@@ -87,18 +87,18 @@ WHERE rn <= 5
 """
 
 CONFIG_SQL = """
-SELECT 'gw-' || n_nationkey AS client_id,
-  CASE n_nationkey % 5 WHEN 3 THEN 'ftp://ingest.example.com' WHEN 4 THEN '   '
+SELECT 'gw-' || c_custkey AS client_id,
+  CASE c_custkey % 5 WHEN 3 THEN 'ftp://ingest.example.com' WHEN 4 THEN '   '
     ELSE 'https://ingest.example.com/' END AS endpoint,
-  CASE WHEN n_nationkey % 7 = 6 THEN FALSE ELSE TRUE END AS has_api_key,
-  CASE n_nationkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 0 WHEN 2 THEN 1 ELSE 500 END AS buffer_capacity,
-  CASE n_nationkey % 3 WHEN 0 THEN NULL WHEN 1 THEN -1 ELSE 4096 END AS max_capture_bytes,
-  CASE n_nationkey % 3 WHEN 0 THEN CAST(0.0 AS DOUBLE) WHEN 1 THEN CAST(0.001 AS DOUBLE) ELSE NULL END AS flush_interval,
-  CASE n_nationkey % 3 WHEN 0 THEN CAST(2.0 AS DOUBLE) WHEN 1 THEN CAST(5.0 AS DOUBLE) ELSE NULL END AS drain_timeout,
-  CASE n_nationkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'gzip' WHEN 2 THEN 'zstd' ELSE 'brotli' END AS compression,
-  CASE WHEN n_nationkey % 2 = 0 THEN TRUE ELSE FALSE END AS debug,
-  CASE n_nationkey % 3 WHEN 0 THEN '  X-Trace ,x-trace,X-Request-Id,   ' WHEN 1 THEN NULL ELSE 'Cookie' END AS allowed_headers_csv
-FROM {nation}
+  CASE WHEN c_custkey % 7 = 6 THEN FALSE ELSE TRUE END AS has_api_key,
+  CASE c_custkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 0 WHEN 2 THEN 1 ELSE 500 END AS buffer_capacity,
+  CASE c_custkey % 3 WHEN 0 THEN NULL WHEN 1 THEN -1 ELSE 4096 END AS max_capture_bytes,
+  CASE c_custkey % 3 WHEN 0 THEN CAST(0.0 AS DOUBLE) WHEN 1 THEN CAST(0.001 AS DOUBLE) ELSE NULL END AS flush_interval,
+  CASE c_custkey % 3 WHEN 0 THEN CAST(2.0 AS DOUBLE) WHEN 1 THEN CAST(5.0 AS DOUBLE) ELSE NULL END AS drain_timeout,
+  CASE c_custkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'gzip' WHEN 2 THEN 'zstd' ELSE 'brotli' END AS compression,
+  CASE WHEN c_custkey % 2 = 0 THEN TRUE ELSE FALSE END AS debug,
+  CASE c_custkey % 3 WHEN 0 THEN '  X-Trace ,x-trace,X-Request-Id,   ' WHEN 1 THEN NULL ELSE 'Cookie' END AS allowed_headers_csv
+FROM {customer}
 """
 
 
@@ -203,7 +203,7 @@ def delivery_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def client_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A null list stays null; an absent one and an empty one mean the same."""
-    config = select(spark, sf_dir, CONFIG_SQL, "nation")
+    config = select(spark, sf_dir, CONFIG_SQL, "customer")
     return config.withColumn("allowed_headers", F.split("allowed_headers_csv", ",")).drop(
         "allowed_headers_csv"
     )
