@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 from .. import constants as C
 from .. import schemas
@@ -59,7 +59,9 @@ def assemble_envelopes(
     A group has at most one chunk of records. Records become JSON before the
     shuffle, so the shuffle carries the finished text and nothing else.
     """
-    record = F.to_json(F.struct(*fields), _JSON_OPTIONS)
+    # U+007F is the one character the JSON writer leaves as it is.
+    json = F.to_json(F.struct(*fields), _JSON_OPTIONS)
+    record = F.replace(json, F.lit("\x7f"), F.lit("\\u007f"))
     ordered = F.sort_array(F.collect_list(F.struct(F.col("seq"), record.alias("record"))))
     records = F.transform("__records", lambda item: item["record"])
     body = F.concat(F.lit('{"messages":['), F.array_join(records, ","), F.lit("]}"))
@@ -100,8 +102,11 @@ def ocpp_envelopes(df: DataFrame, keys: Sequence[str] = ("client_id",), **option
 
 def _decode(df: DataFrame, record: StructType) -> DataFrame:
     others = [name for name in df.columns if name != "body"]
-    parsed = F.from_json("body", schemas.envelope(record))["messages"]
-    return df.select(*others, F.explode(parsed).alias("__message")).select(*others, "__message.*")
+    # In brackets, because the parser overlooks text after the end of a document.
+    wrapped = F.concat(F.lit("["), F.col("body"), F.lit("]"))
+    parsed = F.from_json(wrapped, ArrayType(schemas.envelope(record)))
+    messages = F.when(F.size(parsed) == 1, parsed[0]["messages"])
+    return df.select(*others, F.explode(messages).alias("__message")).select(*others, "__message.*")
 
 
 def decode_ocpi(df: DataFrame) -> DataFrame:

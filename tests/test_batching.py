@@ -167,7 +167,8 @@ def test_bodies_are_ascii(ocpi):
 
 
 def test_body_size_is_that_of_compact_ascii_json(ocpi):
-    records = ocpi(message(0), {"platform_name": "Žižkov 😀"}).transform(R.ocpi_records)
+    odd = "Žižkov 😀 \x7f \x00\x1f \u2028 \\ / \" '"
+    records = ocpi(message(0), {"platform_name": odd}).transform(R.ocpi_records)
     row = batches(records, C.OCPI).collect()[0]
     want = {"messages": [{name: row[name] for name in R.OCPI_FIELDS} for row in by_seq(records)]}
     assert row.body_bytes == len(json.dumps(want, separators=(",", ":")))
@@ -186,6 +187,29 @@ def test_decode_undoes_assemble(ocpi, ocpp):
 
 def test_malformed_bodies_yield_no_records(spark):
     df = spark.createDataFrame(
-        [("not json",), ("{}",), ('{"messages":[]}',), ('{"messages":null}',), (None,)], "body STRING"
+        [
+            (body,)
+            for body in (
+                None,
+                "",
+                "not json",
+                "{}",
+                '{"messages":[]}',
+                '{"messages":null}',
+                '{"messages":{"url":"/x"}}',
+                '{"messages":["x"]}',
+                '[{"messages":[{"url":"/x"}]}]',
+                '{"messages":[{"url":"/x"}]',
+                '{"messages":[{"url":"/x"}]} junk',
+                '{"messages":[{"url":"/x"}]}{"messages":[]}',
+                '{"messages":[{"url":"/x"}]},{"messages":[]}',
+            )
+        ],
+        "body STRING",
     )
     assert B.decode_ocpi(df).collect() == B.decode_ocpp(df).collect() == []
+
+
+def test_unknown_fields_are_passed_over(spark):
+    df = spark.createDataFrame([(' {"x":[1],"messages":[{"url":"/x","y":2}]}\n',)], "body STRING")
+    assert [row.url for row in B.decode_ocpi(df).collect()] == ["/x"]
