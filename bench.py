@@ -81,7 +81,7 @@ def jobs(spark: SparkSession, sf_dir: str, files: int) -> dict[str, tuple[int, C
     def drain() -> None:
         stream = spark.readStream.schema(ocpi.schema).parquet(ocpi_path)
         out = scratch_path(spark, "bench-stream")
-        start_flushing(stream, out, prepare_ocpi, C.OCPI, interval=None, capacity=None).awaitTermination()
+        start_flushing(stream, out, prepare_ocpi, C.OCPI, interval=None).awaitTermination()
 
     return {
         "ocpi_admit_redact_record": (n_ocpi, lambda: consume(flush(prepare_ocpi(ocpi), C.OCPI).records)),

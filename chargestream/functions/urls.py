@@ -14,9 +14,16 @@ def is_credentials_url(url: Column) -> Column:
     return F.coalesce(url.rlike(CREDENTIALS_URL_PATTERN), F.lit(False))
 
 
+# http or https, then an authority: a plain one, or one with an IPv6 address in
+# brackets.
+_ENDPOINT_PATTERN = (
+    r"^(?i:https?)://(?:[^/?#\[\]]+|(?:[^/?#\[\]]*@)?\[[0-9A-Fa-f:.]*:[0-9A-Fa-f:.]*\](?::[^/?#\[\]]*)?)(?:[/?#]|\z)"
+)
+
+
 def is_valid_endpoint(endpoint: Column) -> Column:
     """http or https with a non-empty authority; never null."""
-    return F.coalesce(strip_blanks(endpoint).rlike(r"^(?i:https?)://[^/?#]+"), F.lit(False))
+    return F.coalesce(strip_blanks(endpoint).rlike(_ENDPOINT_PATTERN), F.lit(False))
 
 
 def normalise_endpoint(endpoint: Column) -> Column:

@@ -428,8 +428,5 @@ def stream_ocpp_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = testdata.ocpp_capture_stream(spark, sf_dir).transform(admission.ocpp_events)
     connected = events.transform(stream_connections.assign_connections)
     path = scratch_path(spark, "stream")
-    running = stream_flush.start_flushing(
-        connected, path, flush.prepare_ocpp, C.OCPP, interval=None, capacity=None
-    )
-    running.awaitTermination()
+    stream_flush.start_flushing(connected, path, flush.prepare_ocpp, C.OCPP, interval=None).awaitTermination()
     return stream_flush.read_flushed(spark, path).drop("flush")

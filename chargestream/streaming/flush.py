@@ -33,14 +33,14 @@ def flush_into(
     path: str,
     prepare: Callable[[DataFrame], DataFrame],
     protocol: str,
-    capacity: Column | int | None = C.DEFAULT_BUFFER_CAPACITY,
+    capacity: Column | int | None = None,
     keys: Sequence[str] = ("client_id",),
     envelopes: bool = False,
 ) -> Callable[[DataFrame, int], None]:
     """The function that handles one micro-batch.
 
     It writes `records/`, `rejected/` and, on request, `envelopes/`, each with
-    one folder per flush. Without a `capacity` nothing is pushed out.
+    one folder per flush. Nothing is pushed out unless a `capacity` is given.
     """
 
     def run(captures: DataFrame, flush_id: int) -> None:

@@ -96,6 +96,12 @@ def test_credentials_url_agrees_with_python_search(spark):
         ("/relative/path", None),
         ("https:///path", None),
         ("https://?x", None),
+        ("https://[::1]:8080/", "https://[::1]:8080"),
+        ("https://user@[fe80::1]", "https://user@[fe80::1]"),
+        ("https://user:pw@host:1/p?q#f", "https://user:pw@host:1/p?q#f"),
+        ("https://[::1", None),
+        ("https://host]", None),
+        ("https://[host]", None),
         (None, None),
     ],
 )

@@ -10,7 +10,7 @@ from chargestream import schemas
 from chargestream.operators import admission as A
 from chargestream.operators import batching as B
 from chargestream.operators import sessions as S
-from chargestream.plans.flush import flush, prepare_ocpi, prepare_ocpp
+from chargestream.plans.flush import flush, prepare_ocpi, prepare_ocpi_per_client, prepare_ocpp
 from chargestream.sources import captures, sinks
 from chargestream.streaming import connections
 from chargestream.streaming import flush as sf
@@ -94,8 +94,25 @@ def test_buffers_are_bounded_per_flush(spark, ocpi, folder):
     assert {row.drop_reason for row in lost.collect()} == {C.RING_OVERFLOW} and lost.count() == 14
 
 
+def test_each_client_has_its_own_limits(spark, ocpi, config, folder):
+    clients = config({"client_id": "gw", "buffer_capacity": 2}, {"client_id": "ok"})
+    write_parts(ocpi(*[{"client_id": name} for name in ("gw", "ok", "stranger") * 4]), f"{folder}/in", 1)
+    sf.start_flushing(
+        arriving(spark, f"{folder}/in", schemas.OCPI_CAPTURE),
+        f"{folder}/out",
+        lambda captured: prepare_ocpi_per_client(captured, clients),
+        C.OCPI,
+        interval=None,
+        capacity=F.col("config.buffer_capacity"),
+    ).awaitTermination()
+    kept = sf.read_flushed(spark, f"{folder}/out")
+    assert rows(kept, "client_id", "seq") == [("gw", 6), ("gw", 9), *[("ok", at) for at in (1, 4, 7, 10)]]
+    lost = sf.read_flushed(spark, f"{folder}/out", "rejected").groupBy("drop_reason").count()
+    assert rows(lost, "drop_reason", "count") == [(C.INERT_CLIENT, 4), (C.RING_OVERFLOW, 2)]
+
+
 def test_a_flush_that_runs_again_replaces_itself(spark, ocpi, folder):
-    run = sf.flush_into(folder, prepare_ocpi, C.OCPI, capacity=None)
+    run = sf.flush_into(folder, prepare_ocpi, C.OCPI, capacity=100)
     for _ in range(2):
         run(sample_ocpi(ocpi, 20), 0)
     assert sf.read_flushed(spark, folder).count() + sf.read_flushed(spark, folder, "rejected").count() == 20
