@@ -55,10 +55,10 @@ WITH RECURSIVE w AS (
 ), n AS (
   SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
 ), p AS (
-  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS inter FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
   GROUP BY a.doc_id, b.doc_id
 ), links AS (
-  SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * both >= 90 * (nx.n + ny.n - both)
+  SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * inter >= 90 * (nx.n + ny.n - inter)
 ), reach AS (
   SELECT doc_id AS x, doc_id AS y FROM w
   UNION
