@@ -1,7 +1,8 @@
 """Set-similarity self-join of documents on word n-grams, and its connected components.
 
 Rare-first prefix filtering: a document's distinct n-grams are ordered by how
-often their hash bucket occurs in the corpus. Two sets of similarity t share an
+often they occur in the corpus, as counted in a mapped file of about a byte an
+n-gram (n-grams that share a byte count as one; any order is right). Two sets of similarity t share an
 n-gram among the first n - ceil(t * n) + 1 of either, so only these prefixes
 meet. Then, in the task that holds one prefix n-gram,
 
@@ -19,10 +20,11 @@ joined, so exact copies cost one row. Prefix n-grams that occur in one class
 only are dropped by a lookup before any shuffle. A frequent prefix n-gram is cut
 into blocks of classes, and every pair of blocks is a group of its own of at
 most 2 * BLOCK classes, whatever the n-gram's frequency. Classes that are all
-alike do not leave as all their pairs: the first pass hands on a spanning forest
-of each block pair, whose verified links make components; the second pass hands
-on every remaining pair, but only those across components. Together they link
-exactly what all pairs would link.
+alike do not leave as all their pairs: the first pass looks at each class's few
+rarest shared n-grams and hands on a spanning forest of each block pair, whose
+verified links make components. The second pass takes every shared n-gram whose
+classes are not all of one component, and hands on every pair across components.
+Together they connect exactly what all pairs would connect.
 
 Defined cases: null or empty text has no n-gram, n_shingles 0, and links with
 nothing. A row with a null id takes part in links, but is never the smallest id
@@ -45,11 +47,13 @@ from pyspark.sql import functions as F
 from ..session import stage
 from . import text as T
 from .components import components
-from .shared import Sorted, count_hashes, input_bytes, new_folder, shard_bits, write_counts
+from .shared import Sorted, count_keys, hash_edges, input_bytes, merged, new_folder, shard_bits, write_counts
 
 SKETCH_BITS = 20
 RANGES = 64
 BLOCK = 512
+# Rarest shared prefix n-grams by which the first pass merges what is obviously alike.
+FIRST = 2
 
 
 def _sets(batch: pa.RecordBatch, n: int) -> Iterator[np.ndarray]:
@@ -65,39 +69,57 @@ def _fingerprint(grams: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(grams.tobytes()) if len(grams) else None
 
 
-def sketch(docs: DataFrame, n: int) -> np.ndarray:
-    """How many n-grams fall into each of 2**SKETCH_BITS buckets: 8 MB, whatever the corpus."""
-    pieces = 64
+class Sketch:
+    """How often n-grams occur, by the top bits of their hash: a byte each, in one mapped file."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SKETCH_BITS, np.int64)
-        for batch in T.slices(batches, "text"):
-            found = T.words(T.column(batch, "text"), T.LOWER)
-            grams, _ = T.shingles(found, n)
-            counts += np.bincount(grams >> np.uint64(64 - SKETCH_BITS), minlength=len(counts))
-        parts = np.split(counts, pieces)
-        yield pa.RecordBatch.from_pydict({"piece": pa.array(range(pieces), pa.int32()), "counts": [p.tobytes() for p in parts]})
+    def __init__(self, path: str, bits: int):
+        self.path, self.bits = path, bits
+        self._counts: np.ndarray | None = None
 
-    def add(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(blob, np.int64) for blob in rows.column("counts").to_pylist())
-        return pa.table({"piece": pa.array([key[0].as_py()], pa.int32()), "counts": [total.tobytes()]})
+    def __getstate__(self):
+        return {**self.__dict__, "_counts": None}
 
-    schema = "piece int, counts binary"
-    summed = docs.select("text").mapInArrow(run, schema).groupBy("piece").applyInArrow(add, schema)
-    total = np.zeros((pieces, (1 << SKETCH_BITS) // pieces), np.int64)
-    for row in summed.collect():
-        total[row.piece] = np.frombuffer(row.counts, np.int64)
-    return total.reshape(-1)
+    def counts(self, grams: np.ndarray) -> np.ndarray:
+        if self._counts is None:
+            self._counts = np.memmap(self.path, np.uint8, mode="r")
+        return self._counts[grams >> np.uint64(64 - self.bits)]
 
 
-def _least_overlap(threshold: Fraction, n: int) -> int:
-    return math.ceil(threshold * n)
+def sketch(docs: DataFrame, n: int, size: int) -> Sketch:
+    """Count the n-grams of all documents. The file has about a byte for each n-gram of the corpus."""
+    bits = max(SKETCH_BITS, (size // 4).bit_length())
+    parts = min(shard_bits(size), bits)
+    path = f"{new_folder(docs.sparkSession, 'ngram-sketch')}/counts"
+    with open(path, "wb") as out:
+        out.truncate(1 << bits)
+    top = np.uint64(64 - bits)
 
+    def buckets(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for part in T.slices(iter([batch]), "text"):
+            yield from ((grams >> top) << top for grams in _sets(part, n))
 
-def profiles(docs: DataFrame, n: int, threshold: Fraction, often: np.ndarray) -> DataFrame:
-    """Per document: its class (fingerprint of the set), size, prefix in global order, and range counts."""
-    order = docs.sparkSession.sparkContext.broadcast(np.minimum(often, (1 << 31) - 1).astype(np.int32))
+    def fill(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        # A shard is a stretch of the file that no other task writes; writing it again changes nothing.
+        first = key[0].as_py() << (bits - parts)
+        keys, counts = merged(rows.column("blob").to_pylist())
+        stretch = np.memmap(path, np.uint8, mode="r+", offset=first, shape=(1 << (bits - parts),))
+        stretch[(keys >> top).astype(np.int64) - first] = np.minimum(counts, 255)
+        stretch.flush()
+        return pa.table({"n": pa.array([len(keys)], pa.int64())})
+
+    blobs = count_keys(docs.select("text"), buckets, hash_edges(parts))
+    blobs.groupBy("shard").applyInArrow(fill, "n long").agg(F.sum("n")).collect()
+    return Sketch(path, bits)
+
+
+def _prefix(grams: np.ndarray, threshold: Fraction, often: Sketch) -> np.ndarray:
+    """The rarest n-grams of a set, as many as any similar set must share one of; ties by hash."""
+    take = len(grams) - math.ceil(threshold * len(grams)) + 1
+    return grams[np.argsort(often.counts(grams), kind="stable")[:take]]
 
+
+def profiles(docs: DataFrame, n: int, threshold: Fraction, often: Sketch) -> DataFrame:
+    """Per document: its class (fingerprint of the set), size, prefix in global order, and range counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in T.slices(batches, "text"):
             ids, fps, sizes, prefixes, ranges = T.column(batch, "doc_id"), [], [], [], []
@@ -109,10 +131,7 @@ def profiles(docs: DataFrame, n: int, threshold: Fraction, often: np.ndarray) ->
                     prefixes.append(b"")
                     ranges.append(b"")
                     continue
-                rare = order.value[grams >> np.uint64(64 - SKETCH_BITS)]
-                take = size - _least_overlap(threshold, size) + 1
-                front = np.argsort(rare, kind="stable")[:take]
-                prefixes.append(grams[front].tobytes())
+                prefixes.append(_prefix(grams, threshold, often).tobytes())
                 counts = np.bincount(grams >> np.uint64(64 - RANGES.bit_length() + 1), minlength=RANGES)
                 ranges.append(np.minimum(counts, 32767).astype(np.int16).tobytes())
             yield pa.RecordBatch.from_pydict(
@@ -137,8 +156,29 @@ def _prefix_hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
     yield np.frombuffer(T.buffer(T.column(batch, "prefix"))[0].tobytes(), np.uint64)
 
 
-def postings(classes: DataFrame, met: Sorted) -> DataFrame:
-    """A row per class and prefix n-gram that another class has too, for each pair of blocks it is in."""
+def across_components(classes: DataFrame, met: Sorted) -> DataFrame:
+    """The shared prefix n-grams whose classes are of two components or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in T.slices(batches, "prefix"):
+            data, offsets = T.buffer(T.column(batch, "prefix"))
+            tokens = np.frombuffer(data.tobytes(), np.uint64)
+            there = met.find_any(tokens)[0]
+            row = np.repeat(np.arange(batch.num_rows), np.diff(offsets) // 8)[there]
+            yield pa.RecordBatch.from_pydict(
+                {"token": pa.array(tokens[there].view(np.int64)), "component": T.column(batch, "component").take(pa.array(row))}
+            )
+
+    rows = classes.select("prefix", "component").mapInArrow(run, "token long, component binary")
+    ends = rows.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b"))
+    return ends.where("a < b").select("token")
+
+
+def postings(classes: DataFrame, met: Sorted, first: int | None = None, only: Sorted | None = None) -> DataFrame:
+    """A row per class and n-gram of its prefix that is in `met`, for each pair of blocks it is in.
+
+    `first`: only so many, the rarest; `only`: those that are in this set as well.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in T.slices(batches, "prefix"):
@@ -146,12 +186,14 @@ def postings(classes: DataFrame, met: Sorted) -> DataFrame:
             tokens = np.frombuffer(data.tobytes(), np.uint64)
             bounds = offsets // 8
             there, often = met.find_any(tokens)
+            if only is not None:
+                there &= only.find_any(tokens)[0]
             cls, sizes, ranges = (T.column(batch, c).to_pylist() for c in ("cls", "n", "ranges"))
             comp = T.column(batch, "component").to_pylist()
             rows: dict[str, list] = {k: [] for k in ("token", "a", "b", "side", "cls", "n", "pos", "common", "ranges", "component")}
             for at in range(batch.num_rows):
                 own = slice(bounds[at], bounds[at + 1])
-                where = np.flatnonzero(there[own])
+                where = np.flatnonzero(there[own])[:first]
                 common = tokens[own][where]
                 for nth, pos in enumerate(where.tolist()):
                     blocks = -(-int(often[own][pos]) // BLOCK)
@@ -258,18 +300,13 @@ def groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator
         yield pa.Table.from_batches(held)
 
 
-def full_sets(docs: DataFrame, n: int, threshold: Fraction, often: np.ndarray, met: Sorted) -> DataFrame:
+def full_sets(docs: DataFrame, n: int, threshold: Fraction, often: Sketch, met: Sorted) -> DataFrame:
     """The sets of classes that share a prefix n-gram with another, once each."""
-    order = docs.sparkSession.sparkContext.broadcast(np.minimum(often, (1 << 31) - 1).astype(np.int32))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[bytes] = set()
         for batch in T.slices(batches, "text"):
             sets = [grams for grams in _sets(batch, n) if len(grams)]
-            fronts = []
-            for grams in sets:
-                rare = order.value[grams >> np.uint64(64 - SKETCH_BITS)]
-                fronts.append(grams[np.argsort(rare, kind="stable")[: len(grams) - _least_overlap(threshold, len(grams)) + 1]])
+            fronts = [_prefix(grams, threshold, often) for grams in sets]
             there = met.find_any(np.concatenate(fronts))[0] if fronts else np.zeros(0, bool)
             bounds = np.concatenate([[0], np.cumsum([len(f) for f in fronts])]).astype(int)
             rows = [(_fingerprint(g), g.tobytes()) for g, a, b in zip(sets, bounds[:-1], bounds[1:], strict=True) if there[a:b].any()]
@@ -313,25 +350,28 @@ def join_documents(docs: DataFrame, n: int = 5, threshold: float | Fraction = 0.
     threshold = Fraction(str(threshold)) if isinstance(threshold, float) else Fraction(threshold)
     docs = docs.select("doc_id", "text")
     size = input_bytes(docs)
-    often = sketch(docs, n)
+    often = sketch(docs, n, size)
     profiled = stage(profiles(docs, n, threshold, often), "ngram-profiles")
     members = profiled.select("doc_id", "cls", F.col("n").alias("n_shingles"))
     classes = profiled.where("cls is not null").groupBy("cls").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("ranges").alias("ranges"))
     classes = stage(classes, "ngram-classes")
-    bits = shard_bits(size // 4)
-    blobs = count_hashes(classes.select("prefix"), _prefix_hashes, bits)
-    met = write_counts(blobs, new_folder(spark, "ngram-prefixes"), bits, least=2)
+    edges = hash_edges(shard_bits(size // 4))
+    blobs = count_keys(classes.select("prefix"), _prefix_hashes, edges)
+    met = write_counts(blobs, new_folder(spark, "ngram-prefixes"), edges, least=2)
     sets = stage(full_sets(docs, n, threshold, often, met), "ngram-sets")
 
-    def links(known: DataFrame, forest: bool) -> DataFrame:
-        posted = postings(known, met)
-        return verified(stage(candidates(posted, threshold, forest), "ngram-pairs"), sets, threshold).select("u", "v")
+    def links(posted: DataFrame, forest: bool) -> DataFrame:
+        pairs = stage(candidates(posted, threshold, forest), "ngram-pairs")
+        return verified(pairs, sets, threshold).select("u", "v")
 
     alone = classes.withColumn("component", F.lit(None).cast("binary"))
-    first = stage(links(alone, forest=True), "ngram-links")
+    first = stage(links(postings(alone, met, FIRST), forest=True), "ngram-links")
     merged = stage(components(first), "ngram-merged").withColumnRenamed("node", "cls")
-    known = classes.join(merged, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    second = links(known, forest=False)
+    known = stage(classes.join(merged, "cls", "left").withColumn("component", F.coalesce("component", "cls")), "ngram-known")
+    across = across_components(known, met)
+    open_ngrams = count_keys(across, lambda batch: [batch.column(0).to_numpy().view(np.uint64)], edges)
+    still = write_counts(open_ngrams, new_folder(spark, "ngram-open"), edges)
+    second = links(postings(known, met, only=still), forest=False)
     whole = stage(components(first.unionAll(second)), "ngram-components").withColumnRenamed("node", "cls")
     grouped = members.join(whole, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     grouped = stage(grouped.select("doc_id", "n_shingles", "component"), "ngram-grouped")

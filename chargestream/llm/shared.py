@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,9 +39,12 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Size of a table as the optimiser knows it: that of its files."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def input_bytes(docs: DataFrame) -> int:
+    """Size of a table of texts: that of its files where the optimiser knows it, else of its texts."""
+    known = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if known < 1 << 56:
+        return known
+    return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
 
 def shard_bits(size: int, least: int = 3) -> int:
@@ -59,42 +63,58 @@ def load(path: str) -> np.ndarray:
     return np.load(path, mmap_mode="r") if os.path.getsize(path) > 128 else np.load(path)
 
 
-def split_by_shard(keys: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
-    """Sorted keys, as (shard, where)."""
-    edges = (np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else np.zeros(1, np.uint64)
+def hash_edges(bits: int) -> np.ndarray:
+    """First value of each of 2**bits shards of 64-bit hashes."""
+    return np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(1, np.uint64)
+
+
+def split_by_shard(keys: np.ndarray, edges: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Sorted keys, as (shard, where); shard i begins at edges[i]."""
     cuts = [*np.searchsorted(keys, edges).tolist(), len(keys)]
-    for shard in range(1 << bits):
-        if cuts[shard] < cuts[shard + 1]:
-            yield shard, slice(cuts[shard], cuts[shard + 1])
+    for shard, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+        if a < b:
+            yield shard, slice(a, b)
 
 
 class Sorted:
-    """Lookups in the shards of a folder: `key.<shard>.npy` and arrays beside it."""
+    """Lookups in a folder's sorted arrays `<name>.<shard>.npy`, and in arrays beside them.
+
+    `offsets` are the places of the shards' first keys in the whole sequence.
+    """
 
-    def __init__(self, folder: str, bits: int, *beside: str):
-        self.folder, self.bits, self.beside = folder, bits, beside
+    def __init__(self, folder: str, edges: np.ndarray, *beside: str, name: str = "key", offsets: np.ndarray | None = None):
+        self.folder, self.edges, self.names, self.offsets = folder, edges, (name, *beside), offsets
         self._open: dict[int, tuple[np.ndarray, ...] | None] = {}
 
     def __getstate__(self):
         return {**self.__dict__, "_open": {}}
 
-    def _shard(self, shard: int) -> tuple[np.ndarray, ...] | None:
+    def shards(self, keys: np.ndarray) -> Iterator[tuple[int, slice]]:
+        return split_by_shard(keys, self.edges)
+
+    def open(self, shard: int) -> tuple[np.ndarray, ...] | None:
+        """The arrays of a shard, mapped; none if it is empty."""
         if shard not in self._open:
-            files = [f"{self.folder}/{name}.{shard}.npy" for name in ("key", *self.beside)]
-            self._open[shard] = tuple(map(load, files)) if os.path.exists(files[0]) else None
+            files = [f"{self.folder}/{name}.{shard}.npy" for name in self.names]
+            arrays = tuple(map(load, files)) if os.path.exists(files[0]) else None
+            self._open[shard] = arrays if arrays and len(arrays[0]) else None
         return self._open[shard]
 
+    def places(self, keys: np.ndarray) -> Iterator[tuple[int, slice, tuple[np.ndarray, ...], np.ndarray, np.ndarray]]:
+        """Per shard of sorted keys: shard, where, its arrays, each key's place in it, and whether it is there."""
+        for shard, where in self.shards(keys):
+            arrays = self.open(shard)
+            if arrays is not None:
+                own = keys[where].astype(arrays[0].dtype)
+                at = np.searchsorted(arrays[0], own)
+                at[at == len(arrays[0])] = 0
+                yield shard, where, arrays, at, arrays[0][at] == own
+
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, ...]:
         """For sorted keys: whether each is there, and the values beside it (0 if not)."""
         there = np.zeros(len(keys), bool)
-        values = [np.zeros(len(keys), np.int64) for _ in self.beside]
-        for shard, where in split_by_shard(keys, self.bits):
-            arrays = self._shard(shard)
-            if arrays is None or not len(arrays[0]):
-                continue
-            at = np.searchsorted(arrays[0], keys[where])
-            at[at == len(arrays[0])] = 0
-            hit = arrays[0][at] == keys[where]
+        values = [np.zeros(len(keys), np.int64) for _ in self.names[1:]]
+        for _, where, arrays, at, hit in self.places(keys):
             there[where] = hit
             for value, array in zip(values, arrays[1:], strict=True):
                 value[where] = np.where(hit, array[at], 0)
@@ -105,60 +125,82 @@ class Sorted:
         unique, back = np.unique(keys, return_inverse=True)
         return tuple(x[back] for x in self.find(unique))
 
-
-def merged(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct values of sorted key arrays with the sums of their counts; a blob is keys, then counts."""
-    keys, counts = [], []
-    for blob in blobs:
-        n = len(blob) // 12
-        keys.append(np.frombuffer(blob, np.uint64, n))
-        counts.append(np.frombuffer(blob, np.uint32, n, 8 * n))
-    if not keys:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    both, count = np.concatenate(keys), np.concatenate(counts).astype(np.int64)
-    order = np.argsort(both, kind="stable")
-    both, count = both[order], count[order]
-    first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
-    return both[first], np.add.reduceat(count, first)
+    def ids(self, keys: np.ndarray) -> np.ndarray:
+        """For sorted keys: the place of each in the whole sequence, -1 if it is not there."""
+        out = np.full(len(keys), -1, np.int64)
+        for shard, where, _, at, hit in self.places(keys):
+            out[where] = np.where(hit, at + int(self.offsets[shard]), -1)
+        return out
 
 
-def counted_blobs(chunks: list[np.ndarray], bits: int) -> Iterator[tuple[int, bytes]]:
-    """Hashes of one task, counted, as one blob per shard."""
-    if not chunks:
-        return
-    keys, counts = np.unique(np.concatenate(chunks), return_counts=True)
-    for shard, where in split_by_shard(keys, bits):
-        yield shard, keys[where].tobytes() + counts[where].astype(np.uint32).tobytes()
-
+# --- counted blobs: how tasks hand sorted, counted keys to the shards ---------
 
 BLOBS = "shard int, blob binary"
-# Hashes a task counts before it hands them on.
+# Keys a task counts before it hands them on.
 _HELD = 1 << 21
 
 
-def count_hashes(df: DataFrame, hashes, bits: int) -> DataFrame:
-    """Blobs per shard of what `hashes(batch)` yields, counted within the task first."""
+def packed(keys: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted keys as differences, bytes of equal weight together, and compressed."""
+    steps = np.diff(keys, prepend=np.uint64(0))
+    planes = steps.view(np.uint8).reshape(-1, 8).T.tobytes() + counts.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(planes)
+
+
+def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    n = len(planes) // 12
+    steps = np.ascontiguousarray(planes[: 8 * n].reshape(8, n).T).view(np.uint64).reshape(-1)
+    counts = np.ascontiguousarray(planes[8 * n :].reshape(4, n).T).view(np.uint32).reshape(-1)
+    return np.cumsum(steps, dtype=np.uint64), counts
+
+
+def merged(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of several blobs, sorted, with the sums of their counts."""
+    if not blobs:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    keys, counts = (np.concatenate(x) for x in zip(*map(unpacked, blobs), strict=True))
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order].astype(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(counts, first)
+
+
+def counted_blobs(chunks: list[np.ndarray], edges: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """Keys of one task, counted, as one blob per shard."""
+    if chunks:
+        keys, counts = np.unique(np.concatenate(chunks), return_counts=True)
+        for shard, where in split_by_shard(keys, edges):
+            yield shard, packed(keys[where], counts[where])
+
+
+def count_keys(df: DataFrame, keys: Callable[[pa.RecordBatch], Iterable[np.ndarray]], edges: np.ndarray) -> DataFrame:
+    """Blobs per shard of the 64-bit keys that `keys(batch)` yields, counted within the task first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
         def out() -> pa.RecordBatch:
-            rows = list(counted_blobs(held, bits))
+            rows = list(counted_blobs(held, edges))
+            held.clear()
             return pa.RecordBatch.from_pydict(
                 {"shard": pa.array([s for s, _ in rows], pa.int32()), "blob": pa.array([b for _, b in rows], pa.binary())}
             )
 
+        size = 0
         for batch in batches:
-            held.extend(hashes(batch))
-            if sum(map(len, held)) >= _HELD:
-                yield out()
-                held.clear()
+            for own in keys(batch):
+                held.append(own)
+                size += len(own)
+                if size >= _HELD:
+                    yield out()
+                    size = 0
         yield out()
 
     return df.mapInArrow(run, BLOBS)
 
 
-def write_counts(blobs: DataFrame, folder: str, bits: int, least: int = 1) -> Sorted:
+def write_counts(blobs: DataFrame, folder: str, edges: np.ndarray, least: int = 1) -> Sorted:
     """Merge blobs by shard into `key` and `count`, keeping keys counted `least` times or more."""
 
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
@@ -167,7 +209,7 @@ def write_counts(blobs: DataFrame, folder: str, bits: int, least: int = 1) -> So
         kept = counts >= least
         save(f"{folder}/count.{shard}.npy", counts[kept])
         save(f"{folder}/key.{shard}.npy", keys[kept])
-        return pa.table({"shard": pa.array([shard], pa.int32()), "n": pa.array([int(kept.sum())], pa.int64())})
+        return pa.table({"n": pa.array([int(kept.sum())], pa.int64())})
 
-    blobs.groupBy("shard").applyInArrow(run, "shard int, n long").agg(F.sum("n")).collect()
-    return Sorted(folder, bits, "count")
+    blobs.groupBy("shard").applyInArrow(run, "n long").agg(F.sum("n")).collect()
+    return Sorted(folder, edges, "count")
