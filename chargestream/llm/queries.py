@@ -5,9 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import configure
-from . import ngram_join, quality_rules
+from . import (
+    compression_classifier,
+    decontaminate,
+    html_extract,
+    kneser_ney,
+    labelled,
+    mixing,
+    ngram_join,
+    quality_rules,
+    substring_dedup,
+    toxicity,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,3 +88,196 @@ FROM w LEFT JOIN n ON n.doc_id = w.doc_id JOIN reach ON reach.x = w.doc_id GROUP
 @query
 def op4_suffix_array_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(table(spark, sf_dir, "documents"))
+
+
+# --- 2 -----------------------------------------------------------------------
+
+
+@query
+def op2_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archived = warc.round_trip(spark, table(spark, sf_dir, "pages"))
+    return archived.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op2_warc_dictionary"] = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages
+), m AS (
+  SELECT h, max(page_id) AS last FROM p GROUP BY h
+), b AS (
+  SELECT p.*, m.last, list_transform(range(0, 8), lambda g: ('0x' || substr(p.h, g * 5 + 1, 5))::BIGINT) AS v
+  FROM p JOIN m ON p.h = m.h
+)
+SELECT page_id, n AS payload_bytes,
+  array_to_string(list_transform(v, lambda x: array_to_string(list_transform([15, 10, 5, 0],
+    lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((x >> s) & 31) + 1)::INTEGER, 1)), '')), '') AS payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to
+FROM b
+"""
+
+
+# --- 3 -----------------------------------------------------------------------
+
+
+@query
+def op3_html_min_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+# --- 5 -----------------------------------------------------------------------
+
+
+@query
+def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = labelled.held_out(F.col("doc_id"), 7, 2)
+    model = kneser_ney.train(docs.where(~held_out))
+    scored = kneser_ney.score(docs, model)
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+        kneser_ney.perplexity(F.col("score"), F.col("n_tokens")).alias("perplexity"),
+    )
+
+
+# --- 6 -----------------------------------------------------------------------
+
+
+@query
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.digest(found).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+_TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+ORACLES["op6_benchmark_decontamination"] = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_TERM}') AS ws FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_TERM}') AS ws FROM benchmark
+), k AS (
+  SELECT item_id, ws, least(len(ws), 10) AS k FROM b WHERE len(ws) > 0
+), iw AS (
+  SELECT DISTINCT item_id, k, array_to_string(ws[i:i + k - 1], ' ') AS w
+  FROM (SELECT *, unnest(range(1, len(ws) - k + 2)) AS i FROM k)
+), dw AS (
+  SELECT doc_id, k, i, array_to_string(ws[i:i + k - 1], ' ') AS w
+  FROM (SELECT doc_id, ws, s.k, unnest(range(1, len(ws) - s.k + 2)) AS i FROM d, (SELECT DISTINCT k FROM k) s WHERE len(ws) >= s.k)
+), h AS (
+  SELECT doc_id, i, dw.k, item_id FROM dw JOIN iw ON dw.k = iw.k AND dw.w = iw.w
+), p AS (
+  SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS pos FROM h) GROUP BY doc_id
+), t AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM h) GROUP BY doc_id
+)
+SELECT d.doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN p ON p.doc_id = d.doc_id LEFT JOIN t ON t.doc_id = d.doc_id
+"""
+
+
+# --- 8 -----------------------------------------------------------------------
+
+
+@query
+def op8_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.occurrences(substring_dedup.passages(table(spark, sf_dir, "documents")))
+
+
+# --- 9 -----------------------------------------------------------------------
+
+
+@query
+def op9_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = mixing.choose(table(spark, sf_dir, "documents"))
+    return chosen.select("doc_id", "domain", "lang", "source", "n_tokens", "epochs")
+
+
+def _level_sql(name: str, keys: list[str], weights: dict[str, int], above: str) -> str:
+    """Shares of one level of the tree; `above` has the parents' budgets."""
+    key, parents = keys[-1], keys[:-1]
+    named = "".join(f" WHEN '{k}' THEN {w}" for k, w in weights.items())
+    weight = f"CASE {key}{named} ELSE 1 END" if named else "1"
+    family = f"PARTITION BY {', '.join(parents)}"
+    order = f"{family} ORDER BY supply::DOUBLE / weight::DOUBLE, {key}"
+    return f"""{name}_n AS (
+  SELECT {', '.join(keys)}, sum(supply) AS supply, ({weight})::HUGEINT AS weight FROM leaf GROUP BY {', '.join(keys)}
+), {name}_f AS (
+  SELECT *, supply * sum(weight) OVER ({order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+    <= (budget - coalesce(sum(supply) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) * weight AS is_full
+  FROM {name}_n JOIN {above} USING ({', '.join(parents)})
+), {name} AS (
+  SELECT {', '.join(keys)}, CASE WHEN is_full THEN supply ELSE
+    (budget - coalesce(sum(CASE WHEN is_full THEN supply END) OVER ({family}), 0)) * weight
+    // sum(CASE WHEN NOT is_full THEN weight END) OVER ({family}) END AS budget
+  FROM {name}_f
+)"""
+
+
+def _mixing_sql(mix: mixing.Mix) -> str:
+    names = ["root", "domain", "lang0", "source0"]
+    domains = " ".join(f"WHEN {i} THEN '{d}'" for i, d in enumerate(mixing.DOMAINS))
+    tree = ",\n".join(
+        _level_sql(f"l{i}", names[: i + 1], weights, f"l{i - 1}")
+        for i, weights in enumerate((mix.domains, mix.languages, mix.sources), 1)
+    )
+    return rf"""
+WITH t AS (
+  SELECT doc_id, lang, source, coalesce(lang, chr(1)) AS lang0, coalesce(source, chr(1)) AS source0, 0 AS root,
+    CASE coalesce(try_cast(regexp_extract(source, '([0-9]{{1,9}})$', 1) AS INTEGER), 0) % {len(mixing.DOMAINS)} {domains} END AS domain,
+    len(regexp_extract_all(text, '{_WORD}')) AS n
+  FROM documents WHERE len(regexp_extract_all(text, '{_WORD}')) > 0
+), leaf AS (
+  SELECT root, domain, lang0, source0, sum(n) AS tokens, sum(n) * {mix.max_epochs} AS supply FROM t GROUP BY ALL
+), l0 AS (
+  SELECT 0 AS root, sum(tokens) * {mix.share[0]} // {mix.share[1]} AS budget FROM leaf
+), {tree},
+plan AS (
+  SELECT domain, lang0, source0, (budget // tokens)::BIGINT AS whole, (budget % tokens)::BIGINT AS rest
+  FROM l3 JOIN leaf USING (root, domain, lang0, source0)
+), o AS (
+  SELECT t.*, whole, rest, ('0x' || substr(md5('{mix.seed}:' || whole || ':' || coalesce(doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS point
+  FROM t JOIN plan USING (domain, lang0, source0)
+), s AS (
+  SELECT *, sum(n) OVER (PARTITION BY domain, lang0, source0 ORDER BY point RANGE UNBOUNDED PRECEDING) AS upto FROM o
+)
+SELECT doc_id, domain, lang, source, n AS n_tokens, whole + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END AS epochs
+FROM s WHERE whole + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END > 0
+"""
+
+
+ORACLES["op9_hierarchical_mixing"] = _mixing_sql(mixing.DEFAULT)
+
+
+# --- 7 and 10 ------------------------------------------------------------------
+
+
+def _classified(scored: DataFrame, cut: float) -> DataFrame:
+    return scored.select(
+        "doc_id",
+        labelled.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= cut).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op7_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = compression_classifier.fit(docs, table(spark, sf_dir, "labels"))
+    return _classified(compression_classifier.classify(docs, model), 0.3)
+
+
+@query
+def op10_toxicity_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return _classified(toxicity.classify(docs, model), 0.5)
