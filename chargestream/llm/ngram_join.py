@@ -15,7 +15,8 @@ meet. Then, in the task that holds one prefix n-gram,
 A pair leaves only at the first prefix n-gram that both share, hence once, and
 is verified once on the two full sets.
 
-Bounds at scale. Documents with equal sets are one class before anything is
+Bounds at scale. Prefixes and full sets stay in mapped files of the shared folder,
+and what is shuffled refers to them. Documents with equal sets are one class before anything is
 joined, so exact copies cost one row. Prefix n-grams that occur in one class
 only are dropped by a lookup before any shuffle. A frequent prefix n-gram is cut
 into blocks of classes, and every pair of blocks is a group of its own of at
@@ -47,7 +48,20 @@ from pyspark.sql import functions as F
 from ..session import stage
 from . import text as T
 from .components import components
-from .shared import Sorted, count_keys, hash_edges, input_bytes, merged, new_folder, shard_bits, write_counts
+from .shared import (
+    SHARD_BYTES,
+    Shelf,
+    Sorted,
+    Store,
+    count_keys,
+    hash_edges,
+    input_bytes,
+    merged,
+    new_folder,
+    pointed,
+    shard_bits,
+    write_counts,
+)
 
 SKETCH_BITS = 20
 RANGES = 64
@@ -118,73 +132,68 @@ def _prefix(grams: np.ndarray, threshold: Fraction, often: Sketch) -> np.ndarray
     return grams[np.argsort(often.counts(grams), kind="stable")[:take]]
 
 
-def profiles(docs: DataFrame, n: int, threshold: Fraction, often: Sketch) -> DataFrame:
-    """Per document: its class (fingerprint of the set), size, prefix in global order, and range counts."""
+def profiles(docs: DataFrame, n: int, threshold: Fraction, often: Sketch, store: Store) -> DataFrame:
+    """Per document: its class (fingerprint of the set), size, range counts, and where its prefix is in `store`."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shelf = Shelf(store, pointed(doc_id=pa.int64(), cls=pa.binary(), n=pa.int64(), ranges=pa.binary()))
         for batch in T.slices(batches, "text"):
-            ids, fps, sizes, prefixes, ranges = T.column(batch, "doc_id"), [], [], [], []
-            for grams in _sets(batch, n):
-                size = len(grams)
-                fps.append(_fingerprint(grams))
-                sizes.append(size)
-                if not size:
-                    prefixes.append(b"")
-                    ranges.append(b"")
-                    continue
-                prefixes.append(_prefix(grams, threshold, often).tobytes())
+            ids = T.column(batch, "doc_id").cast(pa.int64()).to_pylist()
+            for doc, grams in zip(ids, _sets(batch, n), strict=True):
                 counts = np.bincount(grams >> np.uint64(64 - RANGES.bit_length() + 1), minlength=RANGES)
-                ranges.append(np.minimum(counts, 32767).astype(np.int16).tobytes())
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": ids.cast(pa.int64()),
-                    "cls": pa.array(fps, pa.binary()),
-                    "n": pa.array(sizes, pa.int64()),
-                    "prefix": pa.array(prefixes, pa.binary()),
-                    "ranges": pa.array(ranges, pa.binary()),
-                }
-            )
+                ranges = np.minimum(counts, 32767).astype(np.int16).tobytes()
+                shelf.add((doc, _fingerprint(grams), len(grams), ranges), _prefix(grams, threshold, often) if len(grams) else grams)
+            if shelf.full():
+                yield shelf.out()
+        yield shelf.out()
 
-    schema = "doc_id long, cls binary, n long, prefix binary, ranges binary"
+    schema = "doc_id long, cls binary, n long, ranges binary, file long, start long, size int"
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
+_PLACE = ("file", "start", "size")
+
+
 def _cells(blob: bytes) -> np.ndarray:
     return np.frombuffer(blob, np.uint64)
 
 
-def _prefix_hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-    yield np.frombuffer(T.buffer(T.column(batch, "prefix"))[0].tobytes(), np.uint64)
+def _prefixes(batch: pa.RecordBatch, store: Store) -> tuple[np.ndarray, np.ndarray]:
+    """The prefixes of all rows one after another, and where each begins."""
+    places = zip(*(T.column(batch, c).to_pylist() for c in _PLACE), strict=True)
+    tokens = [store.get(*place) for place in places]
+    bounds = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int64)
+    return np.concatenate([np.zeros(0, np.uint64), *tokens]), bounds
 
 
-def across_components(classes: DataFrame, met: Sorted) -> DataFrame:
+def across_components(classes: DataFrame, met: Sorted, store: Store) -> DataFrame:
     """The shared prefix n-grams whose classes are of two components or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in T.slices(batches, "prefix"):
-            data, offsets = T.buffer(T.column(batch, "prefix"))
-            tokens = np.frombuffer(data.tobytes(), np.uint64)
+        for batch in batches:
+            tokens, bounds = _prefixes(batch, store)
             there = met.find_any(tokens)[0]
-            row = np.repeat(np.arange(batch.num_rows), np.diff(offsets) // 8)[there]
+            row = np.repeat(np.arange(batch.num_rows), np.diff(bounds))[there]
             yield pa.RecordBatch.from_pydict(
                 {"token": pa.array(tokens[there].view(np.int64)), "component": T.column(batch, "component").take(pa.array(row))}
             )
 
-    rows = classes.select("prefix", "component").mapInArrow(run, "token long, component binary")
+    rows = classes.select(*_PLACE, "component").mapInArrow(run, "token long, component binary")
     ends = rows.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b"))
     return ends.where("a < b").select("token")
 
 
-def postings(classes: DataFrame, met: Sorted, first: int | None = None, only: Sorted | None = None) -> DataFrame:
+def postings(
+    classes: DataFrame, met: Sorted, store: Store, first: int | None = None, only: Sorted | None = None
+) -> DataFrame:
     """A row per class and n-gram of its prefix that is in `met`, for each pair of blocks it is in.
 
     `first`: only so many, the rarest; `only`: those that are in this set as well.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in T.slices(batches, "prefix"):
-            data, offsets = T.buffer(T.column(batch, "prefix"))
-            tokens = np.frombuffer(data.tobytes(), np.uint64)
-            bounds = offsets // 8
+        for batch in batches:
+            tokens, bounds = _prefixes(batch, store)
             there, often = met.find_any(tokens)
             if only is not None:
                 there &= only.find_any(tokens)[0]
@@ -217,7 +226,7 @@ def postings(classes: DataFrame, met: Sorted, first: int | None = None, only: So
             )
 
     schema = "token long, a int, b int, side int, cls binary, n long, pos long, common binary, ranges binary, component binary"
-    return classes.select("cls", "n", "prefix", "ranges", "component").mapInArrow(run, schema)
+    return classes.select("cls", "n", "ranges", *_PLACE, "component").mapInArrow(run, schema)
 
 
 def _survivors(run: pa.Table, threshold: Fraction) -> Iterator[tuple[int, np.ndarray]]:
@@ -300,43 +309,55 @@ def groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator
         yield pa.Table.from_batches(held)
 
 
-def full_sets(docs: DataFrame, n: int, threshold: Fraction, often: Sketch, met: Sorted) -> DataFrame:
-    """The sets of classes that share a prefix n-gram with another, once each."""
+def full_sets(docs: DataFrame, n: int, threshold: Fraction, often: Sketch, met: Sorted, store: Store) -> DataFrame:
+    """Where in `store` the sets of classes are that share a prefix n-gram with another."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shelf = Shelf(store, pointed(cls=pa.binary()))
         done: set[bytes] = set()
         for batch in T.slices(batches, "text"):
             sets = [grams for grams in _sets(batch, n) if len(grams)]
             fronts = [_prefix(grams, threshold, often) for grams in sets]
             there = met.find_any(np.concatenate(fronts))[0] if fronts else np.zeros(0, bool)
             bounds = np.concatenate([[0], np.cumsum([len(f) for f in fronts])]).astype(int)
-            rows = [(_fingerprint(g), g.tobytes()) for g, a, b in zip(sets, bounds[:-1], bounds[1:], strict=True) if there[a:b].any()]
-            rows = list({c: (c, g) for c, g in rows if c not in done}.values())
-            done.update(c for c, _ in rows)
-            if len(done) > 100_000:  # only spares work; what is sent twice is merged below
+            for grams, a, b in zip(sets, bounds[:-1], bounds[1:], strict=True):
+                if there[a:b].any():
+                    cls = _fingerprint(grams)
+                    if cls not in done:
+                        done.add(cls)
+                        shelf.add((cls,), grams)
+            if len(done) > 100_000:  # only spares work; of what is stored twice one is used
                 done.clear()
-            yield pa.RecordBatch.from_pydict({"cls": pa.array([c for c, _ in rows], pa.binary()), "grams": pa.array([g for _, g in rows], pa.binary())})
+            if shelf.full():
+                yield shelf.out()
+        yield shelf.out()
 
-    found = docs.select("text").mapInArrow(run, "cls binary, grams binary")
-    return found.groupBy("cls").agg(F.first("grams").alias("grams"))
+    found = docs.select("text").mapInArrow(run, "cls binary, file long, start long, size int")
+    return found.groupBy("cls").agg(F.min(F.struct(*_PLACE)).alias("place")).select("cls", "place.*")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, threshold: Fraction, store: Store, tasks: int) -> DataFrame:
     """The pairs whose full sets are similar enough, with their overlap."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in T.slices(batches, "x"):
-            u, v, x, y = (batch.column(i).to_pylist() for i in range(4))
+        for batch in batches:
+            names = ("u", "v", *[f"{side}_{c}" for side in "uv" for c in _PLACE])
             rows = []
-            for a, b, p, q in zip(u, v, x, y, strict=True):
-                p, q = _cells(p), _cells(q)
+            for u, v, *places in zip(*(T.column(batch, c).to_pylist() for c in names), strict=True):
+                p, q = store.get(*places[:3]), store.get(*places[3:])
                 both = len(np.intersect1d(p, q, assume_unique=True))
                 if threshold.denominator * both >= threshold.numerator * (len(p) + len(q) - both):
-                    rows.append((a, b, both))
-            yield pa.RecordBatch.from_pydict({"u": pa.array([r[0] for r in rows], pa.binary()), "v": pa.array([r[1] for r in rows], pa.binary()), "both": pa.array([r[2] for r in rows], pa.int64())})
+                    rows.append((u, v, both))
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "u": pa.array([r[0] for r in rows], pa.binary()),
+                    "v": pa.array([r[1] for r in rows], pa.binary()),
+                    "both": pa.array([r[2] for r in rows], pa.int64()),
+                }
+            )
 
-    left = sets.select(F.col("cls").alias("u"), F.col("grams").alias("x"))
-    right = sets.select(F.col("cls").alias("v"), F.col("grams").alias("y"))
-    joined = pairs.join(left, "u").join(right, "v").select("u", "v", "x", "y")
+    left, right = (sets.select(F.col("cls").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in _PLACE]) for side in "uv")
+    joined = pairs.join(left, "u").join(right, "v").repartition(tasks)
     return joined.mapInArrow(run, "u binary, v binary, both long")
 
 
@@ -351,27 +372,32 @@ def join_documents(docs: DataFrame, n: int = 5, threshold: float | Fraction = 0.
     docs = docs.select("doc_id", "text")
     size = input_bytes(docs)
     often = sketch(docs, n, size)
-    profiled = stage(profiles(docs, n, threshold, often), "ngram-profiles")
+    store = Store(new_folder(spark, "ngram-arrays"))
+    # Rows that refer to arrays are few bytes for much work, so the number of tasks is set by hand.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // SHARD_BYTES)
+    profiled = stage(profiles(docs, n, threshold, often, store), "ngram-profiles")
     members = profiled.select("doc_id", "cls", F.col("n").alias("n_shingles"))
-    classes = profiled.where("cls is not null").groupBy("cls").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("ranges").alias("ranges"))
-    classes = stage(classes, "ngram-classes")
+    place = F.min(F.struct(*_PLACE)).alias("place")  # of any of the class: equal sets, equal prefixes
+    classes = profiled.where("n > 0").groupBy("cls").agg(F.first("n").alias("n"), F.first("ranges").alias("ranges"), place)
+    classes = stage(classes.select("cls", "n", "ranges", "place.*"), "ngram-classes")
     edges = hash_edges(shard_bits(size // 4))
-    blobs = count_keys(classes.select("prefix"), _prefix_hashes, edges)
-    met = write_counts(blobs, new_folder(spark, "ngram-prefixes"), edges, least=2)
-    sets = stage(full_sets(docs, n, threshold, often, met), "ngram-sets")
+    prefixes = count_keys(classes.select(*_PLACE).repartition(tasks), lambda batch: [_prefixes(batch, store)[0]], edges)
+    met = write_counts(prefixes, new_folder(spark, "ngram-prefixes"), edges, least=2)
+    sets = stage(full_sets(docs, n, threshold, often, met, store), "ngram-sets")
 
     def links(posted: DataFrame, forest: bool) -> DataFrame:
         pairs = stage(candidates(posted, threshold, forest), "ngram-pairs")
-        return verified(pairs, sets, threshold).select("u", "v")
+        return verified(pairs, sets, threshold, store, tasks).select("u", "v")
 
-    alone = classes.withColumn("component", F.lit(None).cast("binary"))
-    first = stage(links(postings(alone, met, FIRST), forest=True), "ngram-links")
+    alone = classes.withColumn("component", F.lit(None).cast("binary")).repartition(tasks)
+    first = stage(links(postings(alone, met, store, FIRST), forest=True), "ngram-links")
     merged = stage(components(first), "ngram-merged").withColumnRenamed("node", "cls")
-    known = stage(classes.join(merged, "cls", "left").withColumn("component", F.coalesce("component", "cls")), "ngram-known")
-    across = across_components(known, met)
+    known = classes.join(merged, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    known = stage(known, "ngram-known").repartition(tasks)
+    across = across_components(known, met, store)
     open_ngrams = count_keys(across, lambda batch: [batch.column(0).to_numpy().view(np.uint64)], edges)
     still = write_counts(open_ngrams, new_folder(spark, "ngram-open"), edges)
-    second = links(postings(known, met, only=still), forest=False)
+    second = links(postings(known, met, store, only=still), forest=False)
     whole = stage(components(first.unionAll(second)), "ngram-components").withColumnRenamed("node", "cls")
     grouped = members.join(whole, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     grouped = stage(grouped.select("doc_id", "n_shingles", "component"), "ngram-grouped")

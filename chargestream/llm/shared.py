@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 # Bytes of input that one shard stands for.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 4 << 20
 
 
 def mounted(path: str) -> str:
@@ -133,11 +133,73 @@ class Sorted:
         return out
 
 
+# --- arrays of single rows: rows that are shuffled refer to them ---------------
+
+
+class Store:
+    """Arrays of 64-bit values in mapped files; an array is (file, start, size).
+
+    A file has a new name each time, and the rows that a committed task returns
+    are what refers to it, so files of lost or repeated tasks are never read.
+    """
+
+    def __init__(self, folder: str):
+        self.folder = folder
+        self._open: dict[int, np.ndarray] = {}
+
+    def __getstate__(self):
+        return {"folder": self.folder, "_open": {}}
+
+    def path(self, file: int) -> str:
+        return f"{self.folder}/values.{file:016x}.npy"
+
+    def get(self, file: int, start: int, size: int) -> np.ndarray:
+        if file not in self._open:
+            if len(self._open) >= 512:  # open files, not data
+                self._open.clear()
+            self._open[file] = load(self.path(file))
+        return np.asarray(self._open[file][start : start + size])
+
+
+class Shelf:
+    """What one task puts into a store: rows are handed on when the file they refer to is written."""
+
+    def __init__(self, store: Store, schema: pa.Schema):
+        self.store, self.schema = store, schema
+        self._rows: list[tuple] = []
+        self._held: list[np.ndarray] = []
+        self._size = 0
+
+    def add(self, row: tuple, values: np.ndarray) -> None:
+        self._rows.append((*row, self._size, len(values)))
+        self._held.append(values)
+        self._size += len(values)
+
+    def full(self) -> bool:
+        return self._size >= _HELD or len(self._rows) >= 1 << 14
+
+    def out(self) -> pa.RecordBatch:
+        """The rows so far: their columns, then file, start and size."""
+        file = uuid.uuid4().int >> 65
+        save(self.store.path(file), np.concatenate([np.zeros(0, np.uint64), *self._held]))
+        columns = list(zip(*self._rows, strict=True)) or [()] * (len(self.schema) - 1)
+        columns.insert(-2, (file,) * len(self._rows))
+        arrays = [pa.array(list(c), f.type) for c, f in zip(columns, self.schema, strict=True)]
+        self._rows, self._held, self._size = [], [], 0
+        return pa.RecordBatch.from_arrays(arrays, schema=self.schema)
+
+
+def pointed(**columns: pa.DataType) -> pa.Schema:
+    """Schema of a shelf's rows with these columns of their own."""
+    place = {"file": pa.int64(), "start": pa.int64(), "size": pa.int32()}
+    return pa.schema(list((columns | place).items()))
+
+
 # --- counted blobs: how tasks hand sorted, counted keys to the shards ---------
 
 BLOBS = "shard int, blob binary"
 # Keys a task counts before it hands them on.
-_HELD = 1 << 21
+_HELD = 1 << 20
 
 
 def packed(keys: np.ndarray, counts: np.ndarray) -> bytes:
