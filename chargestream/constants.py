@@ -78,6 +78,7 @@ PERMANENT_STATUSES = (400, 401, 413)
 # Drop reasons, in the order in which they are decided
 # ---------------------------------------------------------------------------
 INERT_CLIENT = "inert_client"
+UNKNOWN_CONNECTION = "unknown_connection"
 INCOMPLETE_FRAME = "incomplete_frame"
 INVALID_IDENTITY = "invalid_identity"
 REQUEST_BODY_OVERSIZE = "request_body_oversize"
@@ -85,3 +86,6 @@ RESPONSE_BODY_OVERSIZE = "response_body_oversize"
 FRAME_OVERSIZE = "frame_oversize"
 REDACT_FAULT = "redact_fault"
 RING_OVERFLOW = "ring_overflow"
+
+# Of a record in a batch body that was read back.
+UNDECODABLE_BODY = "undecodable_body"

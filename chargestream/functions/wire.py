@@ -43,8 +43,18 @@ def encode_frame(frame: Column) -> Column:
 
 
 def wire_timestamp(ts: Column) -> Column:
-    """RFC 3339, UTC, milliseconds cut off (not rounded). Needs a UTC session."""
-    return F.date_format(ts.cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    """RFC 3339, UTC, milliseconds cut off (not rounded), in any session time zone.
+
+    The text is that of a time without zone, counted from the epoch, which no
+    zone's rules touch.
+    """
+    micros = F.unix_micros(ts.cast("timestamp"))
+    fraction = F.pmod(micros, F.lit(1_000_000))
+    seconds = ((micros - fraction) / 1_000_000).cast("decimal(18,6)")
+    zero = F.lit(0)
+    moment = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds)
+    millis = F.lpad(F.floor(fraction / 1000).cast("string"), 3, "0")
+    return F.concat(F.replace(moment.cast("string"), F.lit(" "), F.lit("T")), F.lit("."), millis, F.lit("Z"))
 
 
 def route(protocol: Column) -> Column:

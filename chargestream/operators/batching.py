@@ -109,15 +109,38 @@ def _decode(df: DataFrame, record: StructType) -> DataFrame:
     return df.select(*others, F.explode(messages).alias("__message")).select(*others, "__message.*")
 
 
+def _decoded(df: DataFrame, record: StructType, bodies: Sequence[str]) -> tuple[DataFrame, Column]:
+    """Records with their bodies as bytes under `__name`, and whether all that was given did decode."""
+    records = _decode(df, record)
+    raw = {f"__{name}": F.try_to_binary(F.col(name), F.lit("base64")) for name in bodies}
+    sound = F.lit(True)
+    for name in bodies:
+        sound = sound & (F.col(name).isNull() | F.col(f"__{name}").isNotNull())
+    return records.withColumns(raw), sound
+
+
+def _sound(df: DataFrame, record: StructType, bodies: Sequence[str]) -> DataFrame:
+    rows, sound = _decoded(df, record, bodies)
+    return rows.where(sound).withColumns({name: F.col(f"__{name}") for name in bodies}).drop(*[f"__{name}" for name in bodies])
+
+
+_OCPI_BODIES = ("request_body", "response_body")
+_OCPP_BODIES = ("raw_frame",)
+
+
 def decode_ocpi(df: DataFrame) -> DataFrame:
     """Records of OCPI batch bodies, their bodies as raw bytes. Malformed bodies yield none."""
-    records = _decode(df, schemas.OCPI_RECORD)
-    return records.withColumns(
-        {name: F.unbase64(name) for name in ("request_body", "response_body")}
-    )
+    return _sound(df, schemas.OCPI_RECORD, _OCPI_BODIES)
 
 
 def decode_ocpp(df: DataFrame) -> DataFrame:
     """Records of OCPP batch bodies, their frames as text. Malformed bodies yield none."""
-    records = _decode(df, schemas.OCPP_RECORD)
-    return records.withColumn("raw_frame", F.unbase64("raw_frame").cast("string"))
+    return _sound(df, schemas.OCPP_RECORD, _OCPP_BODIES).withColumn("raw_frame", F.col("raw_frame").cast("string"))
+
+
+def decode_faults(df: DataFrame, protocol: str) -> DataFrame:
+    """The records that `decode_*` leaves out, as they were sent, because a body is not base64."""
+    ocpi = protocol == C.OCPI
+    bodies = _OCPI_BODIES if ocpi else _OCPP_BODIES
+    rows, sound = _decoded(df, schemas.OCPI_RECORD if ocpi else schemas.OCPP_RECORD, bodies)
+    return rows.where(~sound).drop(*[f"__{name}" for name in bodies]).withColumn("drop_reason", F.lit(C.UNDECODABLE_BODY))

@@ -25,7 +25,8 @@ def allowed_headers(headers: Column, extra: Iterable[str] | Column = ()) -> Colu
     """Keep the entries whose name is on the allowlist, in any letter case.
 
     `extra` lengthens the default list and can never shorten it: fixed names,
-    or an array column of normalised names.
+    or an array column of normalised names. A bare string is no list and adds
+    nothing; entries that are not strings are passed over.
     """
     headers = F.coalesce(headers, F.create_map().cast("map<string,string>"))
     fixed = list(C.DEFAULT_HEADER_ALLOWLIST)
@@ -35,7 +36,8 @@ def allowed_headers(headers: Column, extra: Iterable[str] | Column = ()) -> Colu
             headers,
             lambda name, _: F.lower(name).isin(fixed) | F.array_contains(more, F.lower(name)),
         )
-    fixed += [name.strip().lower() for name in extra if name.strip()]
+    given = () if isinstance(extra, str) else extra
+    fixed += [name.strip().lower() for name in given if isinstance(name, str) and name.strip()]
     return F.map_filter(headers, lambda name, _: F.lower(name).isin(fixed))
 
 

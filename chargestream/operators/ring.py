@@ -68,12 +68,15 @@ def oldest_kept(
 
 def mark_ring_overflow(
     df: DataFrame,
-    capacity: Column | int = C.DEFAULT_BUFFER_CAPACITY,
-    keys: Sequence[str] = ("client_id",),
+    capacity: Column | int,
+    keys: Sequence[str],
     hold: Hold = _written,
 ) -> DataFrame:
     """Set `drop_reason` on admitted messages that newer ones pushed out.
 
+    `keys` say what one buffer is. A flush empties it, so on a table they hold
+    the flush cycle beside the client; a micro-batch is a cycle by itself.
+
     The limits are one row per full buffer. Small ones are broadcast, and no
     body is shuffled at all; large ones are joined by sorting, where AQE splits
     a client that is too hot.
@@ -84,11 +87,7 @@ def mark_ring_overflow(
     return add_reason(marked, pushed_out).drop("oldest")
 
 
-def keep_newest(
-    df: DataFrame,
-    capacity: Column | int = C.DEFAULT_BUFFER_CAPACITY,
-    keys: Sequence[str] = ("client_id",),
-) -> DataFrame:
+def keep_newest(df: DataFrame, capacity: Column | int, keys: Sequence[str]) -> DataFrame:
     """Of each buffer the newest `capacity` messages."""
     marked = mark_ring_overflow(df, capacity, keys)
     return marked.where(F.col("drop_reason").isNull()).select(*df.columns)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from .admission import add_reason
 from .ordering import running_total
 
 # Messages of one charger are spread thinly over a client's sequence numbers,
@@ -58,9 +59,13 @@ def with_identity(frames: DataFrame, connections: DataFrame) -> DataFrame:
 
     No hint: Spark broadcasts the connections when their table is small, and
     otherwise sorts, where AQE splits a connection that is too hot. For both,
-    `connections` has to be a table, or one that `stage` has written.
+    `connections` has to be a table, or one that `stage` has written. A frame
+    of a connection that is not there stays, with that as its drop reason.
     """
-    return frames.join(connections, "connection_id")
+    known = connections.withColumn("__known", F.lit(True))
+    joined = frames.join(known, "connection_id", "left")
+    unknown = F.when(F.col("__known").isNull(), F.lit(C.UNKNOWN_CONNECTION))
+    return add_reason(joined, unknown).drop("__known")
 
 
 def session_events(frames: DataFrame, connections: DataFrame) -> DataFrame:
@@ -80,6 +85,7 @@ def session_events(frames: DataFrame, connections: DataFrame) -> DataFrame:
             *identity,
             F.lit(None).cast("string").alias("direction"),
             F.lit(None).cast("binary").alias("payload"),
+            F.lit(None).cast("string").alias("drop_reason"),
         )
 
     messages = with_identity(frames, connections).select(
@@ -90,5 +96,6 @@ def session_events(frames: DataFrame, connections: DataFrame) -> DataFrame:
         *identity,
         "direction",
         F.col("payload").cast("binary").alias("payload"),
+        "drop_reason",
     )
     return lifecycle(C.CONNECT, 0).unionByName(messages).unionByName(lifecycle(C.DISCONNECT, 2))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..operators.admission import admit_ocpi, admit_ocpp, admitted, ocpp_events, rejected, withhold
+from ..operators.admission import admit_ocpi, admit_ocpp, admitted, ocpp_events, rejected, stamp_received, withhold
 from ..operators.batching import assemble_envelopes, with_chunk
 from ..operators.clients import with_config
 from ..operators.records import OCPI_FIELDS, OCPP_FIELDS, ocpi_records, ocpp_records
@@ -34,9 +34,9 @@ def prepare_ocpi(
     extra_headers: Iterable[str] | Column = (),
     redact: Redactor | None = None,
 ) -> DataFrame:
-    """Validate, then redact; rejected rows stay, with their reason and without their content."""
+    """Stamp the receive time, validate, redact; rejected rows stay, with their reason and without their content."""
     redact = redact or ocpi_redactor(extra_headers)
-    prepared = captures.transform(admit_ocpi, cap).transform(redact)
+    prepared = captures.transform(stamp_received).transform(admit_ocpi, cap).transform(redact)
     return prepared.transform(withhold, *_OCPI_CONTENT)
 
 
@@ -45,9 +45,9 @@ def prepare_ocpp(
     cap: Column | int = C.DEFAULT_MAX_CAPTURE_BYTES,
     redact: Redactor | None = None,
 ) -> DataFrame:
-    """Project, validate, then redact; rejected rows stay, with their reason and without their frame."""
+    """Project, stamp the receive time, validate, redact; rejected rows stay, with their reason and without their frame."""
     redact = redact or ocpp_redactor()
-    prepared = events.transform(ocpp_events).transform(admit_ocpp, cap).transform(redact)
+    prepared = events.transform(ocpp_events).transform(stamp_received).transform(admit_ocpp, cap).transform(redact)
     return prepared.transform(withhold, "payload")
 
 
@@ -69,16 +69,21 @@ def flush(
     prepared: DataFrame,
     protocol: str,
     capacity: Column | int | None = None,
-    keys: Sequence[str] = ("client_id",),
+    keys: Sequence[str] | None = None,
     hold: Hold | None = None,
 ) -> Flushed:
     """Cut the records; with a `capacity`, bound each buffer first.
 
+    A buffer is named by `keys`: client and flush cycle on a table, the client
+    alone in a micro-batch, which is a cycle.
+
     `prepared` is read more than once. Hand in a table that `stage` has written,
     or a persisted micro-batch.
     """
     held = prepared
     if capacity is not None:
+        if keys is None:
+            raise ValueError("a capacity needs the keys of a buffer, such as client_id and cycle")
         options = {} if hold is None else {"hold": hold}
         held = mark_ring_overflow(held, capacity, keys, **options)
     to_records = ocpi_records if protocol == C.OCPI else ocpp_records

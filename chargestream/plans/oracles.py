@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..sources import testdata
-from .queries import DAY, DOCUMENT_CAP, HOUR, OCPI_CAP, OCPP_CAP, RING_CAPACITY
+from .queries import CYCLE_CAPACITY, DAY, DOCUMENT_CAP, HOUR, OCPI_CAP, OCPP_CAP, RING_CAPACITY
 
 _NAMES = ("orders", "customer", "nation", "events", "conversations", "documents")
 
@@ -167,7 +167,7 @@ _SELECTS = {
         coalesce({_header_text('map_entries(request_headers)')}, '') AS request_headers,
         to_base64(encode(request_body_text)) AS request_body FROM ocpi""",
     "ocpp_source_scan": """SELECT seq, client_id, event_type, charger_id, direction, payload_text AS payload FROM ocpp""",
-    "received_stamp": "SELECT event_id AS seq, true AS stamped FROM events",
+    "received_stamp": "SELECT event_id AS seq, CASE WHEN event_id % 3 <> 0 THEN epoch_us(ts) END AS given_us, true AS stamped FROM events",
     "direction_stamp": "SELECT seq, client_id, direction FROM exchange",
     "event_projection": "SELECT seq, event_type, direction, payload_text AS payload FROM ocpp",
     "ocpi_records": f"SELECT client_id, seq, protocol, {_OCPI_RECORD_COLUMNS} FROM ocpi_record",
@@ -199,6 +199,9 @@ _SELECTS = {
       FROM ocpi WHERE valid""",
     "ring_keep_newest": f"""SELECT client_id, seq, event_name FROM raw_event
       QUALIFY row_number() OVER (PARTITION BY client_id ORDER BY seq DESC) <= {RING_CAPACITY}""",
+    "ring_per_cycle": f"""SELECT client_id, cycle, seq
+      FROM (SELECT client_id, seq, epoch_us(captured_ts) // {HOUR}000000::BIGINT * {HOUR} AS cycle FROM raw_event)
+      QUALIFY row_number() OVER (PARTITION BY client_id, cycle ORDER BY seq DESC) <= {CYCLE_CAPACITY}""",
     "ring_overflow": f"""SELECT client_id, seq, coalesce(drop_reason,
         CASE WHEN row_number() OVER (PARTITION BY client_id, drop_reason IS NULL ORDER BY seq DESC) > {RING_CAPACITY}
              THEN 'ring_overflow' END) AS drop_reason FROM ocpi_reason""",
@@ -222,10 +225,22 @@ _SELECTS = {
     "envelope_roundtrip": f"""SELECT client_id, {_OCPI_RECORD_COLUMNS.replace(
         'request_body,', 'decode(from_base64(request_body)) AS request_body,').replace(
         ' response_body', ' decode(from_base64(response_body)) AS response_body')} FROM ocpi_record""",
-    "routed_sink": f"SELECT protocol, {_OCPP_FIELDS}, decode(from_base64(raw_frame)) AS raw_frame FROM ocpp_record",
+    "routed_sink": f"""SELECT protocol, client_id, chunk, route, content_encoding, {_OCPP_FIELDS},
+        decode(from_base64(raw_frame)) AS raw_frame
+      FROM (SELECT *, (row_number() OVER (PARTITION BY client_id ORDER BY seq) - 1) // 1000 AS chunk FROM ocpp_record)
+      JOIN (SELECT client_id, chunk, route, content_encoding FROM ({_envelopes("ocpp_record", _OCPP_JSON, "zstd")}))
+        USING (client_id, chunk)""",
+    "envelope_decode_faults": """SELECT doc_id::VARCHAR AS url, CASE WHEN doc_id % 3 <> 0 THEN sha256(text) END AS sha256,
+        CASE WHEN doc_id % 3 = 0 THEN 'undecodable_body' END AS drop_reason FROM documents""",
     "record_sink": """SELECT protocol, client_id, seq, captured_at, request_body, NULL::VARCHAR AS raw_frame FROM ocpi_record
       UNION ALL SELECT protocol, client_id, seq, captured_at, NULL, raw_frame FROM ocpp_record""",
-    "session_identity_join": """SELECT connection_id, seq, charger_id, tenant_id, tenant_name, direction
+    "session_identity_join": """SELECT connection_id, seq, charger_id, tenant_id, tenant_name, direction,
+        NULL::VARCHAR AS drop_reason FROM frame JOIN connection USING (connection_id)""",
+    "orphan_frames_rejected": f"""SELECT connection_id, seq, CASE
+          WHEN regexp_matches(connection_id, '[05]$') THEN 'unknown_connection'
+          WHEN direction IS NULL THEN 'incomplete_frame'
+          WHEN trim(charger_id) = '' THEN 'invalid_identity'
+          WHEN strlen(payload_text) > {DOCUMENT_CAP} THEN 'frame_oversize' END AS drop_reason
       FROM frame JOIN connection USING (connection_id)""",
     "session_events": f"""SELECT *, CASE
           WHEN event_type = 2 AND direction IS NULL THEN 'incomplete_frame'

@@ -25,6 +25,7 @@ OCPI_CAP = 27
 OCPP_CAP = 32
 DOCUMENT_CAP = 4096
 RING_CAPACITY = 1000
+CYCLE_CAPACITY = 2
 HOUR, DAY = 3600, 86400
 
 QUERIES: dict[str, Query] = {}
@@ -101,9 +102,13 @@ def ocpp_source_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def received_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = testdata.ocpp_capture(spark, sf_dir).drop("captured_ts")
+    """Every third event comes without a time; the others keep theirs."""
+    absent = F.col("seq") % 3 == 0
+    events = testdata.ocpp_capture(spark, sf_dir)
+    events = events.withColumn("captured_ts", F.when(~absent, F.col("captured_ts")))
     stamped = events.transform(admission.stamp_received)
-    return stamped.select("seq", F.col("captured_ts").isNotNull().alias("stamped"))
+    given = F.when(~absent, F.unix_micros("captured_ts"))
+    return stamped.select("seq", given.alias("given_us"), F.col("captured_ts").isNotNull().alias("stamped"))
 
 
 # --- projections -------------------------------------------------------------
@@ -205,7 +210,7 @@ def header_allowlist(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def header_allowlist_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
     exchanges = testdata.ocpi_capture(spark, sf_dir)
-    kept = exchanges.transform(redaction.redact_headers, ["  X-Trace ", "x-trace", "COOKIE", "   "])
+    kept = exchanges.transform(redaction.redact_headers, ["X-Trace", None, "\tcookie", 7, ""])
     return _with_header_text(kept).select("seq", "request_headers", "response_headers")
 
 
@@ -239,16 +244,26 @@ def custom_redactor(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def ring_keep_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = testdata.ocpp_capture(spark, sf_dir)
-    return events.transform(ring.keep_newest, RING_CAPACITY).select("client_id", "seq", "event_name")
+    return events.transform(ring.keep_newest, RING_CAPACITY, ["client_id"]).select("client_id", "seq", "event_name")
 
 
 @query
 def ring_overflow(spark: SparkSession, sf_dir: str) -> DataFrame:
     exchanges = testdata.ocpi_capture(spark, sf_dir).transform(admission.admit_ocpi, OCPI_CAP)
-    marked = exchanges.transform(ring.mark_ring_overflow, RING_CAPACITY)
+    entered = stage(exchanges.select("client_id", "seq", "drop_reason"), "entered")
+    marked = entered.transform(ring.mark_ring_overflow, RING_CAPACITY, ["client_id"])
     return marked.select("client_id", "seq", "drop_reason")
 
 
+@query
+def ring_per_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A flush empties the buffers: of each client the newest of every hour stay."""
+    keys = ["client_id", "cycle"]
+    rows = testdata.ocpp_capture(spark, sf_dir).transform(batching.with_cycle, HOUR).select(*keys, "seq")
+    kept = stage(rows, "cycles").transform(ring.keep_newest, CYCLE_CAPACITY, keys)
+    return kept.withColumn("cycle", _epoch_second("cycle"))
+
+
 @query
 def ring_newest_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ring.newest(testdata.ocpp_capture(spark, sf_dir), RING_CAPACITY).select("client_id", "seq")
@@ -308,7 +323,20 @@ def envelope_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def routed_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "envelopes")
     sinks.write_envelopes(flush.batches(stage(_ocpp_records(spark, sf_dir), "records"), C.OCPP), path)
-    return batching.decode_ocpp(sinks.read_envelopes(spark, path))
+    sent = batching.decode_ocpp(sinks.read_envelopes(spark, path))
+    return sent.drop("n_messages", "first_seq", "last_seq", "body_bytes")
+
+
+@query
+def envelope_decode_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bodies whose base64 is broken in every third record; the others decode."""
+    docs = testdata.table(spark, sf_dir, "documents")
+    sent = F.when(F.col("doc_id") % 3 == 0, F.lit("a")).otherwise(F.base64(F.col("text").cast("binary")))
+    message = F.struct(F.col("doc_id").cast("string").alias("url"), sent.alias("request_body"))
+    bodies = docs.select(F.to_json(F.struct(F.array(message).alias("messages"))).alias("body"))
+    sound = batching.decode_ocpi(bodies).select("url", F.sha2("request_body", 256).alias("sha256"))
+    faults = batching.decode_faults(bodies, C.OCPI).select("url", "drop_reason")
+    return sound.unionByName(faults, allowMissingColumns=True)
 
 
 @query
@@ -328,10 +356,19 @@ def record_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 def session_identity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames, known = _session(spark, sf_dir)
     return sessions.with_identity(frames, known).select(
-        "connection_id", "seq", "charger_id", "tenant_id", "tenant_name", "direction"
+        "connection_id", "seq", "charger_id", "tenant_id", "tenant_name", "direction", "drop_reason"
     )
 
 
+@query
+def orphan_frames_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fifth of the connections is not known; their frames are rejected, none is lost."""
+    frames, known = _session(spark, sf_dir)
+    some = known.where(~F.col("connection_id").rlike("[05]$"))
+    events = sessions.session_events(frames, some).transform(admission.admit_ocpp, DOCUMENT_CAP)
+    return events.where("phase = 1").select("connection_id", "seq", "drop_reason")
+
+
 @query
 def session_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames, known = _session(spark, sf_dir)
@@ -404,7 +441,7 @@ def inert_clients_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
 def per_client_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     exchanges, config = testdata.ocpi_capture(spark, sf_dir), testdata.client_config(spark, sf_dir)
     prepared = stage(flush.prepare_ocpi_per_client(exchanges, config), "per-client")
-    held = ring.mark_ring_overflow(prepared, F.col("config.buffer_capacity"))
+    held = ring.mark_ring_overflow(prepared, F.col("config.buffer_capacity"), ["client_id"])
     kept = F.when(F.col("drop_reason").isNull(), F.nullif(_header_text("request_headers"), F.lit("")))
     return held.select("client_id", "seq", "drop_reason", kept.alias("request_headers"))
 
@@ -429,4 +466,4 @@ def stream_ocpp_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     connected = events.transform(stream_connections.assign_connections)
     path = scratch_path(spark, "stream")
     stream_flush.start_flushing(connected, path, flush.prepare_ocpp, C.OCPP, interval=None).awaitTermination()
-    return stream_flush.read_flushed(spark, path).drop("flush")
+    return stream_flush.read_flushed(spark, path, protocol=C.OCPP).drop("flush")

@@ -7,9 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Runtime settings the operators are written for. `captured_at` is formatted in
-# the session time zone, so UTC is required; the rest lets Spark re-plan with
-# measured sizes and split hot join keys.
+# Runtime settings the operators are written for: times without a zone are read
+# as UTC, and Spark re-plans with measured sizes and splits hot join keys.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -57,8 +56,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_paths: list[str] = []
+
+
+def release(spark: SparkSession) -> int:
+    """Delete what this session has put into the shared folder; how many paths there were.
+
+    For the job that owns the session, once its results are written: tables
+    that `stage` returned cannot be read any more.
+    """
+    done = len(_paths)
+    for path in _paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    _paths.clear()
+    return done
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and go on from there.
+    """Write a table to the shared folder and go on from there, until `release`.
 
     For results that are read more than once: the work above is done once, later
     passes read only the columns they need, and lost executors cost nothing.
@@ -69,5 +85,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path in the shared folder."""
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new, unused path in the shared folder; `release` deletes it."""
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _paths.append(path)
+    return path

@@ -27,14 +27,18 @@ def write_records(
     )
 
 
-def write_envelopes(df: DataFrame, path: str, codec: str = "gzip") -> None:
-    """One batch body per line, one folder per protocol. The text sink has no zstd."""
-    out = df.select("protocol", "body").write.mode("overwrite")
-    out.option("compression", codec).partitionBy("protocol").text(path)
+def write_envelopes(df: DataFrame, path: str, codec: str = "zstd") -> None:
+    """One row per batch, one folder per protocol: the body, and what delivering it takes.
+
+    Client, chunk, first and last message, route and encoding stay beside the
+    body, so that a batch can be posted and matched with its attempts.
+    """
+    out = df.write.mode("overwrite").option("compression", codec)
+    out.partitionBy("protocol").parquet(path)
 
 
 def read_envelopes(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("value STRING, protocol STRING").text(path).withColumnRenamed("value", "body")
+    return spark.read.parquet(path)
 
 
 def write_rejected(df: DataFrame, path: str) -> None:

@@ -75,15 +75,21 @@ DOCUMENTS_SQL = """
 SELECT doc_id AS seq, 'gw-' || (doc_id % 4) AS client_id, text AS request_body_text FROM {documents}
 """
 
+# Every 36 events in a row are batches of 1 to 8 attempts: some are still under
+# way, some go on after the limit. No event is left out.
 ATTEMPTS_SQL = """
-SELECT user_id AS batch_id, CASE WHEN user_id % 2 = 0 THEN 'ocpi' ELSE 'ocpp' END AS protocol,
-  user_id * 10 AS n_messages, rn - 1 AS attempt,
-  CASE event_type WHEN 'view' THEN 200 WHEN 'click' THEN 503 WHEN 'signup' THEN 500
+SELECT base + size AS batch_id, CASE WHEN size % 2 = 0 THEN 'ocpi' ELSE 'ocpp' END AS protocol,
+  CAST(size * 10 AS BIGINT) AS n_messages,
+  CAST(event_id - base - CASE size WHEN 1 THEN 0 WHEN 2 THEN 1 WHEN 3 THEN 3 WHEN 4 THEN 6 WHEN 5 THEN 10 WHEN 6 THEN 15
+    WHEN 7 THEN 21 ELSE 28 END AS INTEGER) AS attempt,
+  CASE event_type WHEN 'view' THEN (CASE WHEN event_id % 4 = 0 THEN 200 ELSE 502 END) WHEN 'click' THEN 503
+    WHEN 'signup' THEN 500
     WHEN 'purchase' THEN (CASE WHEN event_id % 3 = 0 THEN 400 WHEN event_id % 3 = 1 THEN 401 ELSE 413 END)
     ELSE NULL END AS status
-FROM (SELECT event_id, user_id, event_type,
-        row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM {events}) e
-WHERE rn <= 5
+FROM (SELECT event_id, event_type, event_id - event_id % 36 AS base,
+        CASE WHEN event_id % 36 < 1 THEN 1 WHEN event_id % 36 < 3 THEN 2 WHEN event_id % 36 < 6 THEN 3
+          WHEN event_id % 36 < 10 THEN 4 WHEN event_id % 36 < 15 THEN 5 WHEN event_id % 36 < 21 THEN 6
+          WHEN event_id % 36 < 28 THEN 7 ELSE 8 END AS size FROM {events}) e
 """
 
 CONFIG_SQL = """

@@ -7,13 +7,16 @@ flushes. A flush that is run again replaces its own folders.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Iterator, Sequence
-from contextlib import ExitStack, contextmanager
+from contextlib import ExitStack, contextmanager, suppress
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import constants as C
+from .. import schemas
 from ..plans.flush import batches, flush
 from ..sources.sinks import write_envelopes, write_records, write_rejected
 
@@ -79,13 +82,41 @@ def force_flush(query: StreamingQuery) -> None:
     query.processAllAvailable()
 
 
-def close(query: StreamingQuery) -> None:
-    """Flush what is left and stop. A second call does nothing."""
-    if query.isActive:
-        query.processAllAvailable()
-        query.stop()
+def close(query: StreamingQuery, deadline: float = C.DEFAULT_DRAIN_TIMEOUT) -> bool:
+    """Flush what is left and stop, `deadline` seconds later at the latest. A second call does nothing.
+
+    True if nothing was left. Unlike `force_flush` this ends while a source
+    keeps filling; what is left is flushed when the stream starts again.
+    """
+    if not query.isActive:
+        return True
+    drained = threading.Event()
+
+    def drain() -> None:
+        with suppress(Exception):  # the query may end while this waits
+            query.processAllAvailable()
+            drained.set()
+
+    threading.Thread(target=drain, daemon=True).start()
+    done = drained.wait(deadline)
+    query.stop()
+    return done
 
 
-def read_flushed(spark: SparkSession, path: str, what: str = "records") -> DataFrame:
-    """Everything the flushes have written so far."""
-    return spark.read.parquet(f"{path}/{what}")
+_RECORDS = {C.OCPI: schemas.OCPI_RECORD, C.OCPP: schemas.OCPP_RECORD}
+
+
+def read_flushed(spark: SparkSession, path: str, what: str = "records", protocol: str | None = None) -> DataFrame:
+    """Everything the flushes have written so far.
+
+    Rejected messages, and records of a named protocol, have a known schema, so
+    there may be none of them yet.
+    """
+    reader = spark.read
+    keys = StructType().add("client_id", "string").add("seq", "long")
+    places = StructType().add("flush", "long").add("protocol", "string")
+    if what == "rejected":
+        reader = reader.schema(StructType([*keys, StructField("drop_reason", StringType()), *places]))
+    elif what == "records" and protocol is not None:
+        reader = reader.schema(StructType([*keys, *_RECORDS[protocol], *places]))
+    return reader.parquet(f"{path}/{what}")

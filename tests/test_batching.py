@@ -22,13 +22,13 @@ MOMENT = datetime(2026, 5, 18, 12, 34, 56, 789_123, UTC)
 def message(at: int) -> dict:
     return {
         "captured_ts": MOMENT,
-        "tenant_id": "t1",
-        "tenant_name": "Tenant One",
-        "url": f"/ocpi/2.2/cdrs/{at}",
-        "status_code": 200,
-        "request_headers": {"X-Trace": str(at)},
-        "response_headers": {"content-type": "application/json"},
-        "request_body": f"body-{at}".encode(),
+        "tenant_id": "north",
+        "tenant_name": "North Grid",
+        "url": f"/v3/sessions/{at}",
+        "status_code": 202,
+        "request_headers": {"Lane": str(at)},
+        "response_headers": {"link": "next"},
+        "request_body": b"\x00payload %d" % at,
     }
 
 
@@ -41,20 +41,14 @@ def test_ocpi_record(ocpi):
     assert list(row)[3:] == R.OCPI_FIELDS
     assert re.match(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{3}Z$", row["captured_at"])
     assert row["captured_at"] == "2026-05-18T12:34:56.789Z"
-    assert (row["direction"], row["http_method"], row["response_status_code"]) == ("IN", "POST", 200)
-    assert row["request_headers"] == {"X-Trace": "7"}
-    assert base64.standard_b64decode(row["request_body"]) == b"body-7"
+    assert (row["direction"], row["http_method"], row["response_status_code"]) == ("IN", "POST", 202)
+    assert row["request_headers"] == {"Lane": "7"}
+    assert base64.standard_b64decode(row["request_body"]) == b"\x00payload 7"
 
 
-NULLABLE = [
-    "tenant_id",
-    "tenant_name",
-    "response_status_code",
-    "request_headers",
-    "request_body",
-    "response_headers",
-    "response_body",
-]
+# What an exchange need not have: everything but who, when, which way and where.
+REQUIRED = {"captured_at", "platform_id", "platform_name", "direction", "http_method", "url"}
+NULLABLE = [name for name in R.OCPI_FIELDS if name not in REQUIRED]
 
 
 def test_absent_values_are_null_on_the_wire(ocpi):
@@ -113,7 +107,7 @@ def test_chunks_hold_at_most_a_thousand_in_order(ocpi):
     assert {row.content_encoding for row in summary} == {"gzip"}
     assert {row.route for row in summary} == {"/v1/ocpi"}
     urls = [record["url"] for body in bodies(sent) for record in body["messages"]]
-    assert urls == [f"/ocpi/2.2/cdrs/{at}" for at in range(2500)]
+    assert urls == [f"/v3/sessions/{at}" for at in range(2500)]
 
 
 def test_chunks_of_several_clients_and_cycles(spark):
@@ -178,7 +172,7 @@ def test_decode_undoes_assemble(ocpi, ocpp):
     records = ocpi(*[message(at) for at in range(30)]).transform(R.ocpi_records)
     decoded = B.decode_ocpi(batches(records, C.OCPI).select("body"))
     assert [row.request_body for row in decoded.orderBy(F.length("url"), "url").collect()] == [
-        f"body-{at}".encode() for at in range(30)
+        b"\x00payload %d" % at for at in range(30)
     ]
     frames = ocpp(*[{"payload": f"é{at}".encode(), "direction": "TO_CP"} for at in range(9)])
     decoded = B.decode_ocpp(batches(frames.transform(R.ocpp_records), C.OCPP).select("body"))
@@ -213,3 +207,11 @@ def test_malformed_bodies_yield_no_records(spark):
 def test_unknown_fields_are_passed_over(spark):
     df = spark.createDataFrame([(' {"x":[1],"messages":[{"url":"/x","y":2}]}\n',)], "body STRING")
     assert [row.url for row in B.decode_ocpi(df).collect()] == ["/x"]
+
+
+def test_a_body_that_is_no_base64_costs_one_record_and_not_the_job(spark):
+    sent = [{"url": f"/{at}", "request_body": body} for at, body in enumerate(["YQ==", "a", None, "%%%", "Yg=="])]
+    df = spark.createDataFrame([(json.dumps({"messages": sent}),)], "body STRING")
+    assert [(r.url, r.request_body) for r in B.decode_ocpi(df).collect()] == [("/0", b"a"), ("/2", None), ("/4", b"b")]
+    faults = B.decode_faults(df, C.OCPI).collect()
+    assert [(r.url, r.request_body, r.drop_reason) for r in faults] == [("/1", "a", C.UNDECODABLE_BODY), ("/3", "%%%", C.UNDECODABLE_BODY)]

@@ -127,7 +127,7 @@ def test_whole_job(ocpi, seed):
 
     shuffled = rng.sample(rows, len(rows))
     prepared = stage(prepare_ocpi(ocpi(*shuffled).repartition(5), CAP, EXTRA), "whole")
-    done = flush(prepared, C.OCPI, CAPACITY)
+    done = flush(prepared, C.OCPI, CAPACITY, ["client_id"])
     lost = {row.seq: row.drop_reason for row in done.rejected.collect()}
     assert lost == {seq: reason for seq, reason in reasons.items() if reason}
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
-from chargestream.session import RUNTIME_CONF, checkpoint_dir, configure, scratch_path, stage
+from chargestream.session import RUNTIME_CONF, checkpoint_dir, configure, release, scratch_path, stage
 
 INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
@@ -40,3 +42,11 @@ def test_a_staged_table_is_read_from_its_files(spark):
 
 def test_an_empty_table_can_be_staged(spark):
     assert stage(spark.range(0), "test").collect() == []
+
+
+def test_release_empties_the_folder(spark):
+    first, second = stage(spark.range(3), "test"), stage(spark.range(4), "test")
+    places = [path.removeprefix("file:").removeprefix("//") for df in (first, second) for path in df.inputFiles()]
+    assert places and all(os.path.exists(path) for path in places)
+    assert release(spark) >= 2
+    assert not any(os.path.exists(path) for path in places) and release(spark) == 0

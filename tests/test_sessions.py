@@ -61,20 +61,23 @@ def connections(spark, *rows):
 
 
 def test_session_life_cycle(spark):
-    known = connections(spark, ("c1", "CP-001", "t1", "Tenant One"))
-    sent = frames(
-        spark,
-        (1, "c1", "FROM_CP", bytearray(b'[2,"id","BootNotification",{}]')),
-        (2, "c1", "TO_CP", bytearray(b'[3,"id",{}]')),
-        (3, "unknown", "TO_CP", bytearray(b"x")),
-    )
-    rows = S.session_events(sent, known).orderBy("connection_id", "phase", "seq").collect()
-    assert [row.event_type for row in rows] == [C.CONNECT, C.MESSAGE, C.MESSAGE, C.DISCONNECT]
-    assert {row.connection_id for row in rows} == {"c1"} and {row.charger_id for row in rows} == {"CP-001"}
-    assert {row.tenant_id for row in rows} == {"t1"}
-    assert (rows[0].direction, rows[0].payload) == (None, None)
-    assert (rows[1].direction, rows[1].payload) == ("FROM_CP", b'[2,"id","BootNotification",{}]')
-    assert rows[2].direction == "TO_CP"
+    known = connections(spark, ("line-7", "post-3", "north", "North Grid"))
+    sent = frames(spark, *[(at, "line-7", "TO_CP" if at % 2 else "FROM_CP", bytearray(b"%d" % at)) for at in range(9, 2, -1)])
+    rows = S.session_events(sent, known).orderBy("phase", "seq").collect()
+    assert [row.event_type for row in rows] == [C.CONNECT, *[C.MESSAGE] * 7, C.DISCONNECT]
+    assert {(row.connection_id, row.charger_id, row.tenant_id, row.tenant_name) for row in rows} == {
+        ("line-7", "post-3", "north", "North Grid")
+    }
+    assert all((row.seq, row.direction, row.payload) == (None, None, None) for row in (rows[0], rows[-1]))
+    assert [(row.seq, row.payload) for row in rows[1:-1]] == [(at, b"%d" % at) for at in range(3, 10)]
+
+
+def test_frames_of_an_unknown_connection_are_rejected_and_none_is_lost(spark):
+    known = connections(spark, ("k", "post", None, None))
+    sent = frames(spark, *[(at, name, "TO_CP", bytearray(b"f")) for at, name in enumerate(["k", "gone", None, "k", "gone"])])
+    rows = S.session_events(sent, known).where("phase = 1").transform(A.admit_ocpp)
+    assert column(rows, "drop_reason") == [None, C.UNKNOWN_CONNECTION, C.UNKNOWN_CONNECTION, None, C.UNKNOWN_CONNECTION]
+    assert A.admitted(rows).count() + rows.where("drop_reason IS NOT NULL").count() == sent.count()
 
 
 def test_a_connection_without_frames_still_connects_and_disconnects(spark):

@@ -30,8 +30,11 @@ def test_envelopes_go_to_one_folder_per_protocol(spark, ocpi, tmp_path):
     path = str(tmp_path / "envelopes")
     records = ocpi(*[{"url": f"/{at}"} for at in range(12)]).transform(R.ocpi_records)
     sinks.write_envelopes(batches(records, C.OCPI, size=5), path)
-    assert all(p.endswith(".txt.gz") for p in glob.glob(f"{path}/protocol=ocpi/part-*"))
+    assert all(".zstd." in p for p in glob.glob(f"{path}/protocol=ocpi/part-*"))
     back = sinks.read_envelopes(spark, path)
+    placed = back.orderBy("chunk").select("client_id", "chunk", "n_messages", "first_seq", "last_seq", "route", "content_encoding")
+    assert [tuple(row)[:5] for row in placed.collect()] == [("gw", 0, 5, 0, 4), ("gw", 1, 5, 5, 9), ("gw", 2, 2, 10, 11)]
+    assert {(row.route, row.content_encoding) for row in placed.collect()} <= {("/v1/ocpi", "identity"), ("/v1/ocpi", "zstd")}
     assert back.count() == 3 and back.select("protocol").distinct().collect()[0].protocol == "ocpi"
     assert {row.url for row in B.decode_ocpi(back).collect()} == {f"/{at}" for at in range(12)}
 

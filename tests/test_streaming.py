@@ -125,8 +125,8 @@ def test_forced_flush_and_close(spark, ocpi, folder):
     sf.force_flush(query)
     assert sf.read_flushed(spark, f"{folder}/out").count() == 2
     ocpi({}, {}).withColumn("seq", F.col("seq") + 2).write.mode("append").parquet(f"{folder}/in")
-    sf.close(query)
-    sf.close(query)
+    assert sf.close(query)
+    assert sf.close(query)
     assert not query.isActive
     assert sorted(row.seq for row in sf.read_flushed(spark, f"{folder}/out").collect()) == [0, 1, 2, 3]
 
@@ -198,3 +198,18 @@ def test_messages_are_parsed_from_json(spark, ocpi):
     parsed = captures.parse_messages(topic, schemas.OCPI_CAPTURE)
     assert parsed.schema == exchange.schema
     assert sorted(parsed.collect(), key=lambda row: row.seq) == exchange.collect()
+
+
+def test_close_keeps_its_deadline_and_says_what_is_left(spark, ocpi, folder):
+    write_parts(ocpi(*[{}] * 4), f"{folder}/in", 4)
+    stream = arriving(spark, f"{folder}/in", schemas.OCPI_CAPTURE)
+    query = sf.start_flushing(stream, f"{folder}/out", prepare_ocpi, C.OCPI, interval=0.1)
+    assert not sf.close(query, deadline=0.0) and not query.isActive
+
+
+def test_no_admitted_record_yet(spark, ocpi, folder):
+    write_parts(ocpi({"platform_id": ""}), f"{folder}/in", 1)
+    stream = arriving(spark, f"{folder}/in", schemas.OCPI_CAPTURE)
+    sf.start_flushing(stream, f"{folder}/out", prepare_ocpi, C.OCPI, interval=None).awaitTermination()
+    assert sf.read_flushed(spark, f"{folder}/out", protocol=C.OCPI).collect() == []
+    assert sf.read_flushed(spark, f"{folder}/out", "rejected").count() == 1
