@@ -107,13 +107,19 @@ def shares(nodes: DataFrame, parents: list[str], name: str) -> DataFrame:
 def budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     """Per leaf (its three names and `tokens`): `given`, `full_epochs` and `rest`."""
     whole = leaves.withColumns({"__root": F.lit(0), "supply": (F.col("tokens") * mix.max_epochs).cast(_WHOLE)})
-    budget = F.expr(f"(sum(tokens) * {mix.share[0]}) div {mix.share[1]}").cast(_WHOLE)
-    given = whole.groupBy("__root").agg(budget.alias("budget"))
+    given = None
     keys = ["__root"]
     for name, weights in zip(_LEVELS, (mix.domains, mix.languages, mix.sources), strict=True):
         parents, keys = keys, [*keys, name]
         nodes = whole.groupBy(*keys).agg(F.sum("supply").cast(_WHOLE).alias("supply"), F.sum("tokens").alias("tokens"))
-        level = shares(nodes.withColumn("weight", _weight(name, weights)).join(given, parents), parents, name)
+        nodes = nodes.withColumn("weight", _weight(name, weights))
+        if given is None:  # the root's budget; there are as many rows as domains
+            everything = nodes.withColumn("__all", F.sum("tokens").over(Window.partitionBy(*parents)))
+            budget = F.expr(f"(__all * {mix.share[0]}) div {mix.share[1]}").cast(_WHOLE)
+            nodes = everything.withColumn("budget", budget).drop("__all")
+        else:
+            nodes = nodes.join(given, parents)
+        level = shares(nodes, parents, name)
         given = level.select(*keys, F.col("given").alias("budget"))
     return level.select(
         *_LEVELS,

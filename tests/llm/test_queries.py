@@ -7,6 +7,7 @@ import re
 import pytest
 
 from __spark_entry__ import queries
+from chargestream.llm import mixing
 from chargestream.llm.queries import ORACLES, QUERIES
 
 from ..compare import duck, oracle_rows, spark_rows
@@ -33,3 +34,6 @@ def test_a_row_per_row(llm, name, of):
 def test_mixing_runs_no_python(llm):
     plan = QUERIES["op9_hierarchical_mixing"](llm, SF)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
+    leaves = llm.createDataFrame([("web", "en", "a", 9)], "__domain string, __lang string, __source string, tokens long")
+    plan = mixing.budgets(leaves, mixing.DEFAULT)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Cartesian|NestedLoop", plan)
