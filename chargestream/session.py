@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,12 +66,15 @@ def release(spark: SparkSession) -> int:
     For the job that owns the session, once its results are written: tables
     that `stage` returned cannot be read any more.
     """
-    done = len(_paths)
-    for path in _paths:
+    return _delete(spark, list(_paths))
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> int:
+    for path in paths:
         place = spark._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-    _paths.clear()
-    return done
+        _paths.remove(path)
+    return len(paths)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -84,6 +88,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_result(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """As `stage`, for what `build` returns; deletes what `build` put into the shared folder meanwhile.
+
+    So the tables an operator works with need the disk no longer than it works.
+    """
+    before = len(_paths)
+    result = stage(build(), name)
+    _delete(spark, _paths[before:-1])  # the last one is the result's own
+    return result
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path in the shared folder; `release` deletes it."""
     path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"

@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from chargestream.session import RUNTIME_CONF, checkpoint_dir, configure, release, scratch_path, stage
+from chargestream.session import RUNTIME_CONF, checkpoint_dir, configure, release, scratch_path, stage, stage_result
 
 INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
@@ -50,3 +50,16 @@ def test_release_empties_the_folder(spark):
     assert places and all(os.path.exists(path) for path in places)
     assert release(spark) >= 2
     assert not any(os.path.exists(path) for path in places) and release(spark) == 0
+
+
+def test_a_staged_result_leaves_only_itself(spark):
+    made = []
+
+    def build():
+        made.append(scratch_path(spark, "inner"))
+        spark.range(3).write.parquet(made[0])
+        return spark.read.parquet(made[0])
+
+    result = stage_result(spark, "outer", build)
+    assert not os.path.exists(made[0].removeprefix("file:"))
+    assert sorted(r.id for r in result.collect()) == [0, 1, 2]
