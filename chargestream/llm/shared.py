@@ -16,6 +16,7 @@ from urllib.parse import unquote, urlparse
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -168,7 +169,7 @@ class Shelf:
         self.store, self.schema = store, schema
         self._rows: list[tuple] = []
         self._held: list[np.ndarray] = []
-        self._size = 0
+        self._size = self._files = 0
 
     def add(self, row: tuple, values: np.ndarray) -> None:
         self._rows.append((*row, self._size, len(values)))
@@ -180,7 +181,9 @@ class Shelf:
 
     def out(self) -> pa.RecordBatch:
         """The rows so far: their columns, then file, start and size."""
-        file = uuid.uuid4().int >> 65
+        # No two attempts of any task of a session have one number, and small numbers shuffle well.
+        file = (TaskContext.get().taskAttemptId() << 20) + self._files
+        self._files += 1
         save(self.store.path(file), np.concatenate([np.zeros(0, np.uint64), *self._held]))
         columns = list(zip(*self._rows, strict=True)) or [()] * (len(self.schema) - 1)
         columns.insert(-2, (file,) * len(self._rows))
