@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import stage, stage_result
 from . import text as T
 from .components import components
 from .shared import (
@@ -367,8 +367,12 @@ def join_documents(docs: DataFrame, n: int = 5, threshold: float | Fraction = 0.
     `docs` needs doc_id (an integer) and text; words are runs of anything but
     ASCII white space, A-Z lower-cased. `threshold` is exact as a fraction.
     """
+    exact = Fraction(str(threshold)) if isinstance(threshold, float) else Fraction(threshold)
+    return stage_result(docs.sparkSession, "ngram-joined", lambda: _joined(docs, n, exact))
+
+
+def _joined(docs: DataFrame, n: int, threshold: Fraction) -> DataFrame:
     spark: SparkSession = docs.sparkSession
-    threshold = Fraction(str(threshold)) if isinstance(threshold, float) else Fraction(threshold)
     docs = docs.select("doc_id", "text")
     size = input_bytes(docs)
     often = sketch(docs, n, size)
