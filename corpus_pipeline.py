@@ -37,8 +37,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that an earlier one has."""
     settings(spark)
-    found = stage(substring_dedup.passages(docs), "repeated-passages")
-    left = substring_dedup.without_passages(docs, found)
+    left = substring_dedup.without_passages(docs, substring_dedup.passages(docs))
     return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
