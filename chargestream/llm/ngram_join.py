@@ -367,10 +367,26 @@ def join_documents(docs: DataFrame, n: int = 5, threshold: float | Fraction = 0.
     `docs` needs doc_id (an integer) and text; words are runs of anything but
     ASCII white space, A-Z lower-cased. `threshold` is exact as a fraction.
     """
+    return join_rows(docs, n, threshold).drop("cls")
+
+
+def join_rows(docs: DataFrame, n: int = 5, threshold: float | Fraction = 0.8) -> DataFrame:
+    """As `join_documents`, with the fingerprint of each row's n-grams, cls, which tells texts of one id apart."""
     exact = Fraction(str(threshold)) if isinstance(threshold, float) else Fraction(threshold)
     return stage_result(docs.sparkSession, "ngram-joined", lambda: _joined(docs, n, exact))
 
 
+def without_classes(docs: DataFrame, gone: str, n: int) -> DataFrame:
+    """Rows of `docs` whose fingerprint is not in their column `gone`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in T.slices(batches, "text"):
+            classes = zip(_sets(batch, n), T.column(batch, gone).to_pylist(), strict=True)
+            yield batch.filter(pa.array([_fingerprint(grams) not in cut for grams, cut in classes], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _joined(docs: DataFrame, n: int, threshold: Fraction) -> DataFrame:
     spark: SparkSession = docs.sparkSession
     docs = docs.select("doc_id", "text")
@@ -404,7 +420,8 @@ def _joined(docs: DataFrame, n: int, threshold: Fraction) -> DataFrame:
     second = links(postings(known, met, store, only=still), forest=False)
     whole = stage(components(first.unionAll(second)), "ngram-components").withColumnRenamed("node", "cls")
     grouped = members.join(whole, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    grouped = stage(grouped.select("doc_id", "n_shingles", "component"), "ngram-grouped")
+    grouped = stage(grouped.select("doc_id", "n_shingles", "cls", "component"), "ngram-grouped")
     least = grouped.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = grouped.join(least, "component", "left")
-    return named.select("doc_id", "n_shingles", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    least_id = F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return named.select("doc_id", "n_shingles", least_id.alias("component_id"), "cls")

@@ -27,11 +27,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the least doc_id. Rows without an id stay."""
+    """Of each group of near duplicates the document with the least doc_id. Rows without an id stay.
+
+    Rows of one id are looked at by their texts: one with a near duplicate of a smaller id goes, the others stay.
+    """
     settings(spark)
-    joined = ngram_join.join_documents(docs, n=5, threshold=0.8)
-    gone = joined.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(stage(gone, "near-duplicates"), "doc_id", "left_anti").select(*docs.columns)
+    joined = ngram_join.join_rows(docs, n=5, threshold=0.8)
+    goes = F.coalesce(F.col("doc_id") != F.col("component_id"), F.lit(False))
+    named = joined.where("doc_id is not null").groupBy("doc_id").agg(
+        F.max(goes).alias("goes"), F.min(goes).alias("all_go"), F.collect_set(F.when(goes, F.col("cls"))).alias("gone")
+    )
+    named = stage(named.where("goes").select("doc_id", "all_go", "gone"), "near-duplicates")
+    clean = docs.join(named.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    # Of an id with several texts, only those go that have a near duplicate.
+    mixed_ids = named.where("not all_go").select("doc_id", "gone")
+    return clean.unionByName(ngram_join.without_classes(docs.join(mixed_ids, "doc_id"), "gone", 5).select(*docs.columns))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

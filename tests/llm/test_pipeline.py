@@ -61,3 +61,12 @@ def test_planted_cases(llm, tmp_path):
 def test_smallest_tables(llm):
     rows = P.run(llm, SF).collect()
     assert rows and len({r.doc_id for r in rows}) == len(rows)
+
+
+def test_texts_of_one_id_go_by_their_own_duplicates(documents):
+    rnd = random.Random(2)
+    first, other, third = (prose(rnd, 200, 10**6) for _ in range(3))
+    rows = [(1, first), (7, edited(rnd, first, 2)), (7, other), (8, other), (9, third), (None, first)]
+    docs = documents(*[(i, " ".join(t)) for i, t in rows])
+    left = P.near_duplicates(docs.sparkSession, docs, "").collect()
+    assert sorted((r.doc_id or 0, r.text) for r in left) == sorted((i or 0, " ".join(t)) for i, t in (rows[0], rows[2], rows[4], rows[5]))
