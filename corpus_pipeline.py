@@ -71,7 +71,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("mixing", mixed),
 ]
 
-# Near-duplicate passages are beyond SQL; tests/llm holds the stages against brute force.
+# Near-duplicate passages are beyond SQL; tests/llm holds the passages found and their stage against brute force, the rest against planted cases.
 ORACLE_SQL = None
 
 

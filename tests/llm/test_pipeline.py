@@ -7,6 +7,7 @@ import random
 import corpus_pipeline as P
 
 from .conftest import edited, prose
+from .test_substring_dedup import Corpus, copies, frequent_line
 
 SF = "/root/testdata/sf0.001"
 
@@ -70,3 +71,20 @@ def test_texts_of_one_id_go_by_their_own_duplicates(documents):
     docs = documents(*[(i, " ".join(t)) for i, t in rows])
     left = P.near_duplicates(docs.sparkSession, docs, "").collect()
     assert sorted((r.doc_id or 0, r.text) for r in left) == sorted((i or 0, " ".join(t)) for i, t in (rows[0], rows[2], rows[4], rows[5]))
+
+
+def test_passages_stage_equals_brute_force(documents):
+    corpus = Corpus(17)
+    line = frequent_line(corpus.rnd)
+    for doc in range(3):
+        corpus.add(doc, corpus.passage(line))  # dissimilar leaders
+    p, q = corpus.prose(120), corpus.prose(90)
+    same = corpus.passage(line)
+    corpus.add(20, p + corpus.prose(30) + q, same)
+    corpus.add(21, p + q)
+    corpus.add(22, same, q + p)
+    corpus.add(23, p[:60] + corpus.prose(7) + p[60:])
+    corpus.check(documents)
+    docs = documents(*[(doc, " ".join(words)) for doc, words in corpus.rows.items()])
+    left = {r.doc_id: r.text.split() for r in P.repeated_passages(docs.sparkSession, docs, "").collect()}
+    assert left[20] == corpus.rows[20] and not list(copies(left))
