@@ -18,6 +18,7 @@ from . import (
     ngram_join,
     quality_rules,
     substring_dedup,
+    token_records,
     toxicity,
     warc,
 )
@@ -281,3 +282,14 @@ def op10_toxicity_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return _classified(toxicity.classify(docs, model), 0.5)
+
+
+# --- 12 ------------------------------------------------------------------------
+
+
+@query
+def op12_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import path  # vocabularies are installed on the workers, not part of the library
+
+    read = token_records.round_trip(spark, table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"))
+    return read.select("doc_id", "start", "n_tokens", "ids_crc32")

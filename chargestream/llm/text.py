@@ -114,10 +114,11 @@ def words(column: pa.Array, of: Alphabet) -> Words:
     end = np.flatnonzero(inside & ~after) + 1
     row = np.searchsorted(offsets, start, side="right") - 1
     counts = np.bincount(row, minlength=len(offsets) - 1)
-    return Words(_hashes(data, start, end, of.value), row, start, end, counts, data, offsets)
+    return Words(hashes(data, start, end, of.value), row, start, end, counts, data, offsets)
 
 
-def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, value: np.ndarray) -> np.ndarray:
+def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Hash of each slice data[start:end] under a value per byte."""
     out = np.empty(len(start), np.uint64)
     at = 0
     while at < len(start):
@@ -167,13 +168,13 @@ def shingles(found: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     return grams[order], rows[order]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about SLICE_BYTES of text, one row at least."""
+def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about `size` bytes of text, one row at least."""
     for batch in batches:
         _, offsets = buffer(batch.column(batch.schema.get_field_index(column)))
         at = 0
         while at < batch.num_rows:
-            upto = max(int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, side="right")) - 1, at + 1)
+            upto = max(int(np.searchsorted(offsets, offsets[at] + size, side="right")) - 1, at + 1)
             upto = min(upto, batch.num_rows)
             yield batch.slice(at, upto - at)
             at = upto
