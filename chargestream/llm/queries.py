@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..session import configure
 from . import (
     compression_classifier,
+    conversation_repair,
     decontaminate,
     html_extract,
     kneser_ney,
@@ -284,6 +285,84 @@ def op10_toxicity_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classified(toxicity.classify(docs, model), 0.5)
 
 
+# --- 11 ------------------------------------------------------------------------
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(table(spark, sf_dir, "conversations"))
+
+
+_WHITE = r"\x20\x09-\x0D"
+_STEP = "CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
+
+# The oracle walks rows forwards and keeps the least (cost, edits) per role spoken last: 0 nobody, 1 system, 2 user, 3 assistant.
+ORACLES["op11_conversation_repair"] = rf"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda x, i: {_STEP}, n::BIGINT)) AS t
+), raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations
+), drawn AS (
+  SELECT raw.*, xor(list_reduce(list_transform(string_split(name, ''), lambda c: ascii(c)::BIGINT),
+      lambda x, b: xor(x >> 8, t[(xor(x, b) & 255) + 1]), 4294967295::BIGINT), 4294967295::BIGINT) % 20 AS draw
+  FROM raw, crc
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN draw = 4 THEN 'user' ELSE role END AS role,
+    CASE draw WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(range(CASE WHEN draw = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM drawn WHERE draw <> 0
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS n,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen FROM damaged
+), fault AS (
+  SELECT *, left(role, 1) AS c, CASE WHEN NOT regexp_matches(text, '[^{_WHITE}]') THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][{_WHITE}]*\z') THEN 'truncated' ELSE '' END AS f FROM numbered
+), counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, sum((f = 'blank')::INT) AS blank,
+    sum((f = 'duplicate')::INT) AS duplicate, sum((f = 'truncated')::INT) AS truncated,
+    sum((before IS NOT NULL AND before || c NOT IN ('su', 'ua', 'au'))::INT) AS illegal
+  FROM (SELECT *, lag(c) OVER (PARTITION BY conv_id ORDER BY n) AS before FROM fault) GROUP BY conv_id
+), chain AS (
+  SELECT coalesce(conv_id, -1) AS k, conv_id IS NULL AS none, list(struct_pack(c := c, gone := f IN ('blank', 'duplicate'), extra := CASE WHEN f = 'truncated' THEN 3 ELSE 0 END,
+      role := role, text := text) ORDER BY n) AS rs
+  FROM fault GROUP BY conv_id
+), best AS (
+  SELECT k, none, 0 AS i, 0 AS st, 0 AS cost, '' AS audit, ''::VARCHAR AS said FROM chain
+  UNION ALL
+  SELECT k, none, i, st, p.cost, p.audit, p.said FROM (
+    SELECT k, none, i, st, min(struct_pack(cost := cost, audit := audit, said := said)) AS p FROM (
+      SELECT k, none, i + 1 AS i, cost + 3 * ins + move_cost AS cost, audit || repeat('I', ins) || move AS audit, to_st AS st,
+        said || CASE WHEN ins = 0 THEN '' WHEN mid = 2 AND ins = 1 OR mid = 3 AND ins = 3 THEN 'user:' || chr(10)
+          WHEN mid = 3 AND ins = 1 THEN 'assistant:' || chr(10) WHEN mid = 3 THEN 'user:' || chr(10) || 'assistant:' || chr(10)
+          ELSE 'assistant:' || chr(10) || 'user:' || chr(10) END || line AS said
+      FROM (
+        SELECT m.*, unnest([
+          struct_pack(move := 'D', move_cost := 4, to_st := mid, line := ''),
+          struct_pack(move := 'K', move_cost := CASE WHEN NOT r.gone AND (r.c = 's' AND mid = 0 OR r.c = 'u' AND mid <> 2 OR r.c = 'a' AND mid = 2)
+              THEN r.extra END, to_st := CASE r.c WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END, line := r.role || ':' || r.text || chr(10)),
+          struct_pack(move := 'R', move_cost := CASE WHEN NOT r.gone THEN 3 + r.extra END, to_st := CASE WHEN mid = 2 THEN 3 ELSE 2 END,
+              line := CASE WHEN mid = 2 THEN 'assistant:' ELSE 'user:' END || r.text || chr(10))], recursive := true)
+        FROM (
+          SELECT b.*, rs[b.i + 1] AS r, ins, CASE WHEN ins = 0 THEN st WHEN st = 2 THEN CASE WHEN ins % 2 = 1 THEN 3 ELSE 2 END
+            ELSE CASE WHEN ins % 2 = 1 THEN 2 ELSE 3 END END AS mid
+          FROM best b JOIN chain USING (k, none), unnest([0, 1, 2]) u(ins) WHERE b.i < len(rs)) m)
+      WHERE move_cost IS NOT NULL)
+    GROUP BY k, none, i, st)
+), ended AS (
+  SELECT k, none, min(struct_pack(cost := cost + CASE st WHEN 1 THEN 6 WHEN 2 THEN 3 ELSE 0 END,
+    audit := audit || CASE st WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END,
+    said := said || CASE st WHEN 1 THEN 'user:' || chr(10) || 'assistant:' || chr(10) WHEN 2 THEN 'assistant:' || chr(10) ELSE '' END)) AS p
+  FROM best JOIN chain USING (k, none) WHERE i = len(rs) GROUP BY k, none
+)
+SELECT a.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(p.cost, 0)::BIGINT AS cost,
+  coalesce(p.audit, '') AS audit, sha256(coalesce(left(p.said, length(p.said) - 1), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN counted ON counted.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN ended ON ended.k = coalesce(a.conv_id, -1) AND ended.none = (a.conv_id IS NULL)
+"""
+
+
 # --- 12 ------------------------------------------------------------------------
 
 
