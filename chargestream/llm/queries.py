@@ -18,6 +18,7 @@ from . import (
     mixing,
     ngram_join,
     quality_rules,
+    source_divergence,
     substring_dedup,
     token_records,
     toxicity,
@@ -372,3 +373,52 @@ def op12_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     read = token_records.round_trip(spark, table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"))
     return read.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+# --- 13 ------------------------------------------------------------------------
+
+
+@query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
+_LETTERS = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+_PART = "(p - q) * (p - q) // q"
+
+ORACLES["op13_source_divergence"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_LETTERS}') AS ts FROM documents
+), o AS (
+  SELECT r, lang, source, unnest(ts) AS item FROM d
+), k AS (
+  SELECT lang, item, count(*) AS n FROM o GROUP BY lang, item HAVING count(DISTINCT r) >= {source_divergence.LEAST}
+), l AS (
+  SELECT lang, count(*) AS v, sum(n) AS n FROM k GROUP BY lang
+), g AS (
+  SELECT DISTINCT lang, source FROM d
+), c AS (
+  SELECT lang, source, item, count(*) AS n FROM o JOIN k USING (lang, item) GROUP BY lang, source, item
+), gn AS (
+  SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS n FROM g LEFT JOIN c USING (lang, source) GROUP BY g.lang, g.source
+), s AS (
+  SELECT gn.lang, gn.source, k.item, coalesce(c.n, 0) AS n,
+    1 + {source_divergence.SCALE}::HUGEINT * (coalesce(c.n, 0) + 1) // (gn.n + l.v) AS p,
+    1 + {source_divergence.SCALE}::HUGEINT * (k.n + 1) // (l.n + l.v) AS q
+  FROM gn JOIN k USING (lang) JOIN l USING (lang) LEFT JOIN c ON c.lang = gn.lang AND c.source = gn.source AND c.item = k.item
+), f AS (
+  SELECT lang, source, item, sum({_PART}) AS value
+  FROM (SELECT a.lang, a.source, b.source AS item, a.p, b.p AS q FROM s a JOIN s b ON a.lang = b.lang AND a.item = b.item AND a.source <> b.source)
+  GROUP BY lang, source, item
+), r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', item, ({_PART})::BIGINT FROM s WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value, (row_number() OVER w)::INTEGER AS rank FROM r
+WINDOW w AS (PARTITION BY lang, source, part ORDER BY value DESC, item)
+QUALIFY part = 'pair' OR row_number() OVER w <= {source_divergence.TOP}
+"""
