@@ -57,6 +57,8 @@ DEFAULT_BUFFER_CAPACITY = 10_000
 DEFAULT_MAX_CAPTURE_BYTES = 65_536
 DEFAULT_FLUSH_INTERVAL = 5.0
 DEFAULT_DRAIN_TIMEOUT = 10.0
+# How often a buffer is looked at.
+POLL_INTERVAL = 0.2
 DEFAULT_COMPRESSION = "zstd"
 COMPRESSIONS = ("gzip", "zstd")
 

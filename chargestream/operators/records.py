@@ -1,4 +1,4 @@
-"""Flat wire records. `client_id`, `seq` and `protocol` stay beside them as keys."""
+"""Flat wire records. `client_id`, `seq` and `protocol` stay beside them as keys, with the flush and the client's codec where known."""
 
 from __future__ import annotations
 
@@ -15,7 +15,9 @@ OCPP_FIELDS = schemas.OCPP_RECORD.fieldNames()
 
 def _keys(df: DataFrame, protocol: str) -> list[Column]:
     """Columns that identify and place a record but do not go on the wire."""
-    kept = [F.col(name) for name in ("client_id", "seq", "cycle") if name in df.columns]
+    kept = [F.col(name) for name in ("client_id", "seq", "cycle", "compression") if name in df.columns]
+    if "config" in df.columns:
+        kept.append(F.col("config.compression").alias("compression"))
     return [*kept, F.lit(protocol).alias("protocol")]
 
 

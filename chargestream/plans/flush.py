@@ -15,6 +15,7 @@ from .. import constants as C
 from ..operators.admission import admit_ocpi, admit_ocpp, admitted, ocpp_events, rejected, stamp_received, withhold
 from ..operators.batching import assemble_envelopes, with_chunk
 from ..operators.clients import with_config
+from ..operators.cycles import with_exact_cycle
 from ..operators.records import OCPI_FIELDS, OCPP_FIELDS, ocpi_records, ocpp_records
 from ..operators.redaction import Redactor, ocpi_redactor, ocpp_redactor
 from ..operators.ring import Hold, mark_ring_overflow
@@ -65,6 +66,17 @@ def prepare_ocpp_per_client(events: DataFrame, config: DataFrame) -> DataFrame:
     )
 
 
+def flush_per_client(prepared: DataFrame, protocol: str, poll: float = C.POLL_INTERVAL) -> Flushed:
+    """Cut the records of a table whose rows carry their client's `config`, in the flushes of its own interval.
+
+    Records keep `cycle` and `compression`: `batches(records, protocol, ["client_id", "cycle"])` are what the clients send.
+    """
+    interval = F.col("config.flush_interval")
+    flushed = admitted(prepared).transform(with_exact_cycle, interval, poll)
+    to_records = ocpi_records if protocol == C.OCPI else ocpp_records
+    return Flushed(to_records(flushed), rejected(prepared, protocol))
+
+
 def flush(
     prepared: DataFrame,
     protocol: str,
@@ -95,12 +107,16 @@ def batches(
     protocol: str,
     keys: Sequence[str] = ("client_id",),
     size: int = C.BATCH_CAP,
-    compression: Column | str = C.DEFAULT_COMPRESSION,
+    compression: Column | str | None = None,
 ) -> DataFrame:
     """Cut records into ordered batches, each written as one body.
 
+    The codec is the one that is given, or else that of the records' clients.
+
     `records` is read twice: its keys to number the rows, then whole. Hand in a
     table that `stage` has written, or a persisted micro-batch.
     """
+    if compression is None:
+        compression = F.col("compression") if "compression" in records.columns else C.DEFAULT_COMPRESSION
     chunked = with_chunk(records, keys, size)
     return assemble_envelopes(chunked, FIELDS[protocol], keys, compression)

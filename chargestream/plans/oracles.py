@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..sources import testdata
-from .queries import CYCLE_CAPACITY, DAY, DOCUMENT_CAP, HOUR, OCPI_CAP, OCPP_CAP, RING_CAPACITY
+from .queries import CYCLE_CAPACITY, DAY, DOCUMENT_CAP, EXACT_CAP, EXACT_POLL, HOUR, OCPI_CAP, OCPP_CAP, RING_CAPACITY
 
 _NAMES = ("orders", "customer", "nation", "events", "conversations", "documents")
 
@@ -278,8 +278,51 @@ _SELECTS = {
                          WHEN strlen(request_body_text) > max_capture_bytes THEN 'request_body_oversize'
                          WHEN strlen(response_body_text) > max_capture_bytes THEN 'response_body_oversize' END AS reason
                   FROM ocpi o LEFT JOIN (SELECT * FROM resolved WHERE active) r USING (client_id)))""",
+    "client_codec": f"""SELECT client_id, cycle, chunk, n_messages, strlen(body)::INTEGER AS body_bytes,
+        CASE WHEN strlen(body) < 1024 THEN 'identity' WHEN client_id = 'gw-1' THEN 'gzip' ELSE 'zstd' END AS content_encoding
+      FROM ({_bodies(
+          f"""(SELECT r.* REPLACE (CASE WHEN r.client_id <> 'gw-1' THEN list_filter(map_entries(m.request_headers),
+                lambda e: lower(e.key) IN ({ALLOWED}, CASE WHEN m.client_id = 'gw-2' THEN 'cookie' ELSE 'x-trace' END)) ELSE request_entries END AS request_entries),
+              epoch_us(m.captured_ts) + CASE WHEN r.client_id <> 'gw-1' AND m.captured_ts = min(m.captured_ts) OVER (PARTITION BY r.client_id)
+                THEN 5000000 ELSE 200000 END AS cycle
+            FROM ocpi_record r JOIN masked m ON m.client_id = r.client_id AND m.seq = r.seq WHERE r.client_id IN ('gw-0', 'gw-1', 'gw-2'))""",
+          _OCPI_JSON, 'client_id, cycle')})""",
     "stream_connection_ordinals": "SELECT client_id, charger_id, seq, ordinal FROM connected WHERE trim(charger_id) <> ''",
     "stream_ocpp_records": f"SELECT client_id, seq, protocol, {_OCPP_FIELDS}, raw_frame FROM ocpp_record",
 }
 
 ORACLES = {name: f"{_CTE}{select}" for name, select in _SELECTS.items()}
+
+# One poll with messages after the other: f is the last flush, o what waits since, g an interval that ended before this poll.
+_STEPS = HOUR // EXACT_POLL
+ORACLES["flush_cycles_exact"] = f"""WITH RECURSIVE raw_event AS ({_sql(testdata.OCPP_SQL)}),
+timed AS (SELECT client_id, seq, epoch_us(captured_ts) // {EXACT_POLL}000000 AS tick FROM raw_event),
+polled AS (
+  SELECT client_id, tick, n, row_number() OVER (PARTITION BY client_id ORDER BY tick) AS i
+  FROM (SELECT client_id, tick, count(*) AS n FROM timed GROUP BY client_id, tick)),
+played AS (
+  SELECT client_id, 0::BIGINT AS i, tick - 1 AS f, 0::HUGEINT AS o, NULL::BIGINT AS g, NULL::BIGINT AS p, NULL::VARCHAR AS why FROM polled WHERE i = 1
+  UNION ALL
+  SELECT client_id, i, CASE WHEN due THEN tick ELSE f END, CASE WHEN due THEN 0 ELSE o END, g, CASE WHEN due THEN tick END,
+    CASE WHEN o >= {EXACT_CAP} THEN 'count' ELSE 'interval' END
+  FROM (
+    SELECT *, tick - f >= {_STEPS} OR o >= {EXACT_CAP} AS due FROM (
+      SELECT s.client_id, q.i, q.tick, CASE WHEN s.o > 0 AND q.tick > s.f + {_STEPS} THEN s.f + {_STEPS} ELSE s.f END AS f,
+        CASE WHEN s.o > 0 AND q.tick > s.f + {_STEPS} THEN 0 ELSE s.o END + q.n AS o,
+        CASE WHEN s.o > 0 AND q.tick > s.f + {_STEPS} THEN s.f + {_STEPS} END AS g
+      FROM played s JOIN polled q ON q.client_id = s.client_id AND q.i = s.i + 1))),
+flushed AS (
+  SELECT client_id, g AS p, 'interval' AS why FROM played WHERE g IS NOT NULL
+  UNION ALL SELECT client_id, p, why FROM played WHERE p IS NOT NULL
+  UNION ALL SELECT client_id, f + {_STEPS}, 'interval' FROM played WHERE o > 0
+    QUALIFY row_number() OVER (PARTITION BY client_id ORDER BY i DESC) = 1 AND i = (SELECT max(i) FROM polled q WHERE q.client_id = played.client_id)),
+placed AS (
+  SELECT t.client_id, t.seq, x.p, x.why AS trigger,
+    (row_number() OVER (PARTITION BY t.client_id, x.p ORDER BY t.tick, t.seq) - 1) // {EXACT_CAP} AS chunk
+  FROM timed t ASOF JOIN flushed x ON t.client_id = x.client_id AND t.tick <= x.p)
+SELECT client_id, (p + 1) * {EXACT_POLL} AS cycle, trigger, chunk, count(*) AS n_messages, min(seq) AS first_seq, max(seq) AS last_seq
+FROM placed GROUP BY client_id, p, trigger, chunk"""
+
+ORACLES["stream_size_or_interval"] = ORACLES["flush_cycles_exact"].replace(
+    "FROM placed GROUP", f"FROM placed WHERE (p + 1) * {EXACT_POLL} <= (SELECT max(epoch_ms(captured_ts)) // 1000 FROM raw_event) GROUP"
+)

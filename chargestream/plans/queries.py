@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import body_size, is_credentials_url
-from ..operators import admission, batching, clients, delivery, ordering, records, redaction, ring, sessions
+from ..operators import admission, batching, clients, cycles, delivery, ordering, records, redaction, ring, sessions
 from ..session import configure, scratch_path, stage
 from ..sources import captures, sinks, testdata
+from ..streaming import buffers as stream_buffers
 from ..streaming import connections as stream_connections
 from ..streaming import flush as stream_flush
 from . import flush
@@ -27,6 +28,8 @@ DOCUMENT_CAP = 4096
 RING_CAPACITY = 1000
 CYCLE_CAPACITY = 2
 HOUR, DAY = 3600, 86400
+# Of flushes on size or interval: far apart, as the test events are.
+EXACT_POLL, EXACT_CAP = 120, 4
 
 QUERIES: dict[str, Query] = {}
 
@@ -289,6 +292,15 @@ def flush_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batching.chunk_summary(chunks, keys).withColumn("cycle", _epoch_second("cycle"))
 
 
+@query
+def flush_cycles_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flushes of four messages, or an hour after the last one, seen every two minutes."""
+    rows = testdata.ocpp_capture(spark, sf_dir).select("client_id", "seq", "captured_ts")
+    keys = ["client_id", "cycle", "trigger"]
+    found = rows.transform(cycles.with_exact_cycle, HOUR, EXACT_POLL, EXACT_CAP)
+    return batching.chunk_summary(found, keys).withColumn("cycle", _epoch_second("cycle"))
+
+
 @query
 def envelope_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     bodies = flush.batches(stage(_ocpi_records(spark, sf_dir), "records"), C.OCPI)
@@ -446,6 +458,18 @@ def per_client_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return held.select("client_id", "seq", "drop_reason", kept.alias("request_headers"))
 
 
+@query
+def client_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every client sends at its own interval and with its own codec."""
+    exchanges, config = testdata.ocpi_capture(spark, sf_dir), testdata.client_config(spark, sf_dir)
+    prepared = stage(flush.prepare_ocpi_per_client(exchanges, config), "per-client")
+    sent = stage(flush.flush_per_client(prepared, C.OCPI).records, "records")
+    bodies = flush.batches(sent, C.OCPI, ["client_id", "cycle"])
+    return bodies.select(
+        "client_id", F.unix_micros("cycle").alias("cycle"), "chunk", "n_messages", "body_bytes", "content_encoding"
+    )
+
+
 # --- streams -------------------------------------------------------------------
 
 
@@ -467,3 +491,37 @@ def stream_ocpp_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "stream")
     stream_flush.start_flushing(connected, path, flush.prepare_ocpp, C.OCPP, interval=None).awaitTermination()
     return stream_flush.read_flushed(spark, path, protocol=C.OCPP).drop("flush")
+
+
+def _slices(df: DataFrame, parts: int) -> list[DataFrame]:
+    """A table in parts of about equal size, the earlier first."""
+    shares = [part / parts for part in range(1, parts)]
+    (cuts,) = df.agg(F.percentile_approx(F.unix_micros("captured_ts"), shares, 10_000)).first()
+    at = F.unix_micros("captured_ts")
+    part = sum(((at > cut).cast("int") for cut in sorted(set(cuts or ()))), F.lit(0))
+    return [df.where(part == number) for number in range(parts)]
+
+
+def _arriving(parts: list[DataFrame], path: str) -> DataFrame:
+    """A stream of micro-batches, one for each part, in their order."""
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(path)
+    reader = parts[0].sparkSession.readStream.schema(parts[0].schema)
+    return reader.option("maxFilesPerTrigger", "1").option("latestFirst", "false").parquet(path)
+
+
+def _drained(stream: DataFrame, path: str) -> DataFrame:
+    writer = stream.writeStream.option("checkpointLocation", f"{path}/progress")
+    writer.trigger(availableNow=True).format("parquet").start(f"{path}/out").awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/out")
+
+
+@query
+def stream_size_or_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flushes of `flush_cycles_exact` from six micro-batches; what the stream's clock has not reached still waits."""
+    rows = testdata.ocpp_capture(spark, sf_dir).select("client_id", "seq", "captured_ts")
+    path = scratch_path(spark, "buffers")
+    arriving = _arriving(_slices(rows, 6), f"{path}/in")
+    found = stream_buffers.buffered(arriving, HOUR, EXACT_POLL, EXACT_CAP, clock=stream_buffers.CAPTURE)
+    chunks = batching.chunk_summary(_drained(found, path), ["client_id", "cycle", "trigger"])
+    return chunks.withColumn("cycle", _epoch_second("cycle"))
