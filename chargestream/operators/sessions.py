@@ -6,12 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from ..functions import non_blank
+from ..session import stage
 from .admission import add_reason
-from .ordering import running_total
+from .ordering import bucket_of, total_before
 
 # Messages of one charger are spread thinly over a client's sequence numbers,
 # so a bucket spans more of them than the default.
 _CHARGER_BUCKET_BITS = 20
+# Connects of one bucket are looked up in stretches of this many.
+_STRIDE = 1024
+_KEYS = ("client_id", "charger_id")
 
 
 def connection_id(client_id: Column, charger_id: Column, ordinal: Column) -> Column:
@@ -31,16 +36,49 @@ def connection_id(client_id: Column, charger_id: Column, ordinal: Column) -> Col
     return F.when(ordinal > 0, F.sha2(name, 256))
 
 
+def _connects(df: DataFrame) -> DataFrame:
+    """Per charger and bucket of sequence numbers: where its connects are, and how many come in earlier buckets."""
+    start = F.when(F.col("event_type") == C.CONNECT, F.col("seq"))
+    narrow = df.select(*_KEYS, bucket_of(F.col("seq"), _CHARGER_BUCKET_BITS).alias("__bucket"), start.alias("__start"))
+    starts = F.sort_array(F.collect_list("__start"))
+    buckets = narrow.groupBy(*_KEYS, "__bucket").agg(F.count("__start").alias("__n"), starts.alias("__starts"))
+    placed = total_before(buckets, _KEYS, "__bucket", "__n", "__before", _CHARGER_BUCKET_BITS)
+    heads = F.transform(F.sequence(F.lit(0), F.expr(f"(__n - 1) div {_STRIDE}").cast("int")), lambda at: F.get("__starts", at * _STRIDE))
+    return placed.withColumn("__heads", F.when(F.col("__n") > 0, heads))
+
+
+def _up_to(seq: Column) -> Column:
+    """Connects of the bucket up to this place: those before its stretch of _STRIDE, then those of the stretch."""
+    reached = F.size(F.filter("__heads", lambda head: head <= seq))
+    stretch = F.slice("__starts", (reached - 1) * _STRIDE + 1, F.lit(_STRIDE))
+    inside = (reached - 1) * _STRIDE + F.size(F.filter(stretch, lambda start: start <= seq))
+    return F.when(F.col("__heads").isNull() | (reached <= 0), F.lit(0)).otherwise(inside)
+
+
+def _unsorted(side: DataFrame) -> DataFrame:
+    """A staged table to join with: Spark broadcasts it if it is small; if not, its partitions are hashed, so that wide rows need no sort."""
+    size = int(str(side._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    limit = side.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return side if size <= limit else side.hint("shuffle_hash")
+
+
 def with_connection_ordinal(df: DataFrame) -> DataFrame:
     """Add `ordinal`: how many connects the charger has had up to this event.
 
     A disconnect does not end a connection; only the next connect does. All
-    connects count, also those that are rejected later.
+    connects count, also those that are rejected later. Only connects are
+    numbered. An event then looks up its charger's connects in its bucket, so
+    whole rows are neither sorted nor put into a window, and stay where they are
+    if that table is small.
     """
-    is_connect = F.when(F.col("event_type") == C.CONNECT, 1).otherwise(0)
-    return running_total(
-        df, ["client_id", "charger_id"], is_connect, "ordinal", bucket_bits=_CHARGER_BUCKET_BITS
-    )
+    found = _unsorted(stage(_connects(df), "connects"))
+    same = F.lit(True)
+    for name in _KEYS:
+        same = same & df[name].eqNullSafe(found[name])
+    same = same & (bucket_of(df["seq"], _CHARGER_BUCKET_BITS) == found["__bucket"])
+    joined = df.join(found, same, "left")
+    ordinal = F.coalesce(F.col("__before"), F.lit(0)) + _up_to(df["seq"])
+    return joined.select(*[df[name] for name in df.columns], ordinal.cast("bigint").alias("ordinal"))
 
 
 def with_connection_id(df: DataFrame) -> DataFrame:
@@ -50,8 +88,12 @@ def with_connection_id(df: DataFrame) -> DataFrame:
 
 
 def assign_connections(df: DataFrame) -> DataFrame:
-    """Give every event of a table the id of its connection."""
-    return df.transform(with_connection_ordinal).transform(with_connection_id).drop("ordinal")
+    """Give every event of a table the id of its connection.
+
+    Events without a charger get none; admission rejects them whatever their id.
+    """
+    numbered = df.transform(with_connection_ordinal).transform(with_connection_id).drop("ordinal")
+    return numbered.withColumn("connection_id", F.when(non_blank(F.col("charger_id")), F.col("connection_id")))
 
 
 def with_identity(frames: DataFrame, connections: DataFrame) -> DataFrame:

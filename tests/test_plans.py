@@ -43,11 +43,16 @@ def test_batches_shuffle_wide_rows_twice(ocpi, static_plan):
     assert plan.count("FileScan parquet") - plan.count("ReadSchema: struct<client_id:string,seq:bigint>") == 1
 
 
-def test_counting_connects_reads_no_payload(ocpp, static_plan):
-    events = stage(ocpp({}).drop("connection_id"), "plan")
-    plan = static_plan(events.transform(S.assign_connections))
+@pytest.mark.parametrize("limit", ["10m", "-1"])
+def test_counting_connects_neither_sorts_nor_windows_payloads(ocpp, static_plan, limit, spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    plan = static_plan(stage(ocpp({}).drop("connection_id"), "plan").transform(S.assign_connections))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     scans = re.findall(r"FileScan parquet \[(.*?)\]", plan)
-    assert sum("payload" in scan for scan in scans) == 1 and len(scans) > 1
+    assert sum("payload" in scan for scan in scans) == 1 and len(scans) == 2
+    assert "Window" not in plan and "Sort" not in plan
+    assert wide_shuffles(plan, "payload") == (0 if limit == "10m" else 1)
+    assert ("ShuffledHashJoin" in plan) == (limit == "-1")
 
 
 def test_admission_and_records_need_no_shuffle(ocpi, static_plan):

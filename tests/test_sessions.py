@@ -52,6 +52,16 @@ def test_ordinals_against_brute_force(ocpp):
     assert column(df.transform(S.with_connection_ordinal), "ordinal") == want
 
 
+def test_many_connects_of_one_bucket(ocpp, monkeypatch):
+    monkeypatch.setattr(S, "_STRIDE", 4)
+    rng = random.Random(3)
+    kinds = [rng.choice([C.CONNECT, C.CONNECT, C.MESSAGE]) for _ in range(300)]
+    places = [0, (1 << 20) - 1, 1 << 20, *rng.sample(range(1 << 22), 297)]
+    events = ocpp(*[{"seq": seq - 5, "event_type": kind} for seq, kind in zip(sorted(places), kinds, strict=True)])
+    want = [sum(kind == C.CONNECT for kind in kinds[: at + 1]) for at in range(300)]
+    assert column(events.repartition(3).transform(S.with_connection_ordinal), "ordinal") == want
+
+
 def frames(spark, *rows):
     return spark.createDataFrame(rows, "seq BIGINT, connection_id STRING, direction STRING, payload BINARY")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import glob
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -160,16 +162,41 @@ def test_connection_ids_equal_the_batch_ids(spark, ocpp, folder):
     assert rows(lost, "seq", "drop_reason") == rows(want.rejected, "seq", "drop_reason")
 
 
-def test_late_events_get_the_current_connection(spark, ocpp, folder):
-    kinds = {0: C.CONNECT, 5: C.CONNECT, 3: C.MESSAGE}
-    for seq, kind in kinds.items():
+def in_turn(ocpp, folder, kinds):
+    """A file, and so a micro-batch, for each (seq, event_type)."""
+    for seq, kind in kinds:
         part = ocpp({"seq": seq, "event_type": kind}).drop("connection_id")
         part.coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    stream = arriving(spark, f"{folder}/in", part.schema)
-    out = connections.with_connection_ordinal(stream).writeStream.option("checkpointLocation", f"{folder}/progress")
-    out.trigger(availableNow=True).format("parquet").start(f"{folder}/out").awaitTermination()
-    got = {row.seq: row.ordinal for row in spark.read.parquet(f"{folder}/out").collect()}
-    assert got == {0: 1, 5: 2, 3: 2}
+    return part.schema
+
+
+def drained(stream, folder, name="out"):
+    writer = stream.writeStream.option("checkpointLocation", f"{folder}/progress-{name}")
+    writer.trigger(availableNow=True).format("parquet").start(f"{folder}/{name}").awaitTermination()
+    return stream.sparkSession.read.parquet(f"{folder}/{name}")
+
+
+def test_late_events_get_the_connection_of_their_place(spark, ocpp, folder):
+    schema = in_turn(ocpp, folder, [(10, C.CONNECT), (50, C.CONNECT), (30, C.MESSAGE), (5, C.MESSAGE), (60, C.MESSAGE)])
+    out = drained(connections.with_connection_ordinal(arriving(spark, f"{folder}/in", schema)), folder)
+    assert {row.seq: row.ordinal for row in out.collect()} == {10: 1, 50: 2, 30: 1, 5: 0, 60: 2}
+    # Places that are no longer kept count with the connects that left them.
+    out = drained(connections.with_connection_ordinal(arriving(spark, f"{folder}/in", schema), keep=15), folder, "short")
+    assert {row.seq: row.ordinal for row in out.collect()} == {10: 1, 50: 2, 30: 1, 5: 1, 60: 2}
+
+
+def test_a_late_connect_renumbers_what_was_sent(spark, ocpp, folder):
+    schema = in_turn(ocpp, folder, [(9, C.MESSAGE), (20, C.CONNECT), (30, C.MESSAGE), (4, C.CONNECT), (15, C.CONNECT)])
+    sent = drained(connections.revised_ordinals(arriving(spark, f"{folder}/in", schema)), folder)
+    revisions = sorted((row.seq, row.revision, row.ordinal) for row in sent.collect())
+    assert revisions == [(4, 3, 1), (9, 0, 0), (9, 3, 1), (15, 4, 2), (20, 1, 1), (20, 3, 2), (20, 4, 3), (30, 2, 1), (30, 3, 2), (30, 4, 3)]
+    assert {row.seq: row.ordinal for row in connections.settled(sent).collect()} == {4: 1, 9: 1, 15: 2, 20: 3, 30: 3}
+
+
+def test_state_is_on_disk(spark, ocpp, folder):
+    schema = in_turn(ocpp, folder, [(1, C.CONNECT)])
+    drained(connections.with_connection_ordinal(arriving(spark, f"{folder}/in", schema)), folder)
+    assert glob.glob(f"{folder}/progress-out/state/0/*/*.changelog") or glob.glob(f"{folder}/progress-out/state/0/*/*.zip")
 
 
 def test_sources_read_what_was_written(spark, ocpi, ocpp, folder):
