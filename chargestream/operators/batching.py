@@ -11,6 +11,8 @@ from pyspark.sql.types import ArrayType, StructType
 from .. import constants as C
 from .. import schemas
 from ..functions import route
+from ..session import stage
+from .chunks import bytes_chunks, count_chunks, fits_broadcast, located, starts
 from .ordering import with_position
 from .records import OCPI_FIELDS, OCPP_FIELDS
 
@@ -48,45 +50,94 @@ def chunk_summary(df: DataFrame, keys: Sequence[str] = ("client_id",)) -> DataFr
     )
 
 
-def assemble_envelopes(
-    df: DataFrame,
-    fields: Sequence[str],
-    keys: Sequence[str] = ("client_id",),
-    compression: Column | str = C.DEFAULT_COMPRESSION,
-) -> DataFrame:
-    """One batch body per chunk, its records in order.
+# What a body has beside its records and a comma for each.
+_BODY_BYTES = 14
 
-    A group has at most one chunk of records. Records become JSON before the
-    shuffle, so the shuffle carries the finished text and nothing else.
-    """
+
+def _record(fields: Sequence[str]) -> Column:
     # U+007F is the one character the JSON writer leaves as it is.
-    json = F.to_json(F.struct(*fields), _JSON_OPTIONS)
-    record = F.replace(json, F.lit("\x7f"), F.lit("\\u007f"))
-    ordered = F.sort_array(F.collect_list(F.struct(F.col("seq"), record.alias("record"))))
+    return F.replace(F.to_json(F.struct(*fields), _JSON_OPTIONS), F.lit("\x7f"), F.lit("\\u007f"))
+
+
+def _grouped(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    ordered = F.sort_array(F.collect_list(F.struct("seq", F.col("__record").alias("record"))))
+    return rows.groupBy(*by).agg(ordered.alias("__records"))
+
+
+def _bodies(grouped: DataFrame, keys: Sequence[str], codec: Column) -> DataFrame:
     records = F.transform("__records", lambda item: item["record"])
-    body = F.concat(F.lit('{"messages":['), F.array_join(records, ","), F.lit("]}"))
-    carried = ["compression"] if isinstance(compression, Column) else []
-    rows = df.withColumn("compression", compression) if carried else df
-    grouped = rows.groupBy("protocol", *keys, "chunk", *carried).agg(ordered.alias("__records"))
-    codec = F.col("compression") if carried else F.lit(compression)
     return (
         grouped.select(
             "protocol",
             *keys,
             "chunk",
-            *carried,
+            codec.alias("__codec"),
             F.size("__records").alias("n_messages"),
             F.col("__records")[0]["seq"].alias("first_seq"),
             F.element_at("__records", -1)["seq"].alias("last_seq"),
-            body.alias("body"),
+            F.concat(F.lit('{"messages":['), F.array_join(records, ","), F.lit("]}")).alias("body"),
         )
         .withColumn("route", route(F.col("protocol")))
         .withColumn("body_bytes", F.octet_length("body"))
-        .withColumn("content_encoding", content_encoding(F.col("body_bytes"), codec))
-        .drop("compression")
+        .withColumn("content_encoding", content_encoding(F.col("body_bytes"), F.col("__codec")))
+        .drop("__codec")
     )
 
 
+def _with_record(df: DataFrame, fields: Sequence[str], compression: Column | str, *names: str) -> DataFrame:
+    """Keys, `seq`, codec and the finished JSON of every record; nothing else is shuffled."""
+    codec = compression if isinstance(compression, Column) else F.lit(compression)
+    return df.select("protocol", *names, "seq", codec.alias("__codec"), _record(fields).alias("__record"))
+
+
+def assemble_envelopes(
+    df: DataFrame,
+    fields: Sequence[str],
+    keys: Sequence[str] = ("client_id",),
+    compression: Column | str = C.DEFAULT_COMPRESSION,
+) -> DataFrame:
+    """One batch body per `chunk` that is already there, its records in order.
+
+    A group has at most one chunk of records. Records become JSON before the
+    shuffle, so the shuffle carries the finished text and nothing else.
+    """
+    rows = _with_record(df, fields, compression, *keys, "chunk")
+    return _bodies(_grouped(rows, ["protocol", *keys, "chunk", "__codec"]), keys, F.col("__codec"))
+
+
+def batch_bodies(
+    df: DataFrame,
+    fields: Sequence[str],
+    keys: Sequence[str] = ("client_id",),
+    size: int = C.BATCH_CAP,
+    max_bytes: int | None = None,
+    compression: Column | str = C.DEFAULT_COMPRESSION,
+) -> DataFrame:
+    """Cut records into ordered batches of at most `size`, and of `max_bytes` of body if given, each written as one body.
+
+    A record that is larger than that by itself is a batch of its own. The cuts
+    are found on narrow rows. Whole records are shuffled once: a batch whose
+    records all are in one range of `seq` is put together where the range is,
+    and only batches that cross a border are shuffled again.
+    """
+    keys = list(keys)
+    rows = _with_record(df, fields, compression, *keys)
+    if max_bytes is None:
+        chunked = count_chunks(df.select(*keys, "seq"), keys, size)
+    else:
+        rows = stage(rows.withColumn("__bytes", F.octet_length("__record").cast("bigint") + 1), "batch-records")
+        chunked = bytes_chunks(rows.select(*keys, "seq", "__bytes"), keys, size, max_bytes - _BODY_BYTES)
+    side = stage(starts(chunked, keys), "batch-starts")
+    placed = located(rows, side, keys)
+    by = ["protocol", *keys, "chunk", "__codec"]
+    if fits_broadcast(side):
+        grouped = _grouped(placed, by)
+    else:
+        inside = _grouped(placed.where("__whole"), [*by, "__range"]).drop("__range")
+        grouped = inside.unionByName(_grouped(placed.where("not __whole"), by))
+    return _bodies(grouped, keys, F.col("__codec"))
+
+
 def content_encoding(body_bytes: Column, codec: Column) -> Column:
     """Small bodies are sent as they are; the others with the chosen codec."""
     return F.when(body_bytes < C.COMPRESS_MIN_BYTES, F.lit("identity")).otherwise(codec)

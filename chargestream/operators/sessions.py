@@ -9,6 +9,7 @@ from .. import constants as C
 from ..functions import non_blank
 from ..session import stage
 from .admission import add_reason
+from .chunks import with_side
 from .ordering import bucket_of, total_before
 
 # Messages of one charger are spread thinly over a client's sequence numbers,
@@ -55,13 +56,6 @@ def _up_to(seq: Column) -> Column:
     return F.when(F.col("__heads").isNull() | (reached <= 0), F.lit(0)).otherwise(inside)
 
 
-def _unsorted(side: DataFrame) -> DataFrame:
-    """A staged table to join with: Spark broadcasts it if it is small; if not, its partitions are hashed, so that wide rows need no sort."""
-    size = int(str(side._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    limit = side.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return side if size <= limit else side.hint("shuffle_hash")
-
-
 def with_connection_ordinal(df: DataFrame) -> DataFrame:
     """Add `ordinal`: how many connects the charger has had up to this event.
 
@@ -71,14 +65,10 @@ def with_connection_ordinal(df: DataFrame) -> DataFrame:
     whole rows are neither sorted nor put into a window, and stay where they are
     if that table is small.
     """
-    found = _unsorted(stage(_connects(df), "connects"))
-    same = F.lit(True)
-    for name in _KEYS:
-        same = same & df[name].eqNullSafe(found[name])
-    same = same & (bucket_of(df["seq"], _CHARGER_BUCKET_BITS) == found["__bucket"])
-    joined = df.join(found, same, "left")
-    ordinal = F.coalesce(F.col("__before"), F.lit(0)) + _up_to(df["seq"])
-    return joined.select(*[df[name] for name in df.columns], ordinal.cast("bigint").alias("ordinal"))
+    ranged = df.withColumn("__bucket", bucket_of(F.col("seq"), _CHARGER_BUCKET_BITS))
+    joined = with_side(ranged, stage(_connects(df), "connects"), [*_KEYS, "__bucket"], "left")
+    ordinal = F.coalesce("__before", F.lit(0)) + _up_to(F.col("seq"))
+    return joined.select(*df.columns, ordinal.cast("bigint").alias("ordinal"))
 
 
 def with_connection_id(df: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..operators.admission import admit_ocpi, admit_ocpp, admitted, ocpp_events, rejected, stamp_received, withhold
-from ..operators.batching import assemble_envelopes, with_chunk
+from ..operators.batching import batch_bodies
 from ..operators.clients import with_config
 from ..operators.cycles import with_exact_cycle
 from ..operators.records import OCPI_FIELDS, OCPP_FIELDS, ocpi_records, ocpp_records
@@ -108,8 +108,9 @@ def batches(
     keys: Sequence[str] = ("client_id",),
     size: int = C.BATCH_CAP,
     compression: Column | str | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
-    """Cut records into ordered batches, each written as one body.
+    """Cut records into ordered batches, each written as one body (see `batch_bodies`).
 
     The codec is the one that is given, or else that of the records' clients.
 
@@ -118,5 +119,4 @@ def batches(
     """
     if compression is None:
         compression = F.col("compression") if "compression" in records.columns else C.DEFAULT_COMPRESSION
-    chunked = with_chunk(records, keys, size)
-    return assemble_envelopes(chunked, FIELDS[protocol], keys, compression)
+    return batch_bodies(records, FIELDS[protocol], keys, size, max_bytes, compression)

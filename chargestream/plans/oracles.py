@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..sources import testdata
-from .queries import CYCLE_CAPACITY, DAY, DOCUMENT_CAP, EXACT_CAP, EXACT_POLL, HOUR, OCPI_CAP, OCPP_CAP, RING_CAPACITY
+from .queries import BODY_BYTES, CYCLE_CAPACITY, DAY, DOCUMENT_CAP, EXACT_CAP, EXACT_POLL, HOUR, OCPI_CAP, OCPP_CAP, RING_CAPACITY
 
 _NAMES = ("orders", "customer", "nation", "events", "conversations", "documents")
 
@@ -323,6 +323,22 @@ placed AS (
 SELECT client_id, (p + 1) * {EXACT_POLL} AS cycle, trigger, chunk, count(*) AS n_messages, min(seq) AS first_seq, max(seq) AS last_seq
 FROM placed GROUP BY client_id, p, trigger, chunk"""
 
+ORACLES["chunk_bytes"] = _CTE.replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+sized AS (
+  SELECT client_id, seq, json, row_number() OVER w AS i, sum(strlen(json) + 1) OVER (w ROWS UNBOUNDED PRECEDING) AS upto
+  FROM (SELECT client_id, seq, ({_OCPP_JSON})::VARCHAR AS json FROM ocpp_record) WINDOW w AS (PARTITION BY client_id ORDER BY seq)),
+cut AS (
+  SELECT client_id, 0::BIGINT AS chunk, 1::BIGINT AS i FROM sized WHERE i = 1
+  UNION ALL
+  SELECT b.client_id, b.chunk + 1, min(n.i)
+  FROM (SELECT c.client_id, c.chunk, c.i, s.upto - strlen(s.json) - 1 AS before FROM cut c JOIN sized s ON s.client_id = c.client_id AND s.i = c.i) b
+  JOIN sized n ON n.client_id = b.client_id WHERE n.i > b.i AND (n.upto - b.before > {BODY_BYTES} - 14 OR n.i - b.i >= 1000) GROUP BY b.client_id, b.chunk)
+SELECT client_id, chunk, count(*)::INTEGER AS n_messages, min(seq) AS first_seq, max(seq) AS last_seq,
+  strlen(any_value(body))::INTEGER AS body_bytes, md5(any_value(body)) AS body
+FROM (SELECT *, '{{"messages":[' || string_agg(json, ',' ORDER BY seq) OVER (PARTITION BY client_id, chunk) || ']}}' AS body
+  FROM (SELECT s.client_id, s.seq, s.json, c.chunk FROM sized s ASOF JOIN cut c ON s.client_id = c.client_id AND s.i >= c.i))
+GROUP BY client_id, chunk"""
+
 ORACLES["stream_size_or_interval"] = ORACLES["flush_cycles_exact"].replace(
     "FROM placed GROUP", f"FROM placed WHERE (p + 1) * {EXACT_POLL} <= (SELECT max(epoch_ms(captured_ts)) // 1000 FROM raw_event) GROUP"
 )

@@ -30,6 +30,7 @@ CYCLE_CAPACITY = 2
 HOUR, DAY = 3600, 86400
 # Of flushes on size or interval: far apart, as the test events are.
 EXACT_POLL, EXACT_CAP = 120, 4
+BODY_BYTES = 6000
 
 QUERIES: dict[str, Query] = {}
 
@@ -313,6 +314,14 @@ def ocpp_envelope_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bodies.withColumn("body", F.md5("body"))
 
 
+@query
+def chunk_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of at most a thousand messages and six thousand bytes."""
+    sent = stage(_ocpp_records(spark, sf_dir), "records")
+    bodies = flush.batches(sent, C.OCPP, max_bytes=BODY_BYTES)
+    return bodies.select("client_id", "chunk", "n_messages", "first_seq", "last_seq", "body_bytes", F.md5("body").alias("body"))
+
+
 @query
 def content_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["client_id", "cycle"]

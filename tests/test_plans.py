@@ -37,10 +37,11 @@ def test_numbering_shuffles_wide_rows_once(ocpi, static_plan):
     assert "ReadSchema: struct<client_id:string,seq:bigint>" in plan
 
 
-def test_batches_shuffle_wide_rows_twice(ocpi, static_plan):
+def test_batches_shuffle_wide_rows_once(ocpi, static_plan):
     records = stage(ocpi({}).transform(R.ocpi_records), "plan")
     plan = static_plan(batches(records, C.OCPI))
-    assert plan.count("FileScan parquet") - plan.count("ReadSchema: struct<client_id:string,seq:bigint>") == 1
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("request_body") and "Sort" not in plan
+    assert "BroadcastHashJoin" in plan
 
 
 @pytest.mark.parametrize("limit", ["10m", "-1"])
