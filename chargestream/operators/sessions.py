@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -100,12 +102,17 @@ def with_identity(frames: DataFrame, connections: DataFrame) -> DataFrame:
     return add_reason(joined, unknown).drop("__known")
 
 
-def session_events(frames: DataFrame, connections: DataFrame) -> DataFrame:
+def session_events(
+    frames: DataFrame,
+    connections: DataFrame,
+    identify: Callable[[DataFrame, DataFrame], DataFrame] = with_identity,
+) -> DataFrame:
     """Each connection's connect, its frames and its disconnect.
 
-    `phase` and `seq` give the order within a connection.
+    `phase` and `seq` give the order within a connection. On streams, `identify`
+    is that of `streaming.sessions`.
     """
-    identity = [name for name in connections.columns if name != "connection_id"]
+    identity = [name for name in connections.columns if name not in ("connection_id", "captured_ts")]
     no_seq = F.lit(None).cast("bigint").alias("seq")
 
     def lifecycle(event_type: int, phase: int) -> DataFrame:
@@ -120,7 +127,7 @@ def session_events(frames: DataFrame, connections: DataFrame) -> DataFrame:
             F.lit(None).cast("string").alias("drop_reason"),
         )
 
-    messages = with_identity(frames, connections).select(
+    messages = identify(frames, connections).select(
         "connection_id",
         F.lit(1).alias("phase"),
         "seq",

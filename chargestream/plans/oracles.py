@@ -252,6 +252,17 @@ _SELECTS = {
             SELECT connection_id, 1, seq, 2, charger_id, direction, strlen(payload_text)::INTEGER
               FROM frame JOIN connection USING (connection_id)
             UNION ALL SELECT connection_id, 2, NULL, 0, charger_id, NULL, 0 FROM connection)""",
+    "stream_session_events": f"""SELECT *, CASE
+          WHEN event_type = 2 AND regexp_matches(connection_id, '[05]$') THEN 'unknown_connection'
+          WHEN event_type = 2 AND direction IS NULL THEN 'incomplete_frame'
+          WHEN trim(charger_id) = '' THEN 'invalid_identity'
+          WHEN payload_bytes > {DOCUMENT_CAP} THEN 'frame_oversize' END AS drop_reason
+      FROM (SELECT connection_id, 0 AS phase, NULL::BIGINT AS seq, 1 AS event_type, charger_id,
+              NULL::VARCHAR AS direction, 0 AS payload_bytes FROM connection WHERE NOT regexp_matches(connection_id, '[05]$')
+            UNION ALL
+            SELECT connection_id, 1, seq, 2, CASE WHEN NOT regexp_matches(connection_id, '[05]$') THEN charger_id END,
+              direction, strlen(payload_text)::INTEGER FROM frame JOIN connection USING (connection_id)
+            UNION ALL SELECT connection_id, 2, NULL, 0, charger_id, NULL, 0 FROM connection WHERE NOT regexp_matches(connection_id, '[05]$'))""",
     "connection_ordinals": "SELECT client_id, charger_id, seq, event_type, ordinal, connection_id FROM connected",
     "delivery_outcomes": "SELECT * FROM outcome",
     "delivery_drop_accounting": """SELECT protocol, reason, count(*) AS n_batches, sum(n_messages)::BIGINT AS n_messages

@@ -17,6 +17,7 @@ from ..sources import captures, sinks, testdata
 from ..streaming import buffers as stream_buffers
 from ..streaming import connections as stream_connections
 from ..streaming import flush as stream_flush
+from ..streaming import sessions as stream_sessions
 from . import flush
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +32,8 @@ HOUR, DAY = 3600, 86400
 # Of flushes on size or interval: far apart, as the test events are.
 EXACT_POLL, EXACT_CAP = 120, 4
 BODY_BYTES = 6000
+# Seconds at which the made-up times of conversations begin.
+EPOCH = 1_700_000_000
 
 QUERIES: dict[str, Query] = {}
 
@@ -392,9 +395,11 @@ def orphan_frames_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def session_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frames, known = _session(spark, sf_dir)
-    events = sessions.session_events(frames, known).transform(admission.admit_ocpp, DOCUMENT_CAP)
-    return events.select(
+    return _judged_events(sessions.session_events(*_session(spark, sf_dir)))
+
+
+def _judged_events(events: DataFrame) -> DataFrame:
+    return events.transform(admission.admit_ocpp, DOCUMENT_CAP).select(
         "connection_id",
         "phase",
         "seq",
@@ -534,3 +539,22 @@ def stream_connection_ordinals(spark: SparkSession, sf_dir: str) -> DataFrame:
     arriving = _arriving([parts[at] for at in (3, 0, 6, 1, 7, 2, 5, 4)], f"{path}/in")
     sent = stream_connections.revised_ordinals(arriving, keep=1 << 62)
     return stream_connections.settled(_drained(sent, path))
+
+
+@query
+def stream_session_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames and connects as two streams, four micro-batches each; a fifth of the connections never shows up."""
+    frames, known = _session(spark, sf_dir)
+    begin = F.regexp_extract("connection_id", "([0-9]+)$", 1).cast("bigint") * 1000
+    # A stream's clock begins at the epoch, so its messages are later than that.
+    timed = frames.withColumn("captured_ts", F.timestamp_seconds(F.col("seq") + EPOCH))
+    connects = known.where(~F.col("connection_id").rlike("[05]$")).withColumn("captured_ts", F.timestamp_seconds(begin + EPOCH))
+    path = scratch_path(spark, "sessions")
+    streams = []
+    for name, table in (("frames", timed), ("connects", connects)):
+        # A last row of a later time moves the watermark past the others; it is still waiting when the stream ends.
+        latest = table.agg(F.max("captured_ts").alias("captured_ts")).withColumn("captured_ts", F.expr("captured_ts + interval 30 days"))
+        closing = table.limit(0).unionByName(latest, allowMissingColumns=True)
+        streams.append(_arriving([*_slices(table, 4), closing], f"{path}/{name}"))
+    events = _judged_events(sessions.session_events(*streams, stream_sessions.with_identity))
+    return _drained(events, path).where(F.col("connection_id").isNotNull())

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,6 +62,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 _paths: list[str] = []
+# What the `stage_result` under way in this thread has put into the shared folder.
+_under_way: ContextVar[list[str] | None] = ContextVar("under_way", default=None)
 
 
 def release(spark: SparkSession) -> int:
@@ -92,13 +95,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def stage_result(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """As `stage`, for what `build` returns; deletes what `build` put into the shared folder meanwhile.
+    """As `stage`, for what `build` returns; deletes what `build` put into the shared folder, and nothing of other threads.
 
     So the tables an operator works with need the disk no longer than it works.
     """
-    before = len(_paths)
-    result = stage(build(), name)
-    _delete(spark, _paths[before:-1])  # the last one is the result's own
+    own: list[str] = []
+    token = _under_way.set(own)
+    try:
+        built = build()
+    finally:
+        _under_way.reset(token)
+    result = stage(built, name)
+    _delete(spark, [path for path in own if path in _paths])
     return result
 
 
@@ -106,4 +114,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path in the shared folder; `release` deletes it."""
     path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
     _paths.append(path)
+    if (own := _under_way.get()) is not None:
+        own.append(path)
     return path

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
@@ -63,3 +64,16 @@ def test_a_staged_result_leaves_only_itself(spark):
     result = stage_result(spark, "outer", build)
     assert not os.path.exists(made[0].removeprefix("file:"))
     assert sorted(r.id for r in result.collect()) == [0, 1, 2]
+
+
+def test_a_result_leaves_what_other_threads_staged(spark):
+    with ThreadPoolExecutor(1) as other:
+
+        def build():
+            inner = stage(spark.range(3), "inner")
+            elsewhere.append(other.submit(lambda: stage(spark.range(7), "elsewhere")).result())
+            return inner
+
+        elsewhere: list = []
+        result = stage_result(spark, "result", build)
+    assert (result.count(), elsewhere[0].count()) == (3, 7)

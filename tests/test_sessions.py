@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import random
 from collections import defaultdict
+from datetime import UTC, datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from chargestream import constants as C
 from chargestream.operators import admission as A
 from chargestream.operators import sessions as S
 from chargestream.session import stage
+from chargestream.streaming import sessions as stream_sessions
 
 from .conftest import by_seq, column
 
@@ -107,3 +110,39 @@ def test_a_hot_connection_is_split_when_its_table_is_large(skewed, assert_skew_i
     sent = skewed.withColumnRenamed("key", "connection_id")
     known = stage(sent.select("connection_id").distinct().withColumn("charger_id", F.lit("CP")), "connections")
     assert_skew_is_split(S.with_identity(sent, known), skewed.count())
+
+
+def timed(spark, path, schema, *batches):
+    """A stream of micro-batches, one per list of rows."""
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(spark.createDataFrame([], schema).schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@pytest.mark.parametrize("spread", [1, 4])
+def test_frames_of_a_stream_find_their_connect_or_are_unknown(spark, tmp_path, spread):
+    at = lambda minutes: datetime(2026, 1, 1, tzinfo=UTC) + timedelta(minutes=minutes)
+    hot = [("hot", n, at(5 + n / 100), b"x") for n in range(40)]
+    frames_in = [
+        [("early", 100, at(0), b"a"), *hot, (None, 101, at(3), b"b")],
+        [("lost", 102, at(6), b"c"), ("old", 103, at(130), b"d")],
+        [("end", 104, at(5000), b"")],
+        [("end", 105, at(9000), b"")],
+    ]
+    connects_in = [
+        [("hot", at(5), "CP-hot"), ("old", at(1), "CP-old")],
+        [("early", at(2), "CP-early")],
+        [("end", at(5000), "CP-end")],
+        [("end", at(9000), "CP-end")],
+    ]
+    frames_ = timed(spark, f"{tmp_path}/f", "connection_id string, seq long, captured_ts timestamp, payload binary", *frames_in)
+    connects = timed(spark, f"{tmp_path}/c", "connection_id string, captured_ts timestamp, charger_id string", *connects_in)
+    joined = stream_sessions.with_identity(frames_, connects, "180 minutes", "60 minutes", spread)
+    writer = joined.writeStream.option("checkpointLocation", f"{tmp_path}/p").trigger(availableNow=True)
+    writer.format("parquet").start(f"{tmp_path}/out").awaitTermination()
+    rows = spark.read.parquet(f"{tmp_path}/out").where("connection_id is null or connection_id <> 'end'").collect()
+    got = sorted((row.seq, row.charger_id, row.drop_reason) for row in rows)
+    unknown = C.UNKNOWN_CONNECTION
+    assert got == [(n, "CP-hot", None) for n in range(40)] + [
+        (100, "CP-early", None), (101, None, unknown), (102, None, unknown), (103, None, unknown),
+    ]
