@@ -91,3 +91,6 @@ RING_OVERFLOW = "ring_overflow"
 
 # Of a record in a batch body that was read back.
 UNDECODABLE_BODY = "undecodable_body"
+
+# Of a message that is no capture at all.
+UNPARSEABLE = "unparseable"

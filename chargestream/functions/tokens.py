@@ -25,11 +25,11 @@ def mask_token(body: bytes) -> bytes:
     """Mask the token at the root or, failing that, the one under `data`.
 
     The body comes back byte for byte when there is nothing to mask or when it
-    is not a JSON object.
+    is not a JSON object. A number too long to be read raises ValueError.
     """
     try:
         root = json.loads(body.decode("utf-8", errors="replace"))
-    except ValueError:
+    except json.JSONDecodeError:
         return body
     places = (root, root.get("data")) if isinstance(root, dict) else ()
     holder = next(filter(_has_token, places), None)
@@ -44,7 +44,7 @@ def _mask_series(bodies: pd.Series, fault: pd.Series) -> pd.Series:
     for at in bodies.index[bodies.notna()]:
         try:
             masked.at[at] = mask_token(bytes(bodies.at[at]))
-        except RecursionError:
+        except (RecursionError, ValueError):
             fault.at[at] = True
     return masked
 
@@ -58,7 +58,7 @@ _MASKED = (
 
 
 def _mask_bodies(request: pd.Series, response: pd.Series) -> pd.DataFrame:
-    """Mask both bodies of an exchange; `fault` marks JSON nested too deep to read."""
+    """Mask both bodies of an exchange; `fault` marks JSON that cannot be read: nested too deep, or with a number of thousands of digits."""
     fault = pd.Series(False, index=request.index)
     return pd.DataFrame(
         {

@@ -42,19 +42,26 @@ def encode_frame(frame: Column) -> Column:
     return frame.cast("binary")
 
 
+_DAY = 86_400_000
+
+
 def wire_timestamp(ts: Column) -> Column:
     """RFC 3339, UTC, milliseconds cut off (not rounded), in any session time zone.
 
-    The text is that of a time without zone, counted from the epoch, which no
-    zone's rules touch.
+    The date is that of whole days since the epoch and the time of day is put
+    together from numbers, which no zone's rules touch; any timestamp will do.
     """
+    div = lambda a, b: F.call_function("div", a, F.lit(b))
     micros = F.unix_micros(ts.cast("timestamp"))
-    fraction = F.pmod(micros, F.lit(1_000_000))
-    seconds = ((micros - fraction) / 1_000_000).cast("decimal(18,6)")
-    zero = F.lit(0)
-    moment = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds)
-    millis = F.lpad(F.floor(fraction / 1000).cast("string"), 3, "0")
-    return F.concat(F.replace(moment.cast("string"), F.lit(" "), F.lit("T")), F.lit("."), millis, F.lit("Z"))
+    millis = div(micros - F.pmod(micros, F.lit(1000)), 1000)
+    clock = F.pmod(millis, F.lit(_DAY))
+    date = F.date_add(F.lit("1970-01-01").cast("date"), div(millis - clock, _DAY).cast("int"))
+    # Hours, minutes, seconds and milliseconds as one number of nine digits.
+    minutes, hours = div(clock, 60_000), div(clock, 3_600_000)
+    digits = F.lpad((clock + minutes * 40_000 + hours * 4_000_000).cast("string"), 9, "0")
+    parts = [F.substring(digits, at, n) for at, n in ((1, 2), (3, 2), (5, 2), (7, 3))]
+    marks = map(F.lit, ("T", ":", ":", "."))
+    return F.concat(date.cast("string"), *[x for pair in zip(marks, parts, strict=True) for x in pair], F.lit("Z"))
 
 
 def route(protocol: Column) -> Column:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..sources import testdata
-from .queries import BODY_BYTES, CYCLE_CAPACITY, DAY, DOCUMENT_CAP, EXACT_CAP, EXACT_POLL, HOUR, OCPI_CAP, OCPP_CAP, RING_CAPACITY
+from .queries import BODY_BYTES, CYCLE_CAPACITY, DAY, DOCUMENT_CAP, EXACT_CAP, EXACT_POLL, HOUR, OCPI_CAP, OCPP_CAP, RING_CAPACITY, STREAM_CAPACITY
 
 _NAMES = ("orders", "customer", "nation", "events", "conversations", "documents")
 
@@ -21,6 +21,7 @@ def _header_text(entries: str) -> str:
     return f"nullif(array_to_string(list_sort(list_transform({entries}, lambda e: e.key || '=' || e.value)), ';'), '')"
 
 
+# The header allowlist of the contract.
 ALLOWED = """'ocpi-from-country-code','ocpi-from-party-id','ocpi-to-country-code','ocpi-to-party-id','content-type',
   'accept','user-agent','x-correlation-id','x-request-id','x-total-count','x-limit','link'"""
 
@@ -252,6 +253,18 @@ _SELECTS = {
             SELECT connection_id, 1, seq, 2, charger_id, direction, strlen(payload_text)::INTEGER
               FROM frame JOIN connection USING (connection_id)
             UNION ALL SELECT connection_id, 2, NULL, 0, charger_id, NULL, 0 FROM connection)""",
+    "stream_ring_overflow": f"""SELECT client_id, seq, coalesce(drop_reason,
+        CASE WHEN row_number() OVER (PARTITION BY client_id, day(captured_ts) // 7, drop_reason IS NULL ORDER BY seq DESC) > {STREAM_CAPACITY}
+             THEN 'ring_overflow' END) AS drop_reason
+      FROM (SELECT client_id, seq, captured_ts, CASE WHEN event_type = 2 AND (payload_text IS NULL OR direction IS NULL)
+              THEN 'incomplete_frame' WHEN NOT valid THEN 'invalid_identity' END AS drop_reason FROM ocpp)""",
+    "unparseable_captures": """SELECT doc_id // 100 AS partition, doc_id AS offset, CASE doc_id % 5
+          WHEN 0 THEN sha256(text) WHEN 1 THEN sha256('{"seq":' || doc_id) WHEN 2 THEN sha256('[' || doc_id || ']')
+          WHEN 3 THEN sha256('{"seq":"x' || doc_id || '"}') END AS value_sha256,
+        CASE WHEN doc_id % 5 < 4 THEN 'unparseable' END AS drop_reason,
+        CASE WHEN doc_id % 5 = 4 THEN doc_id END AS seq FROM documents""",
+    "stream_compacted": """SELECT client_id, seq, protocol, left(captured_at, 10) AS date, captured_at[12:13] AS hour, captured_at, raw_frame
+      FROM ocpp_record""",
     "stream_session_events": f"""SELECT *, CASE
           WHEN event_type = 2 AND regexp_matches(connection_id, '[05]$') THEN 'unknown_connection'
           WHEN event_type = 2 AND direction IS NULL THEN 'incomplete_frame'

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from .. import schemas
 from ..functions import body_size, is_credentials_url
 from ..operators import admission, batching, clients, cycles, delivery, ordering, records, redaction, ring, sessions
 from ..session import configure, scratch_path, stage
@@ -17,6 +18,7 @@ from ..sources import captures, sinks, testdata
 from ..streaming import buffers as stream_buffers
 from ..streaming import connections as stream_connections
 from ..streaming import flush as stream_flush
+from ..streaming import manifest
 from ..streaming import sessions as stream_sessions
 from . import flush
 
@@ -32,6 +34,7 @@ HOUR, DAY = 3600, 86400
 # Of flushes on size or interval: far apart, as the test events are.
 EXACT_POLL, EXACT_CAP = 120, 4
 BODY_BYTES = 6000
+STREAM_CAPACITY = 50
 # Seconds at which the made-up times of conversations begin.
 EPOCH = 1_700_000_000
 
@@ -118,6 +121,25 @@ def received_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stamped.select("seq", given.alias("given_us"), F.col("captured_ts").isNotNull().alias("stamped"))
 
 
+@query
+def unparseable_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain text, cut-off objects, lists and wrong types among captures, as they come from a topic."""
+    docs, doc_id = testdata.table(spark, sf_dir, "documents"), F.col("doc_id").cast("string")
+    case = F.col("doc_id") % 5
+    value = (
+        F.when(case == 0, F.col("text"))
+        .when(case == 1, F.concat(F.lit('{"seq":'), doc_id))
+        .when(case == 2, F.concat(F.lit("["), doc_id, F.lit("]")))
+        .when(case == 3, F.concat(F.lit('{"seq":"x'), doc_id, F.lit('"}')))
+        .otherwise(F.concat(F.lit('{"seq":'), doc_id, F.lit(',"client_id":"gw"}')))
+    )
+    place = (F.lit("captures").alias("topic"), F.expr("doc_id div 100").cast("int").alias("partition"), F.col("doc_id").alias("offset"))
+    sound, lost = captures.split_messages(docs.select(*place, value.cast("binary").alias("value")), schemas.OCPP_CAPTURE)
+    kept = sound.select(F.expr("seq div 100").alias("partition"), F.col("seq").alias("offset"), "seq")
+    found = lost.select(F.col("partition").cast("bigint").alias("partition"), "offset", F.sha2("value", 256).alias("value_sha256"), "drop_reason")
+    return found.unionByName(kept, allowMissingColumns=True)
+
+
 # --- projections -------------------------------------------------------------
 
 
@@ -493,7 +515,7 @@ def stream_ocpp_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     connected = events.transform(stream_connections.assign_connections)
     path = scratch_path(spark, "stream")
     stream_flush.start_flushing(connected, path, flush.prepare_ocpp, C.OCPP, interval=None).awaitTermination()
-    return stream_flush.read_flushed(spark, path, protocol=C.OCPP).drop("flush")
+    return stream_flush.read_flushed(spark, path, protocol=C.OCPP).drop("flush", "date", "hour")
 
 
 def _slices(df: DataFrame, parts: int) -> list[DataFrame]:
@@ -558,3 +580,30 @@ def stream_session_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         streams.append(_arriving([*_slices(table, 4), closing], f"{path}/{name}"))
     events = _judged_events(sessions.session_events(*streams, stream_sessions.with_identity))
     return _drained(events, path).where(F.col("connection_id").isNotNull())
+
+
+@query
+def stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five flushes, of which the first three become one set of files by date and hour."""
+    path = scratch_path(spark, "compacted")
+    events = _ocpp_events(spark, sf_dir).withColumn("connection_id", F.lit(None).cast("string"))
+    arriving = _arriving(_slices(events, 5), f"{path}/in")
+    stream_flush.start_flushing(arriving, f"{path}/out", flush.prepare_ocpp, C.OCPP, interval=None).awaitTermination()
+    manifest.compact(spark, f"{path}/out", upto=2)
+    manifest.vacuum(spark, f"{path}/out")
+    kept = stream_flush.read_flushed(spark, f"{path}/out", protocol=C.OCPP)
+    return kept.select("client_id", "seq", "protocol", "date", "hour", "captured_at", "raw_frame")
+
+
+@query
+def stream_ring_overflow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five micro-batches of up to seven days; each client's buffer holds fifty messages."""
+    path = scratch_path(spark, "ring")
+    events = _ocpp_events(spark, sf_dir).withColumn("connection_id", F.lit(None).cast("string"))
+    week = F.expr("day(captured_ts) div 7")
+    arriving = _arriving([events.where(week == number) for number in range(5)], f"{path}/in")
+    options = {"interval": None, "capacity": STREAM_CAPACITY}
+    stream_flush.start_flushing(arriving, f"{path}/out", flush.prepare_ocpp, C.OCPP, **options).awaitTermination()
+    kept = stream_flush.read_flushed(spark, f"{path}/out", protocol=C.OCPP).select("client_id", "seq")
+    lost = stream_flush.read_flushed(spark, f"{path}/out", manifest.REJECTED).select("client_id", "seq", "drop_reason")
+    return lost.unionByName(kept, allowMissingColumns=True)

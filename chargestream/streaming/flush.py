@@ -19,6 +19,7 @@ from .. import constants as C
 from .. import schemas
 from ..plans.flush import batches, flush
 from ..sources.sinks import write_envelopes, write_records, write_rejected
+from . import manifest
 
 
 @contextmanager
@@ -43,7 +44,8 @@ def flush_into(
     """The function that handles one micro-batch.
 
     It writes `records/`, `rejected/` and, on request, `envelopes/`, each with
-    one folder per flush. Nothing is pushed out unless a `capacity` is given.
+    one folder per flush, and then commits the flush to the manifest. Nothing is
+    pushed out unless a `capacity` is given.
     """
 
     def run(captures: DataFrame, flush_id: int) -> None:
@@ -57,6 +59,8 @@ def flush_into(
             if envelopes:
                 bodies = batches(flushed.records, protocol, keys)
                 write_envelopes(bodies, f"{path}/envelopes/flush={flush_id}")
+            kinds = (manifest.RECORDS, manifest.REJECTED, *([manifest.ENVELOPES] if envelopes else []))
+            manifest.commit(captures.sparkSession, path, manifest.Entry(flush_id, flush_id, False, kinds))
 
     return run
 
@@ -107,16 +111,16 @@ _RECORDS = {C.OCPI: schemas.OCPI_RECORD, C.OCPP: schemas.OCPP_RECORD}
 
 
 def read_flushed(spark: SparkSession, path: str, what: str = "records", protocol: str | None = None) -> DataFrame:
-    """Everything the flushes have written so far.
+    """Everything that committed flushes have written so far, put together by `manifest.compact` or not.
 
     Rejected messages, and records of a named protocol, have a known schema, so
     there may be none of them yet.
     """
-    reader = spark.read
+    schema = None
     keys = StructType().add("client_id", "string").add("seq", "long")
     places = StructType().add("flush", "long").add("protocol", "string")
     if what == "rejected":
-        reader = reader.schema(StructType([*keys, StructField("drop_reason", StringType()), *places]))
+        schema = StructType([*keys, StructField("drop_reason", StringType()), *places])
     elif what == "records" and protocol is not None:
-        reader = reader.schema(StructType([*keys, *_RECORDS[protocol], *places]))
-    return reader.parquet(f"{path}/{what}")
+        schema = StructType([*keys, *_RECORDS[protocol], *places])
+    return manifest.read(spark, path, what, schema)

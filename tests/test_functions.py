@@ -219,3 +219,12 @@ def test_wire_timestamps_do_not_depend_on_the_session_zone(spark):
         finally:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
         assert [row.t for row in found] == want
+
+
+def test_wire_timestamps_of_far_years_and_before_the_epoch(spark):
+    micros = [-1, -62_135_596_800_000_000, 253_402_300_800_000_000, 9_223_372_036_854_775_807, 1_709_251_199_999_999, 0]
+    df = spark.createDataFrame([(m,) for m in micros], "m BIGINT").withColumn("t", wire_timestamp(F.timestamp_micros("m")))
+    assert [row.t for row in df.collect()] == [
+        "1969-12-31T23:59:59.999Z", "0001-01-01T00:00:00.000Z", "+10000-01-01T00:00:00.000Z", "+294247-01-10T04:00:54.775Z",
+        "2024-02-29T23:59:59.999Z", "1970-01-01T00:00:00.000Z",
+    ]

@@ -16,6 +16,7 @@ from chargestream.plans.flush import flush, prepare_ocpi, prepare_ocpi_per_clien
 from chargestream.sources import captures, sinks
 from chargestream.streaming import connections
 from chargestream.streaming import flush as sf
+from chargestream.streaming import manifest
 
 
 @pytest.fixture
@@ -225,6 +226,29 @@ def test_messages_are_parsed_from_json(spark, ocpi):
     parsed = captures.parse_messages(topic, schemas.OCPI_CAPTURE)
     assert parsed.schema == exchange.schema
     assert sorted(parsed.collect(), key=lambda row: row.seq) == exchange.collect()
+    assert captures.unparseable(topic, schemas.OCPI_CAPTURE).count() == 0
+
+
+BROKEN = [b"", b"{", b"[1]", b'"x"', b"{} {}", b'{"seq":"x"}', b"\xff\x00{", b"null", b" ", b'{"seq":1},{"seq":2}', None]
+
+
+def test_messages_that_are_no_captures_are_kept_byte_for_byte(spark, folder):
+    sound = [b'{"seq":1}', b' {"seq":2,"more":[1,{}]} ', b"{}"]
+    rows_in = [("t", 3, at, value) for at, value in enumerate(BROKEN + sound)]
+    topic = spark.createDataFrame(rows_in, "topic string, partition int, offset long, value binary")
+    kept, lost = captures.split_messages(topic, schemas.OCPP_CAPTURE)
+    assert sorted((row.seq is None, row.seq) for row in kept.collect()) == [(False, 1), (False, 2), (True, None)]
+    want = [(3, at, value, C.UNPARSEABLE) for at, value in enumerate(BROKEN)]
+    assert [tuple(r) for r in lost.orderBy("offset").select("partition", "offset", "value", "drop_reason").collect()] == want
+    topic.coalesce(1).write.parquet(f"{folder}/in")
+    found = drained(captures.unparseable(arriving(spark, f"{folder}/in", topic.schema), schemas.OCPP_CAPTURE), folder)
+    assert sorted((r.offset, r.value) for r in found.collect()) == list(enumerate(BROKEN))
+
+
+def test_lines_that_are_no_captures_are_kept(spark, folder):
+    spark.createDataFrame([('{"seq":5}',), ("oops",)], "value string").coalesce(1).write.text(f"{folder}/lines")
+    kept, lost = captures.split_messages(captures.read_json_messages(spark, f"{folder}/lines"), schemas.OCPP_CAPTURE)
+    assert [row.seq for row in kept.collect()] == [5] and [(row.topic, row.value) for row in lost.collect()] == [(None, b"oops")]
 
 
 def test_close_keeps_its_deadline_and_says_what_is_left(spark, ocpi, folder):
@@ -240,3 +264,41 @@ def test_no_admitted_record_yet(spark, ocpi, folder):
     sf.start_flushing(stream, f"{folder}/out", prepare_ocpi, C.OCPI, interval=None).awaitTermination()
     assert sf.read_flushed(spark, f"{folder}/out", protocol=C.OCPI).collect() == []
     assert sf.read_flushed(spark, f"{folder}/out", "rejected").count() == 1
+
+
+def test_small_flushes_become_large_files_and_no_row_is_read_twice(spark, ocpi, folder):
+    out = f"{folder}/out"
+    run = sf.flush_into(out, prepare_ocpi, C.OCPI)
+    for flush_id in range(5):
+        run(sample_ocpi(ocpi, 20).withColumn("seq", F.col("seq") + 20 * flush_id), flush_id)
+
+    def seqs():
+        both = [sf.read_flushed(spark, out), sf.read_flushed(spark, out, "rejected")]
+        return sorted(row.seq for part in both for row in part.collect())
+
+    before = rows(sf.read_flushed(spark, out), "seq", "url", "flush", "date", "hour")
+    assert seqs() == list(range(100))
+    # A compaction that got no further than its files is not there for a reader.
+    spark.range(5).write.parquet(f"{out}/compacted/records/first=0/last=3/protocol=ocpi")
+    assert seqs() == list(range(100))
+    entry = manifest.compact(spark, out, upto=3)
+    assert (entry.first, entry.last) == (0, 3) and seqs() == list(range(100))
+    run(sample_ocpi(ocpi, 20).withColumn("seq", F.col("seq") + 60), 3)  # this one was put together already
+    run(sample_ocpi(ocpi, 20).withColumn("seq", F.col("seq") + 80), 4)
+    assert seqs() == list(range(100))
+    assert manifest.vacuum(spark, out) == 4 and not glob.glob(f"{out}/records/flush=[0-3]")
+    assert rows(sf.read_flushed(spark, out), "seq", "url", "flush", "date", "hour") == before
+    assert manifest.compact(spark, out) is None and len(manifest.entries(spark, out)) == 2
+    days = sf.read_flushed(spark, out).where("date = '1999-01-01'")
+    assert "PartitionFilters: [isnotnull(date" in days._jdf.queryExecution().executedPlan().toString() and days.count() == 0
+
+
+def test_a_flush_without_an_entry_is_not_read(spark, ocpi, folder):
+    run = sf.flush_into(folder, prepare_ocpi, C.OCPI)
+    run(sample_ocpi(ocpi, 10), 0)
+    n = sf.read_flushed(spark, folder).count()
+    prepare_ocpi(sample_ocpi(ocpi, 10)).limit(0).write.parquet(f"{folder}/records/flush=1/protocol=ocpi")
+    assert sf.read_flushed(spark, folder).count() == n
+    with pytest.raises(ValueError):
+        sf.read_flushed(spark, f"{folder}/nowhere")
+    assert sf.read_flushed(spark, f"{folder}/nowhere", "rejected").count() == 0
