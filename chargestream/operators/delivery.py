@@ -28,17 +28,23 @@ def delivery_outcomes(attempts: DataFrame) -> DataFrame:
             F.max(F.struct("attempt", status.alias("status"))).alias("last"),
         )
     )
-    settled = F.coalesce("decision", "last")
-    code = F.col("final_status")
-    exhausted = F.col("attempts") >= C.MAX_ATTEMPTS
-    return folded.select(
+    last = F.coalesce("decision", "last")
+    settled = folded.select(
         "batch_id",
         "protocol",
         "n_messages",
-        (settled["attempt"] + 1).alias("attempts"),
-        settled["status"].alias("final_status"),
+        (last["attempt"] + 1).alias("attempts"),
+        last["status"].alias("final_status"),
         F.col("decision").isNotNull().alias("decided"),
-    ).select(
+    )
+    return judged(settled)
+
+
+def judged(settled: DataFrame) -> DataFrame:
+    """Outcome and reason by `attempts`, `final_status` and whether that was `decided` by it."""
+    code = F.col("final_status")
+    exhausted = F.col("attempts") >= C.MAX_ATTEMPTS
+    return settled.select(
         "batch_id",
         "protocol",
         "n_messages",

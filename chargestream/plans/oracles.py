@@ -263,6 +263,8 @@ _SELECTS = {
           WHEN 3 THEN sha256('{"seq":"x' || doc_id || '"}') END AS value_sha256,
         CASE WHEN doc_id % 5 < 4 THEN 'unparseable' END AS drop_reason,
         CASE WHEN doc_id % 5 = 4 THEN doc_id END AS seq FROM documents""",
+    "stream_delivery_outcomes": "SELECT * FROM outcome WHERE outcome <> 'in_flight'",
+    "stream_close_backlog": "SELECT client_id, seq FROM raw_event",
     "stream_compacted": """SELECT client_id, seq, protocol, left(captured_at, 10) AS date, captured_at[12:13] AS hour, captured_at, raw_frame
       FROM ocpp_record""",
     "stream_session_events": f"""SELECT *, CASE

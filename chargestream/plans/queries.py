@@ -17,6 +17,7 @@ from ..session import configure, scratch_path, stage
 from ..sources import captures, sinks, testdata
 from ..streaming import buffers as stream_buffers
 from ..streaming import connections as stream_connections
+from ..streaming import delivery as stream_delivery
 from ..streaming import flush as stream_flush
 from ..streaming import manifest
 from ..streaming import sessions as stream_sessions
@@ -607,3 +608,32 @@ def stream_ring_overflow(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = stream_flush.read_flushed(spark, f"{path}/out", protocol=C.OCPP).select("client_id", "seq")
     lost = stream_flush.read_flushed(spark, f"{path}/out", manifest.REJECTED).select("client_id", "seq", "drop_reason")
     return lost.unionByName(kept, allowMissingColumns=True)
+
+
+@query
+def stream_delivery_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First attempts, then second ones, and so on; late ones come last."""
+    attempts = testdata.delivery_attempts(spark, sf_dir)
+    turn = F.least(F.col("attempt"), F.lit(C.MAX_ATTEMPTS - 1))
+    path = scratch_path(spark, "attempts")
+    arriving = _arriving([attempts.where(turn == number) for number in range(C.MAX_ATTEMPTS)], f"{path}/in")
+    return _drained(stream_delivery.delivery_outcomes(arriving, forget=None), path)
+
+
+@query
+def stream_close_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that is closed while it has work: each message is flushed, or in a file that is left."""
+    path = scratch_path(spark, "closed")
+    events = _ocpp_events(spark, sf_dir).withColumn("connection_id", F.lit(None).cast("string"))
+    arriving = _arriving(_slices(events, 6), f"{path}/in")
+    running = stream_flush.start_flushing(arriving, f"{path}/out", flush.prepare_ocpp, C.OCPP, interval=0.1)
+    stream_flush.close(running, deadline=4.0)
+    flushed = [stream_flush.read_flushed(spark, f"{path}/out", what, C.OCPP) for what in (manifest.RECORDS, manifest.REJECTED)]
+    left = stream_flush.unread(spark, f"{path}/out", f"{path}/in")
+    parts = [part.select("client_id", "seq") for part in flushed]
+    if left:
+        parts.append(spark.read.schema(arriving.schema).parquet(*left).select("client_id", "seq"))
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionAll(part)
+    return whole

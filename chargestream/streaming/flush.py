@@ -12,7 +12,9 @@ from collections.abc import Callable, Iterator, Sequence
 from contextlib import ExitStack, contextmanager, suppress
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import constants as C
@@ -33,6 +35,10 @@ def _kept(df: DataFrame) -> Iterator[DataFrame]:
         kept.unpersist()
 
 
+class FlushFailed(RuntimeError):
+    """A micro-batch that could not be written; it runs again when the stream is started again."""
+
+
 def flush_into(
     path: str,
     prepare: Callable[[DataFrame], DataFrame],
@@ -49,6 +55,13 @@ def flush_into(
     """
 
     def run(captures: DataFrame, flush_id: int) -> None:
+        try:
+            write(captures, flush_id)
+        except Exception as error:
+            # Spark searches the text of what went wrong, and cannot take a very long one.
+            raise FlushFailed(f"flush {flush_id}: {type(error).__name__}: {str(error)[:2000]}") from None
+
+    def write(captures: DataFrame, flush_id: int) -> None:
         with ExitStack() as held:
             def hold(part: DataFrame) -> DataFrame:
                 return held.enter_context(_kept(part))
@@ -86,15 +99,45 @@ def force_flush(query: StreamingQuery) -> None:
     query.processAllAvailable()
 
 
-def close(query: StreamingQuery, deadline: float = C.DEFAULT_DRAIN_TIMEOUT) -> bool:
+class Closed:
+    """How a stream ended: true if nothing was left. `behind` has what each source still held, where it says so."""
+
+    def __init__(self, drained: bool, behind: dict[str, dict[str, str]]):
+        self.drained, self.behind = drained, behind
+
+    def __bool__(self) -> bool:
+        return self.drained
+
+
+class _Latest(StreamingQueryListener):
+    """The latest progress of one query: what its sources have been read to, and what they have."""
+
+    def __init__(self, query: StreamingQuery):
+        self.run, self.sources = query.runId, {}
+
+    def onQueryStarted(self, event) -> None: ...
+
+    def onQueryTerminated(self, event) -> None: ...
+
+    def onQueryProgress(self, event) -> None:
+        if str(event.progress.runId) == str(self.run):
+            for source in event.progress.sources:
+                metrics = {name: str(value) for name, value in (source.metrics or {}).items()}
+                self.sources[source.description] = {"read": source.endOffset, "available": source.latestOffset or "", **metrics}
+
+
+def close(query: StreamingQuery, deadline: float = C.DEFAULT_DRAIN_TIMEOUT) -> Closed:
     """Flush what is left and stop, `deadline` seconds later at the latest. A second call does nothing.
 
-    True if nothing was left. Unlike `force_flush` this ends while a source
-    keeps filling; what is left is flushed when the stream starts again.
+    Unlike `force_flush` this ends while a source keeps filling; what is left is
+    flushed when the stream starts again, and `unread` lists it until then.
     """
     if not query.isActive:
-        return True
+        return Closed(True, {})
     drained = threading.Event()
+    latest = _Latest(query)
+    spark = SparkSession.active()
+    spark.streams.addListener(latest)
 
     def drain() -> None:
         with suppress(Exception):  # the query may end while this waits
@@ -104,7 +147,27 @@ def close(query: StreamingQuery, deadline: float = C.DEFAULT_DRAIN_TIMEOUT) -> b
     threading.Thread(target=drain, daemon=True).start()
     done = drained.wait(deadline)
     query.stop()
-    return done
+    spark.streams.removeListener(latest)
+    return Closed(done, latest.sources)
+
+
+def unread(spark: SparkSession, path: str, source: str) -> list[str]:
+    """Files of the folder `source` that no committed flush of the stream at `path` has read.
+
+    Spark's file source logs which files went into which micro-batch; the
+    manifest says which of these were flushed.
+    """
+    flushed = {n for one in manifest.entries(spark, path) for n in range(one.first, one.last + 1)}
+    log = f"{path}/_progress/sources/0"
+    files = manifest.filesystem(spark, source)
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    seen: set[str] = set()
+    if files.exists(place(log)):
+        lines = spark.read.text(log).where(F.col("value").startswith("{"))
+        named = lines.select(F.from_json("value", "path string, batchId long").alias("one")).select("one.*").collect()
+        seen = {row.path for row in named if row.batchId in flushed}
+    there = [status.getPath() for status in files.listStatus(place(source)) if status.isFile()]
+    return sorted(str(one) for one in there if not one.getName().startswith(("_", ".")) and one.toUri().toString() not in seen)
 
 
 _RECORDS = {C.OCPI: schemas.OCPI_RECORD, C.OCPP: schemas.OCPP_RECORD}

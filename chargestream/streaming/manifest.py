@@ -45,14 +45,15 @@ def _path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 
 
-def _files(spark: SparkSession, path: str):
+def filesystem(spark: SparkSession, path: str):
+    """The Hadoop file system of a path."""
     return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def commit(spark: SparkSession, path: str, entry: Entry) -> None:
     jvm = spark._jvm
     aside, place = (_path(spark, f"{path}/_manifest/{name}") for name in (f".{entry.name}.new", entry.name))
-    files = _files(spark, path)
+    files = filesystem(spark, path)
     out = files.create(aside, True)
     out.write(bytearray(json.dumps({"kinds": entry.kinds}).encode()))
     out.close()
@@ -64,7 +65,7 @@ def commit(spark: SparkSession, path: str, entry: Entry) -> None:
 
 def entries(spark: SparkSession, path: str) -> list[Entry]:
     """Every committed entry, by flush."""
-    files, folder = _files(spark, path), _path(spark, f"{path}/_manifest")
+    files, folder = filesystem(spark, path), _path(spark, f"{path}/_manifest")
     found = []
     for status in files.listStatus(folder) if files.exists(folder) else []:
         name = status.getPath().getName()
@@ -151,7 +152,7 @@ def vacuum(spark: SparkSession, path: str) -> int:
     found = entries(spark, path)
     read_from = {one for kind in _COMPACTED for one in standing(found, kind)}
     gone = [one for one in found if one not in read_from]
-    files = _files(spark, path)
+    files = filesystem(spark, path)
     for one in gone:
         for kind in set(one.kinds) & set(_COMPACTED):
             files.delete(_path(spark, f"{path}/{one.folder(kind)}"), True)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import glob
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from chargestream.sources import captures, sinks
 from chargestream.streaming import connections
 from chargestream.streaming import flush as sf
 from chargestream.streaming import manifest
+from chargestream.streaming.delivery import delivery_outcomes as streamed_outcomes
 
 
 @pytest.fixture
@@ -302,3 +304,60 @@ def test_a_flush_without_an_entry_is_not_read(spark, ocpi, folder):
     with pytest.raises(ValueError):
         sf.read_flushed(spark, f"{folder}/nowhere")
     assert sf.read_flushed(spark, f"{folder}/nowhere", "rejected").count() == 0
+
+
+def test_a_bounded_close_says_what_is_left(spark, ocpi, folder):
+    """A source that keeps filling, and flushes that take longer than the deadline allows."""
+    def slow(captured):
+        time.sleep(1.5)
+        return prepare_ocpi(captured)
+
+    for first in range(0, 12, 2):
+        ocpi({}, {}).withColumn("seq", F.col("seq") + first).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = arriving(spark, f"{folder}/in", schemas.OCPI_CAPTURE)
+    query = sf.start_flushing(stream, f"{folder}/out", slow, C.OCPI, interval=0.1)
+    closed = sf.close(query, deadline=6.0)
+    assert not closed and not query.isActive
+    assert any("logOffset" in source["read"] for source in closed.behind.values())
+    left = sf.unread(spark, f"{folder}/out", f"{folder}/in")
+    assert 0 < len(left) < 6
+
+    def seqs(files):
+        read = sf.read_flushed(spark, f"{folder}/out", protocol=C.OCPI).select("seq")
+        rest = spark.read.parquet(*files).select("seq") if files else read.limit(0)
+        return sorted(row.seq for row in read.unionAll(rest).collect())
+
+    assert seqs(left) == list(range(12))
+    sf.start_flushing(stream, f"{folder}/out", prepare_ocpi, C.OCPI, interval=None).awaitTermination()
+    assert sf.unread(spark, f"{folder}/out", f"{folder}/in") == [] and seqs([]) == list(range(12))
+
+
+def attempts(spark, *rows):
+    return spark.createDataFrame([(b, "ocpp", 7, a, s) for b, a, s in rows], "batch_id long, protocol string, n_messages long, attempt int, status int")
+
+
+def test_a_batch_is_settled_once_whatever_the_order(spark, folder):
+    turns = [
+        [(1, 0, 503), (2, 1, 200), (3, 0, None), (4, 0, 401)],
+        [(1, 1, 200), (3, 2, 500), (3, 1, 500), (4, 1, 200)],
+        [(2, 0, 502), (3, 4, 503), (1, 2, 400), (5, 0, 500)],
+        [(3, 3, None), (3, 5, 200), (2, 0, 400)],
+    ]
+    for turn in turns:
+        attempts(spark, *turn).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = arriving(spark, f"{folder}/in", attempts(spark, (1, 1, 1)).schema)
+    got = drained(streamed_outcomes(stream, forget=None), folder)
+    found = sorted((r.batch_id, r.attempts, r.final_status, r.outcome, r.reason) for r in got.collect())
+    assert found[:2] == [(1, 2, 200, "accepted", None), (2, 2, 200, "accepted", None)]
+    assert found[2:] == [(3, 5, 503, "exhausted", "retries exhausted (last HTTP 503)"), (4, 1, 401, "permanent", "permanent rejection: HTTP 401")]
+
+
+def test_batches_are_forgotten_by_the_machines_clock(spark, folder):
+    attempts(spark, (1, 0, 200), (2, 0, 500)).coalesce(1).write.parquet(f"{folder}/in")
+    outcomes = streamed_outcomes(arriving(spark, f"{folder}/in", attempts(spark, (1, 1, 1)).schema), forget=3600.0)
+    query = outcomes.writeStream.format("memory").queryName("outcomes").option("checkpointLocation", f"{folder}/p").start()
+    began = time.time()
+    while not spark.table("outcomes").count() and time.time() - began < 60:
+        time.sleep(0.3)
+    query.stop()
+    assert [(r.batch_id, r.outcome) for r in spark.table("outcomes").collect()] == [(1, "accepted")]
