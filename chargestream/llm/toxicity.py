@@ -62,6 +62,15 @@ FEATURES = (
 )
 
 
+# What a token adds to its text: see `Measure._added`.
+_ADDS = (
+    "you", "hit", "weight", "plain", "stem", "stem_weight", "capital", "masked", "stretched", "letters", "uppers",
+    "exclamations", "questions", "marks", "symbols",
+)
+# Distinct tokens that a task remembers.
+_KNOWN = 400_000
+
+
 class Lexicon(NamedTuple):
     words: dict[str, float]
     stems: dict[str, float]
@@ -119,44 +128,80 @@ def learn_lexicon(labelled: DataFrame) -> Lexicon:
     return Lexicon(*found)
 
 
+class Measure:
+    """Features of texts under a lexicon. What a token adds is worked out once per distinct token and task."""
+
+    def __init__(self, lexicon: Lexicon):
+        self.lexicon = lexicon
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.adds = np.zeros((1 << 12, len(_ADDS)))
+
+    def _added(self, token: str) -> tuple[float, ...]:
+        core = token.rstrip(".,;:!?")
+        lowered = core.lower()
+        simple = lowered.isalpha()  # letters, and then marks at most: nothing is masked, and no edge is left to strip
+        word = lowered if simple else _bare(token.lower())
+        found = self.lexicon.words.get(word)
+        plain = False
+        if found is None and not simple and not word.isalpha():
+            found = self.lexicon.words.get(_bare(token.lower().translate(_LOOKALIKE)))
+            plain = found is not None
+        stems = self.lexicon.stems
+        best = max([stems.get(word[:k], 0.0) for k in STEM])
+        stretched = _STRETCHED.search(word) is not None
+        if simple and core.isalpha():
+            letters, uppers = len(core), 0 if core.islower() else sum(map(str.isupper, core))
+        else:
+            letters, uppers = sum(map(str.isalpha, token)), sum(map(str.isupper, token))
+        of = (word in _YOU, found is not None, found or 0.0, plain, best > 0, best)
+        if simple and len(core) == len(token):
+            return (*of, len(word) > 1 and token.isupper(), False, stretched, letters, uppers, 0, 0, 0, 0)
+        return (
+            *of, len(word) > 1 and token.isupper(), not simple and _MASKED.search(token) is not None, stretched, letters, uppers,
+            token.count("!"), token.count("?"), sum(map(token.count, ".,;:'\"()-")), sum(map(token.count, "#*$%&|<>@")),
+        )
+
+    def _learn(self, tokens: list[str]) -> None:
+        if len(self.place) > _KNOWN:
+            self._forget()
+        begin = len(self.place)
+        new = [token for token in dict.fromkeys(tokens) if token not in self.place]
+        self.place.update(zip(new, range(begin, begin + len(new)), strict=True))
+        while len(self.adds) < len(self.place):
+            self.adds = np.concatenate([self.adds, np.zeros_like(self.adds)])
+        self.adds[begin : begin + len(new)] = [self._added(token) for token in new]
+
+    def __call__(self, text: str) -> list[float]:
+        tokens = _WORD.findall(text)
+        n = len(tokens)
+        if not n:
+            return [0.0] * len(FEATURES)
+        at = list(map(self.place.get, tokens))
+        if None in at:
+            self._learn(tokens)
+            at = list(map(self.place.__getitem__, tokens))
+        adds = self.adds[at]
+        you, hits = np.flatnonzero(adds[:, 0]), np.flatnonzero(adds[:, 1])
+        near = 0
+        if len(you) and len(hits):
+            beside = np.searchsorted(you, hits)
+            gap = np.minimum(np.abs(you[np.minimum(beside, len(you) - 1)] - hits), np.abs(you[np.maximum(beside - 1, 0)] - hits))
+            near = int((gap <= _NEAR).sum())
+        _, _, _, plain, stems, _, capitals, masked, stretched, letters, uppers, exclamations, questions, marks, symbols = adds.sum(0).tolist()
+        # In the order of the text, whatever the sums above are taken in.
+        weight, stem_weight = (float(np.cumsum(adds[:, c])[-1]) for c in (2, 5))
+        letters = letters or 1
+        return [
+            float(np.log1p(n)), float(len(hits)), len(hits) / n, weight / n, stems / n, stem_weight / n, plain, near / n,
+            len(you) / n, uppers / letters, capitals / n, exclamations / n, questions / n, marks / n, symbols / n, masked / n, stretched / n,
+        ]
+
+
 def measure(text: str, lexicon: Lexicon) -> list[float]:
-    tokens = _WORD.findall(text)
-    n = len(tokens)
-    if not n:
-        return [0.0] * len(FEATURES)
-    you, hits = [], []
-    weight = stem_weight = 0.0
-    plain = stems = capitals = masked = stretched = 0
-    for at, token in enumerate(tokens):
-        word = _bare(token.lower())
-        if word in _YOU:
-            you.append(at)
-        found = lexicon.words.get(word)
-        if found is None and not word.isalpha():
-            found = lexicon.words.get(_bare(token.lower().translate(_LOOKALIKE)))
-            plain += found is not None
-        if found is not None:
-            hits.append(at)
-            weight += found
-        best = max((lexicon.stems.get(word[:k], 0.0) for k in STEM), default=0.0)
-        stems += best > 0
-        stem_weight += best
-        capitals += len(word) > 1 and token.isupper()
-        masked += _MASKED.search(token) is not None
-        stretched += _STRETCHED.search(word) is not None
-    place = np.array(you)
-    near = 0
-    if you and hits:
-        at = np.searchsorted(place, hits)
-        gap = np.minimum(np.abs(place[np.minimum(at, len(you) - 1)] - hits), np.abs(place[np.maximum(at - 1, 0)] - hits))
-        near = int((gap <= _NEAR).sum())
-    letters = sum(map(str.isalpha, text)) or 1
-    marks = sum(text.count(c) for c in ".,;:'\"()-")
-    return [
-        float(np.log1p(n)), float(len(hits)), len(hits) / n, weight / n, stems / n, stem_weight / n, float(plain), near / n,
-        len(you) / n, sum(map(str.isupper, text)) / letters, capitals / n, text.count("!") / n, text.count("?") / n,
-        marks / n, sum(text.count(c) for c in "#*$%&|<>@") / n, masked / n, stretched / n,
-    ]
+    return Measure(lexicon)(text)
 
 
 def features(docs: DataFrame, lexicon: Lexicon, keep: tuple[str, ...]) -> DataFrame:
@@ -164,8 +209,9 @@ def features(docs: DataFrame, lexicon: Lexicon, keep: tuple[str, ...]) -> DataFr
     schema = StructType([*[docs.schema[c] for c in keep], *StructType.fromDDL(", ".join(f"{f} double" for f in FEATURES))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        measured = Measure(lexicon)
         for batch in T.slices(batches, "text"):
-            rows = [measure(text or "", lexicon) for text in T.column(batch, "text").to_pylist()]
+            rows = [measured(text or "") for text in T.column(batch, "text").to_pylist()]
             values = zip(*rows, strict=True) if rows else [[] for _ in FEATURES]
             columns = {c: T.column(batch, c) for c in keep}
             yield pa.RecordBatch.from_pydict(columns | {f: pa.array(v, pa.float64()) for f, v in zip(FEATURES, values, strict=True)})

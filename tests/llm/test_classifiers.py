@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import random
+import re
 from zlib import crc32
 
+import numpy as np
 import pytest
 
 from chargestream.llm import compression_classifier as C
@@ -89,3 +91,46 @@ def test_lexicon_and_features(small):
     assert measured["word_hits"] >= 2 and measured["near_you"] > 0
     assert measured["exclamations"] > 0 and measured["stretched"] > 0 and measured["masked"] > 0 and measured["capital_words"] > 0
     assert toxicity.measure("", found) == [0.0] * len(toxicity.FEATURES)
+
+
+def token_by_token(text, lexicon):
+    """The features of a text, each taken from the text itself."""
+    tokens = re.findall(r"[^\x20\x09-\x0D]+", text)
+    if not tokens:
+        return [0.0] * len(toxicity.FEATURES)
+    bare = [re.sub(r"^\W+|\W+$", "", t.lower()) for t in tokens]
+    looks = [re.sub(r"^\W+|\W+$", "", t.lower().translate(str.maketrans("013457@$!|", "oieastasil"))) for t in tokens]
+    n, weights, plain = len(tokens), [], 0
+    for word, look in zip(bare, looks, strict=True):
+        found = lexicon.words.get(word)
+        if found is None and not word.isalpha() and look in lexicon.words:
+            found, plain = lexicon.words[look], plain + 1
+        weights.append(found)
+    stems = [max((lexicon.stems.get(w[:k], 0.0) for k in (4, 5, 6, 7)), default=0.0) for w in bare]
+    hits, you = [i for i, w in enumerate(weights) if w is not None], [i for i, w in enumerate(bare) if w in toxicity._YOU]
+    near = sum(any(abs(i - j) <= 6 for j in you) for i in hits)
+    total = 0.0
+    for w in weights:
+        total += w or 0.0
+    stem_total = 0.0
+    for w in stems:
+        stem_total += w
+    letters = sum(c.isalpha() for c in text) or 1
+    return [
+        float(np.log1p(n)), len(hits), len(hits) / n, total / n, sum(s > 0 for s in stems) / n, stem_total / n, plain, near / n, len(you) / n,
+        sum(c.isupper() for c in text) / letters, sum(len(w) > 1 and t.isupper() for w, t in zip(bare, tokens, strict=True)) / n,
+        text.count("!") / n, text.count("?") / n, sum(c in ".,;:'\"()-" for c in text) / n, sum(c in "#*$%&|<>@" for c in text) / n,
+        sum(bool(re.search(r"[^\W\d_][0-9@$*#!|]+[^\W\d_]", t)) for t in tokens) / n, sum(bool(re.search(r"(\w)\1\1", w)) for w in bare) / n,
+    ]
+
+
+@pytest.mark.parametrize("known", [400_000, 3])
+def test_features_against_the_text_itself(monkeypatch, known):
+    monkeypatch.setattr(toxicity, "_KNOWN", known)
+    rnd = random.Random(5)
+    lexicon = toxicity.Lexicon({"vile": 1.7, "fool": 2.3, "böse": 0.1}, {"scum": 1.1, "scumb": 2.7, "idiot": 0.3})
+    pieces = ["you", "Du", "V1LE", "vile", "fool!!", "b@d", "sooo", "scumbag", "Idioten", "böse.", "#*$", "ABC", "a", "7", "—", "É", "ok?", "\x1c", "İ"]
+    measured = toxicity.Measure(lexicon)
+    for _ in range(300):
+        text = "".join(rnd.choice(pieces) + rnd.choice([" ", "\n", "", "\t "]) for _ in range(rnd.randrange(40)))
+        assert measured(text) == token_by_token(text, lexicon)
