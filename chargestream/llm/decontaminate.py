@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from . import text as T
+from .shared import set_aside
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
@@ -199,9 +200,10 @@ def digest(found: DataFrame) -> DataFrame:
 
 def remove(docs: DataFrame, benchmark: DataFrame, spans: bool = False, **options) -> DataFrame:
     """`docs` without its contaminated rows; with `spans`, all rows, without the words that were hit."""
-    found = find(docs, benchmark, keep=tuple(docs.columns), **options)
+    named, back = set_aside(docs)
+    found = find(named, benchmark, keep=tuple(named.columns), **options)
     if not spans:
-        return found.where(F.size("spans") == 0).select(*docs.columns)
+        return back(found.where(F.size("spans") == 0))
     raw = F.col("text").cast("binary")
     edges = F.concat(F.array(F.lit(0).cast("long")), F.col("spans.end"))
     starts = F.concat(F.col("spans.start"), F.array(F.octet_length("text").cast("long")))
@@ -211,4 +213,4 @@ def remove(docs: DataFrame, benchmark: DataFrame, spans: bool = False, **options
     )
     # Adding the pieces up is exact on bytes; a span begins and ends with whole characters.
     cleaned = F.aggregate(kept, F.lit(b""), lambda x, y: F.concat(x, y)).cast("string")
-    return found.withColumn("text", F.when(F.size("spans") > 0, cleaned).otherwise(F.col("text"))).select(*docs.columns)
+    return back(found.withColumn("text", F.when(F.size("spans") > 0, cleaned).otherwise(F.col("text"))))

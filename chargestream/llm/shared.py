@@ -26,6 +26,13 @@ from ..session import scratch_path
 SHARD_BYTES = 4 << 20
 
 
+def set_aside(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """`docs` with every column but the text under a name that no operator adds, and what gives the names back."""
+    own = {name: name if name == "text" else f"__own_{at}" for at, name in enumerate(docs.columns)}
+    renamed = docs.select(*[F.col(f"`{name}`").alias(aside) for name, aside in own.items()])
+    return renamed, lambda df: df.select(*[F.col(aside).alias(name) for name, aside in own.items()])
+
+
 def mounted(path: str) -> str:
     """A shared path as the operating system names it."""
     parsed = urlparse(path)

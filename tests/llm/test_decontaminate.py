@@ -63,7 +63,7 @@ def test_equals_brute_force(tables, block_bytes):
 def test_removal(tables):
     docs, items, table, benchmark = tables
     hit = {str(r[0]) for r in brute(docs, items) if r[5]}
-    table = table.drop("items")
+    table = table.selectExpr("*", "1 as n_words", "2 as spans", "'x' as `odd name`")
     kept = D.remove(table, benchmark)
     assert kept.columns == table.columns
     assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == sorted(((str(i), t) for i, t in docs if str(i) not in hit), key=str)
