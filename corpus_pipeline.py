@@ -15,15 +15,21 @@ from pyspark.sql import functions as F
 
 from chargestream.llm import decontaminate, mixing, ngram_join, quality_rules, substring_dedup
 from chargestream.llm.queries import settings, table
+from chargestream.llm.shared import set_aside
 from chargestream.session import stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules keep."""
+    """Documents that the rules keep.
+
+    Null and empty texts have no words and go. Each row is judged by itself:
+    repeated rows and ids stay or go together. Columns keep their names and values, also those the rules use.
+    """
     settings(spark)
-    return quality_rules.apply_rules(docs, keep=tuple(docs.columns)).where("kept").select(*docs.columns)
+    named, back = set_aside(docs)
+    return back(quality_rules.apply_rules(named, keep=tuple(named.columns)).where("kept"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,30 +41,35 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     joined = ngram_join.join_rows(docs, n=5, threshold=0.8)
     goes = F.coalesce(F.col("doc_id") != F.col("component_id"), F.lit(False))
     named = joined.where("doc_id is not null").groupBy("doc_id").agg(
-        F.max(goes).alias("goes"), F.min(goes).alias("all_go"), F.collect_set(F.when(goes, F.col("cls"))).alias("gone")
+        F.max(goes).alias("__goes"), F.min(goes).alias("__all_go"), F.collect_set(F.when(goes, F.col("cls"))).alias("__gone")
     )
-    named = stage(named.where("goes").select("doc_id", "all_go", "gone"), "near-duplicates")
+    named = stage(named.where("__goes").select("doc_id", "__all_go", "__gone"), "near-duplicates")
     clean = docs.join(named.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
     # Of an id with several texts, only those go that have a near duplicate.
-    mixed_ids = named.where("not all_go").select("doc_id", "gone")
-    return clean.unionByName(ngram_join.without_classes(docs.join(mixed_ids, "doc_id"), "gone", 5).select(*docs.columns))
+    mixed_ids = named.where("not __all_go").select("doc_id", "__gone")
+    return clean.unionByName(ngram_join.without_classes(docs.join(mixed_ids, "doc_id"), "__gone", 5).select(*docs.columns))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages that an earlier one has."""
+    """Documents without the passages that an earlier one has.
+
+    No row goes: a text that is all repeated becomes empty, null stays null.
+    n_chars becomes the length of what is left. Of equal texts the one of the
+    smallest doc_id keeps its passages.
+    """
     settings(spark)
     left = substring_dedup.without_passages(docs, substring_dedup.passages(docs))
     return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a window of the benchmark."""
+    """Documents without a window of the benchmark. Null and empty texts have none and stay, as all do if the benchmark is empty."""
     settings(spark)
     return decontaminate.remove(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of the mix."""
+    """Documents of the mix. Null and empty texts have no tokens and are not chosen; null languages and sources are leaves of their own."""
     settings(spark)
     return mixing.choose(docs)
 
