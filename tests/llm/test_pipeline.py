@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import corpus_pipeline as P
+from pyspark.sql import functions as F
 
 from .conftest import edited, prose
 from .test_substring_dedup import Corpus, copies, frequent_line
@@ -88,3 +89,16 @@ def test_passages_stage_equals_brute_force(documents):
     docs = documents(*[(doc, " ".join(words)) for doc, words in corpus.rows.items()])
     left = {r.doc_id: r.text.split() for r in P.repeated_passages(docs.sparkSession, docs, "").collect()}
     assert left[20] == corpus.rows[20] and not list(copies(left))
+
+
+def test_columns_of_any_name_go_through(documents, llm):
+    rnd = random.Random(12)
+    texts = [" ".join(prose(rnd, 120)) + "." for _ in range(6)]
+    docs = documents(*enumerate(texts), (6, texts[0]), (7, None), (8, ""), (9, texts[1]), (9, texts[2] + " more words"))
+    names = ("n_words", "kept", "base_failed", "gone", "goes", "cls", "component_id", "spans", "items")
+    docs = docs.select("*", *[F.col("doc_id").alias(name) for name in names])
+    for name, step in P.STAGES[:4]:
+        out = step(llm, docs, "/root/testdata/sf0.001")
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert rows and all(row[c] == row.doc_id for row in rows for c in names), name
