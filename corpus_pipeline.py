@@ -53,9 +53,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that an earlier one has.
 
-    No row goes: a text that is all repeated becomes empty, null stays null.
-    n_chars becomes the length of what is left. Of equal texts the one of the
-    smallest doc_id keeps its passages.
+    A row whose words are all repeated goes; null and empty texts stay. n_chars
+    becomes the length of what is left. Of equal texts the one of the smallest
+    doc_id keeps its passages.
     """
     settings(spark)
     left = substring_dedup.without_passages(docs, substring_dedup.passages(docs))
