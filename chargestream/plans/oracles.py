@@ -311,7 +311,8 @@ _SELECTS = {
                 lambda e: lower(e.key) IN ({ALLOWED}, CASE WHEN m.client_id = 'gw-2' THEN 'cookie' ELSE 'x-trace' END)) ELSE request_entries END AS request_entries),
               epoch_us(m.captured_ts) + CASE WHEN r.client_id <> 'gw-1' AND m.captured_ts = min(m.captured_ts) OVER (PARTITION BY r.client_id)
                 THEN 5000000 ELSE 200000 END AS cycle
-            FROM ocpi_record r JOIN masked m ON m.client_id = r.client_id AND m.seq = r.seq WHERE r.client_id IN ('gw-0', 'gw-1', 'gw-2'))""",
+            FROM ocpi_record r JOIN masked m ON m.client_id = r.client_id AND m.seq = r.seq WHERE r.client_id IN ('gw-0', 'gw-1', 'gw-2')
+              AND (r.client_id <> 'gw-2' OR greatest(coalesce(strlen(m.request_body_text), 0), coalesce(strlen(m.response_body_text), 0)) <= 28))""",
           _OCPI_JSON, 'client_id, cycle')})""",
     "stream_connection_ordinals": "SELECT client_id, charger_id, seq, ordinal FROM connected WHERE trim(charger_id) <> ''",
     "stream_ocpp_records": f"SELECT client_id, seq, protocol, {_OCPP_FIELDS}, raw_frame FROM ocpp_record",

@@ -98,7 +98,7 @@ SELECT 'gw-' || c_custkey AS client_id,
     ELSE 'https://ingest.example.com/' END AS endpoint,
   CASE WHEN c_custkey % 7 = 6 THEN FALSE ELSE TRUE END AS has_api_key,
   CASE c_custkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 0 WHEN 2 THEN 1 ELSE 500 END AS buffer_capacity,
-  CASE c_custkey % 3 WHEN 0 THEN NULL WHEN 1 THEN -1 ELSE 4096 END AS max_capture_bytes,
+  CASE c_custkey % 3 WHEN 0 THEN NULL WHEN 1 THEN -1 ELSE 28 END AS max_capture_bytes,
   CASE c_custkey % 3 WHEN 0 THEN CAST(0.0 AS DOUBLE) WHEN 1 THEN CAST(0.001 AS DOUBLE) ELSE NULL END AS flush_interval,
   CASE c_custkey % 3 WHEN 0 THEN CAST(2.0 AS DOUBLE) WHEN 1 THEN CAST(5.0 AS DOUBLE) ELSE NULL END AS drain_timeout,
   CASE c_custkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'gzip' WHEN 2 THEN 'zstd' ELSE 'brotli' END AS compression,
