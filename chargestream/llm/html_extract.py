@@ -1,12 +1,16 @@
 """Main text of web pages by a minimum cut.
 
 A page becomes a row of text blocks, each with its place in the element tree. A
-classifier on tag, names, links and length gives every block the cost of being
-called content or boilerplate; these are its capacities to the two terminals.
+linear classifier on length, links, tag and the names of the elements around a
+block gives the cost of calling it content or boilerplate; these are its
+capacities to the two terminals. Names are evidence, not a veto: an article
+within a form or a named layout outweighs them, and a class name that says what
+an element lacks or has beside it (no-sidebar, has-comments) says nothing of its text.
 Neighbouring blocks, and successive blocks under one element, are joined by
-smoothness edges that weaken with their distance in the tree. The minimum cut is
-the cheapest labelling. Blocks whose own cost outweighs all their edges are
-labelled first, which is exact and leaves small graphs; max-flow settles those.
+smoothness edges of the same scale as these costs, which weaken with the distance
+in the tree. The minimum cut is the cheapest labelling. Blocks whose own cost
+outweighs all their edges are labelled first, which is exact and leaves small
+graphs; max-flow settles those.
 
 Each page is work of its own: no shuffle, and memory for one batch of pages.
 
@@ -47,22 +51,34 @@ _CLOSES_P = _BLOCK - frozenset("body html button td th tr tbody thead tfoot capt
 _ENDS_LIKE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
 _SECTION = frozenset("article main section aside nav header footer form body".split())
 
-# What names say about an element.
-_FRAME_TAGS = frozenset("nav footer aside form button select dialog menu label fieldset noscript".split())
-_FRAME_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
+# What names say about an element. Frames hold whatever is in them; weak frames give way to an article or main element within.
+_FRAME_TAGS = frozenset("nav footer aside button select dialog menu label fieldset noscript".split())
+_FRAME_ROLES = frozenset("navigation banner contentinfo complementary dialog alert alertdialog menu menubar toolbar".split())
 _FRAME_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising adsense adbox sponsor sponsored sponsors promo promos promotion banner "
-    "banners cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription "
-    "signup signin login register nav navbar navigation menu menus submenu breadcrumb breadcrumbs crumbs sidebar sidebars "
-    "rail widget widgets related recommended recommendations trending popular share sharing sharebar social comment "
-    "comments commentlist reply replies respond responses discussion disqus feedback footer foot header masthead toolbar "
-    "topbar pagination pager pagenav legal copyright privacy terms search searchbox form hidden skip skiplink toc "
-    "paywall teaser taboola outbrain".split()
+    "banners cookie cookies consent gdpr notice notices popular popup modal overlay newsletter subscribe subscription "
+    "signup signin login nav navbar navigation menu menus submenu breadcrumb breadcrumbs crumbs sidebar sidebars "
+    "widget widgets related trending recommended recommendations sharing sharebar comment comments commentlist replies discussion disqus "
+    "footer foot masthead toolbar topbar pagination pager pagenav searchbox skip skiplink toc paywall teaser taboola "
+    "outbrain".split()
 )
+# Names that text of an article may have as well.
+_UNSURE_NAMES = frozenset(
+    "alert copyright feedback form hidden legal privacy rail register reply respond responses search share social terms".split()
+)
+_HEADERS = frozenset("head header".split())
 _MAIN_NAMES = frozenset("article articlebody post postbody entry story main maincontent content".split())
+# Parts of a name that leave its meaning as it is, and those that make it speak of something else.
+_NEUTRAL = frozenset("area bar block body bottom box container inner item items left list outer right section text top wrap wrapper".split())
+_MODIFIERS = frozenset("has have is no not with without".split())
 _PROSE = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6 dd td figcaption".split())
 
-_FRAME_COST = 8.0
+# Log odds.
+_FRAME, _UNSURE, _MAIN_TAG, _MAIN_NAME = -6.0, -2.5, 2.5, 1.5
+_MOST_FRAME = -8.0
+_GIVES_WAY = 0.25
+_WITHIN_FRAME = 0.75
+_NEIGHBOURS, _SIBLINGS, _OTHER_SECTION = 2.0, 1.0, 0.1
 
 
 class Element(NamedTuple):
@@ -71,8 +87,9 @@ class Element(NamedTuple):
     parent: int
     depth: int
     section: int
-    frame: int
-    main: bool
+    frame: float  # log odds of the frames around
+    weak: float  # those of frames that give way to an article within
+    main: float
     link: bool
 
 
@@ -82,10 +99,30 @@ class Block(NamedTuple):
     linked: int
 
 
-def _names(attributes: dict[str, str]) -> set[str]:
-    raw = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-    found = {part.lower() for part in _PART.findall(raw)}
-    return found | {name.lower() for name in re.split(r"[\s_-]+", raw) if name}
+def _named(attributes: dict[str, str]) -> tuple[float, float, bool, bool]:
+    """What class names and id say: log odds of a frame and of an unsure frame, whether they name a header, and main text."""
+    frame = unsure = 0.0
+    header = main = False
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
+        parts = [part.lower() for part in _PART.findall(name)]
+        if len(parts) > 1:
+            parts = [part for part in parts if not part.isdigit()]
+        if not parts or _MODIFIERS.intersection(parts):
+            continue
+        whole = name.lower()
+        # The last part says what a thing is, unless it is a mere container.
+        heads = [part for part in parts if part not in _NEUTRAL][-1:]
+        for part in {*parts, whole}:
+            share = 1.0 if part in heads or part == whole else 0.5
+            if part in _FRAME_NAMES:
+                frame = min(frame, share * _FRAME)
+            elif part in _UNSURE_NAMES:
+                unsure = min(unsure, share * _UNSURE)
+            elif part in _HEADERS:
+                header = header or share == 1.0
+            elif part in _MAIN_NAMES and share == 1.0:
+                main = True
+    return (frame / 2 if main else frame), unsure, header, main
 
 
 def _element(tag: str, token: str, above: Element, number: int) -> Element:
@@ -94,23 +131,33 @@ def _element(tag: str, token: str, above: Element, number: int) -> Element:
         for name, a, b, c in _ATTRIBUTE.findall(token[len(tag) + 1 :]):
             attributes.setdefault(name.lower(), html.unescape(a or b or c))
     role = attributes.get("role", "").lower()
-    main = tag in ("article", "main") or role in ("main", "article") or attributes.get("itemprop", "").lower() == "articlebody"
-    names = _names(attributes) if "class" in attributes or "id" in attributes else set()
-    frame = tag in _FRAME_TAGS or role in _FRAME_ROLES or (tag == "header" and not above.main)
-    if tag not in ("html", "body", "article", "main") and not main:
-        frame = frame or bool(names & _FRAME_NAMES)
-    hidden = "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true"
+    article = tag in ("article", "main") or role in ("main", "article") or attributes.get("itemprop", "").lower() == "articlebody"
+    frame = weak = 0.0
+    header = named = False
+    if not article and tag not in ("html", "body") and ("class" in attributes or "id" in attributes):
+        frame, weak, header, named = _named(attributes)
+    if tag in _FRAME_TAGS or role in _FRAME_ROLES:
+        frame = _FRAME
+    # A form may be the whole page, and the header of an article holds its title.
+    if tag == "form" or role in ("form", "search") or ((tag == "header" or header) and not above.main):
+        weak = _FRAME
     style = attributes.get("style", "").replace(" ", "").lower()
-    frame = frame or hidden or "display:none" in style or "visibility:hidden" in style
-    main = main or (not frame and tag not in ("html", "body") and bool(names & _MAIN_NAMES))
+    if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or "display:none" in style or "visibility:hidden" in style:
+        frame = _MOST_FRAME
+    main = above.main * (_WITHIN_FRAME if frame else 1.0)
+    if article:
+        main = _MAIN_TAG
+    elif named:
+        main = max(main, _MAIN_NAME)
     return Element(
         tag,
         number,
         above.number,
         above.depth + 1,
         number if tag in _SECTION or frame else above.section,
-        above.frame + frame,
-        above.main or main,
+        max(above.frame + frame, _MOST_FRAME),
+        min(above.weak * (_GIVES_WAY if article else 1.0), weak),
+        main,
         above.link or tag == "a",
     )
 
@@ -118,7 +165,7 @@ def _element(tag: str, token: str, above: Element, number: int) -> Element:
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page in order."""
     out: list[Block] = []
-    stack = [Element("", 0, -1, 0, 0, 0, False, False)]
+    stack = [Element("", 0, -1, 0, 0, 0.0, 0.0, 0.0, False)]
     number = 0
     parts: list[str] = []
     linked = 0
@@ -200,10 +247,10 @@ def blocks(page: str) -> list[Block]:
 def score(block: Block) -> float:
     """Log odds of content against boilerplate."""
     words = len(block.text.split())
-    z = -1.5 + 0.5 * min(math.log2(1 + words), 6.0)
-    z += 0.8 * (block.element.tag in _PROSE) + 2.5 * block.element.main
-    z -= 4.0 * min(block.linked / len(block.text), 1.0) * (1 if not block.element.main or words < 4 else 0.2)
-    return z - _FRAME_COST * min(block.element.frame, 2)
+    here = block.element
+    z = -1.5 + 0.5 * min(math.log2(1 + words), 6.0) + 0.8 * (here.tag in _PROSE)
+    z -= 4.0 * min(block.linked / len(block.text), 1.0) * (1 if not here.main or words < 4 else 0.2)
+    return z + here.frame + here.weak + here.main
 
 
 def _softplus(z: float) -> float:
@@ -218,9 +265,9 @@ def edges(found: list[Block]) -> Iterator[tuple[int, int, float]]:
         if at:
             before = found[at - 1].element
             near = 0 if here.parent == before.parent else 1 + abs(here.depth - before.depth)
-            yield at - 1, at, 1.0 * math.exp(-near / 2) * (1.0 if here.section == before.section else 0.1)
+            yield at - 1, at, _NEIGHBOURS * math.exp(-near / 2) * (1.0 if here.section == before.section else _OTHER_SECTION)
         if here.parent in last and last[here.parent] != at - 1:
-            yield last[here.parent], at, 0.5
+            yield last[here.parent], at, _SIBLINGS
         last[here.parent] = at
 
 
@@ -232,19 +279,13 @@ def label(scores: list[float], joined: list[tuple[int, int, float]]) -> list[boo
     for a, b, w in joined:
         beside[a][b] = beside[a].get(b, 0.0) + w
         beside[b][a] = beside[b].get(a, 0.0) + w
-    decided: list[bool | None] = [None] * len(scores)
-    todo = deque(range(len(scores)))
-    while todo:
-        at = todo.popleft()
-        if decided[at] is not None:
-            continue
-        lead, pull = content[at] - frame[at], sum(beside[at].values())
-        if abs(lead) >= pull:
-            decided[at] = lead > 0
+    lead = [c - f for c, f in zip(content, frame, strict=True)]
+    decided = [lead[at] > 0 if abs(lead[at]) > sum(beside[at].values()) else None for at in range(len(scores))]
+    for at, known in enumerate(decided):
+        if known is not None:
             for other, w in beside[at].items():
-                (content if lead > 0 else frame)[other] += w
+                (content if known else frame)[other] += w
                 del beside[other][at]
-                todo.append(other)
             beside[at] = {}
     open_ones = [at for at, known in enumerate(decided) if known is None]
     if open_ones:

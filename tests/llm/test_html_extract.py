@@ -33,6 +33,61 @@ def test_article_without_the_frame(wrap):
     assert X.main_text(html) == "\n".join(ARTICLE)
 
 
+PARAGRAPH = "A real paragraph of this page with a dozen words or so in it."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<div class="layout has-comments"><article><p>{}</p></article></div>',
+        '<div class="site no-sidebar"><main><p>{}</p></main></div>',
+        '<div class="sidebar-layout"><article><p>{}</p></article></div>',
+        '<div class="post-content without-ads"><p>{}</p></div>',
+        '<main><div class="widget-area-right content"><p>{}</p></div></main>',
+        '<form id="page-form" action=x><article><p>{}</p></article></form>',
+        '<article><section class="search-engines-compared"><p>{}</p></section></article>',
+        '<article><p class="legal">{}</p></article>',
+        '<article><header class="entry-header"><h1>{}</h1></header></article>',
+    ],
+)
+def test_names_are_no_veto(page):
+    assert X.main_text(page.format(PARAGRAPH)) == PARAGRAPH
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<aside><article><p>{}</p></article></aside>",
+        '<section id="comments"><ol><li class="comment"><article class="comment-body"><p>{}</p></article></li></ol></section>',
+        '<article><form class="newsletter-form"><p>{}</p></form></article>',
+        '<article><div class="ad-container"><p>{}</p></div></article>',
+        '<div class="related-posts"><p>{}</p></div>',
+        '<div id="footer-inner"><p>{}</p></div>',
+        '<article><p hidden>{}</p></article>',
+    ],
+)
+def test_frames_stay_out(page):
+    assert X.main_text(page.format(PARAGRAPH * 10)) == ""
+
+
+def test_edges_decide_what_scores_leave_open(monkeypatch):
+    """One-word paragraphs amid prose stay, a longer line amid links goes; without edges it is the other way round."""
+    prose = "".join(f"<p>{PARAGRAPH}</p><p>{word}</p>" for word in ("Yes.", "No.", "So?"))
+    links = "".join(f'<p><a href="{i}">Word {i}</a></p>' for i in range(4))
+    page = f"<div>{prose}</div><div>{links}<p>Some more links that follow here</p>{links}</div>"
+    flows, cut = [], X._cut
+    monkeypatch.setattr(X, "_cut", lambda nodes, *rest: flows.append(len(nodes)) or cut(nodes, *rest))
+    found = X.main_text(page).split("\n")
+    assert found == [PARAGRAPH, "Yes.", PARAGRAPH, "No.", PARAGRAPH, "So?"] and flows
+    monkeypatch.setattr(X, "edges", lambda found: iter(()))
+    assert X.main_text(page).split("\n") == [PARAGRAPH] * 3 + ["Some more links that follow here"]
+
+
+def test_very_long_text():
+    text = "many words " * 500_000
+    assert X.main_text(f"<nav>{text}</nav><article><p>{text}</p></article>") == text.strip()
+
+
 def test_unusual_pages():
     assert X.main_text(None) == X.main_text("") == X.main_text("<p> &#32; </p>") == ""
     assert X.main_text("<article><p>one &lt;b&gt; &eacute;<b>x</b>y  z") == "one <b> éxy z"
