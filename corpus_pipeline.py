@@ -38,16 +38,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows of one id are looked at by their texts: one with a near duplicate of a smaller id goes, the others stay.
     """
     settings(spark)
-    joined = ngram_join.join_rows(docs, n=5, threshold=0.8)
-    goes = F.coalesce(F.col("doc_id") != F.col("component_id"), F.lit(False))
-    named = joined.where("doc_id is not null").groupBy("doc_id").agg(
-        F.max(goes).alias("__goes"), F.min(goes).alias("__all_go"), F.collect_set(F.when(goes, F.col("cls"))).alias("__gone")
-    )
-    named = stage(named.where("__goes").select("doc_id", "__all_go", "__gone"), "near-duplicates")
-    clean = docs.join(named.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
-    # Of an id with several texts, only those go that have a near duplicate.
-    mixed_ids = named.where("not __all_go").select("doc_id", "__gone")
-    return clean.unionByName(ngram_join.without_classes(docs.join(mixed_ids, "doc_id"), "__gone", 5).select(*docs.columns))
+    return ngram_join.without_later(docs, ngram_join.join_rows(docs, n=5, threshold=0.8), n=5)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

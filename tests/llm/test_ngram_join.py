@@ -68,3 +68,23 @@ def test_components_of_a_long_path_and_a_hub(llm):
     path = [(i, i + 1) for i in range(200)] + [(1000, 1000 + k) for k in range(1, 300)] + [(3000, 3000)]
     found = dict(map(tuple, components(llm.createDataFrame(path, "u long, v long")).collect()))
     assert found == {**{i: 0 for i in range(201)}, **{1000 + k: 1000 for k in range(300)}}
+
+
+def test_rows_of_a_large_group_of_near_copies_grow_with_it(documents, monkeypatch):
+    """No table has the pairs of a group, nor its blocks' pairs: a few rows a document."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 4)
+    made = {}
+    real = ngram_join.stage
+
+    def counted(df, name):
+        table = real(df, name)
+        made[name] = max(made.get(name, 0), table.count())
+        return table
+
+    monkeypatch.setattr(ngram_join, "stage", counted)
+    rnd = random.Random(4)
+    centre = prose(rnd, 200, 10**6)
+    rows = [(i, " ".join(edited(rnd, centre, 1))) for i in range(150)]
+    found = ngram_join.join_documents(documents(*rows), 3, 0.9).collect()
+    assert {r.component_id for r in found} == {0} and len(found) == len(rows)
+    assert max(made.values()) <= 4 * len(rows), made

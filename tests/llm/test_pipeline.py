@@ -102,3 +102,11 @@ def test_columns_of_any_name_go_through(documents, llm):
         assert out.columns == docs.columns, name
         rows = out.collect()
         assert rows and all(row[c] == row.doc_id for row in rows for c in names), name
+
+
+def test_texts_are_not_shuffled_to_take_rows_or_passages_out(llm, tmp_path):
+    planted(llm, str(tmp_path))
+    docs = llm.read.parquet(f"{tmp_path}/documents.parquet")
+    for step in (P.near_duplicates, P.repeated_passages):
+        plan = step(llm, docs, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Join" not in plan
