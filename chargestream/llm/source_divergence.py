@@ -81,6 +81,26 @@ def hash_of(name: bytes) -> int:
     return int(hashes(data, np.array([0]), np.array([len(data)]), np.arange(1, 257, dtype=np.uint64))[0])
 
 
+def _prefixes(data: np.ndarray, start: np.ndarray, end: np.ndarray, length: int) -> np.ndarray:
+    """A number per term for its first `length` bytes; up to 8, equal for equal ones only, as no byte of a term is 0."""
+    if length > 8:
+        return hashes(data, start, np.minimum(end, start + length), TERMS.value)
+    padded = np.concatenate([_LOWER[data], np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    size = np.minimum(end - start, length).astype(np.uint64)
+    return mix(eight[start] & (np.uint64(0xFFFF_FFFF_FFFF_FFFF) >> (np.uint64(64) - np.uint64(8) * size)))
+
+
+def _order(values: np.ndarray) -> np.ndarray:
+    """A stable order of 64-bit hashes: by their upper bits with the place below, as whole numbers sort faster than places do."""
+    place = np.arange(len(values), dtype=np.uint64)
+    bits = np.uint64(len(values).bit_length())
+    order = (np.sort(values >> bits << bits | place) & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    ordered = values[order]
+    # Different hashes with equal upper bits are rare.
+    return np.argsort(values, kind="stable") if (ordered[1:] < ordered[:-1]).any() else order
+
+
 def _bit(prefix: np.ndarray, lang: np.ndarray) -> np.ndarray:
     """Place of a language's prefix in the map."""
     return (mix(prefix ^ lang) >> np.uint64(64 - MAP_BITS)).astype(np.int64)
@@ -124,39 +144,42 @@ def level_counts(docs: DataFrame, length: int | None, before: int | None, bits:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _gathered(batches, _TEXT_BYTES):
-            found = words(column(batch, "text"), TERMS)
-            row, start, end, key = found.row, found.start, found.end, found.hash
+            found = words(column(batch, "text"), TERMS, hashed=False)
+            row, start, end = found.row, found.start, found.end
             lang = _seeds(column(batch, "lang"))
             group = _seeds(*(column(batch, name) for name in by))
             if shared is not None:
-                prefix = hashes(found.data, start, np.minimum(end, start + before), TERMS.value)
-                kept = np.flatnonzero(_survives(shared.value, _bit(prefix, lang[row])))
-                row, start, end, key = row[kept], start[kept], end[kept], key[kept]
-            if length is not None:
-                end = np.minimum(end, start + length)
-                key = hashes(found.data, start, end, TERMS.value)
-            if not len(key):
+                kept = np.flatnonzero(_survives(shared.value, _bit(_prefixes(found.data, start, end, before), lang[row])))
+                row, start, end = row[kept], start[kept], end[kept]
+            if not len(row):
                 continue
+            if length is None:
+                key = hashes(found.data, start, end, TERMS.value)
+            else:
+                key = _prefixes(found.data, start, end, length)
+                end = np.minimum(end, start + length)
             # Equal terms of a group together, document by document.
             joint = mix(key ^ group[row])
-            order = np.argsort(joint, kind="stable")
+            order = _order(joint)
             joint, of = joint[order], row[order]
-            first = np.flatnonzero(np.concatenate([[True], joint[1:] != joint[:-1]]))
-            another = np.concatenate([[True], (joint[1:] != joint[:-1]) | (of[1:] != of[:-1])])
+            new = np.concatenate([[True], joint[1:] != joint[:-1]])
+            first = np.flatnonzero(new)
+            new[1:] |= of[1:] != of[:-1]
             at = order[first]
             names = {name: column(batch, name).take(pa.array(row[at])) for name in by}
             yield pa.RecordBatch.from_pydict(
                 {
                     **names,
                     "item": _cut_out(found.data, start[at], end[at]),
-                    "bit": pa.array(_bit(key[at], lang[row[at]]).astype(np.int32)),
-                    "documents": pa.array(np.add.reduceat(another.astype(np.int64), first)),
+                    **({} if length is None else {"bit": pa.array(_bit(key[at], lang[row[at]]).astype(np.int32))}),
+                    "documents": pa.array(np.add.reduceat(new.astype(np.int64), first)),
                     "occurrences": pa.array(np.diff(np.append(first, len(joint)))),
                 }
             )
 
     schema = ", ".join(f"{name} string" for name in by)
-    return docs.mapInArrow(run, f"{schema}, item binary, bit int, documents long, occurrences long")
+    bit = "" if length is None else "bit int, "
+    return docs.mapInArrow(run, f"{schema}, item binary, {bit}documents long, occurrences long")
 
 
 def survivors(sums: DataFrame, least: int) -> DataFrame:

@@ -96,7 +96,8 @@ def buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def words(column: pa.Array, of: Alphabet) -> Words:
+def words(column: pa.Array, of: Alphabet, hashed: bool = True) -> Words:
+    """`hashed`: else the words come without their hashes, which cost as much as all else."""
     data, offsets = buffer(column)
     if not len(data):
         none = np.zeros(0, np.int64)
@@ -114,7 +115,7 @@ def words(column: pa.Array, of: Alphabet) -> Words:
     end = np.flatnonzero(inside & ~after) + 1
     row = np.searchsorted(offsets, start, side="right") - 1
     counts = np.bincount(row, minlength=len(offsets) - 1)
-    return Words(hashes(data, start, end, of.value), row, start, end, counts, data, offsets)
+    return Words(hashes(data, start, end, of.value) if hashed else np.zeros(0, np.uint64), row, start, end, counts, data, offsets)
 
 
 def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, value: np.ndarray) -> np.ndarray:

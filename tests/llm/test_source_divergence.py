@@ -141,3 +141,20 @@ def test_no_row_per_term_and_pair_and_no_cross_join(llm):
     sources = D.sources_of(named, terms)
     plan = D._pairs(D.shares(terms, sources), sources)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Cartesian|NestedLoop", plan)
+
+
+def test_hashes_with_equal_upper_bits_keep_their_order():
+    """Sorting by upper bits alone would part the rows of one hash, and count a document twice."""
+    values = np.array([5, 4, 5, 6, 4, 5, 1 << 60, 3], np.uint64)
+    assert D._order(values).tolist() == np.argsort(values, kind="stable").tolist()
+    spread = np.random.default_rng(1).integers(0, 1 << 63, 5000, dtype=np.uint64).repeat(3)
+    assert D._order(spread).tolist() == np.argsort(spread, kind="stable").tolist()
+
+
+def test_prefixes_are_told_apart_by_their_bytes():
+    text = "Ab ab abc ABCDEFGH abcdefghi éé a".encode()
+    ends = [2, 5, 9, 18, 28, 33, 35]
+    starts = [0, 3, 6, 10, 19, 29, 34]
+    got = D._prefixes(np.frombuffer(text, np.uint8), np.array(starts), np.array(ends), 3).tolist()
+    wanted = [text[a : min(b, a + 3)].lower() for a, b in zip(starts, ends, strict=True)]
+    assert [got.index(v) for v in got] == [wanted.index(v) for v in wanted]
