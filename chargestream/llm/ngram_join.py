@@ -66,6 +66,8 @@ from .shared import (
 SKETCH_BITS = 20
 RANGES = 64
 BLOCK = 512
+# Buckets of the sketch that a task counts before it hands them on.
+_BUCKETS = 1 << 22
 # Rarest shared prefix n-grams by which the first pass merges what is obviously alike.
 FIRST = 2
 
@@ -121,7 +123,8 @@ def sketch(docs: DataFrame, n: int, size: int) -> Sketch:
         stretch.flush()
         return pa.table({"n": pa.array([len(keys)], pa.int64())})
 
-    blobs = count_keys(docs.select("text"), buckets, hash_edges(parts))
+    # The more buckets are counted at a time, the closer they lie and the fewer bits tell them apart.
+    blobs = count_keys(docs.select("text"), buckets, hash_edges(parts), most=_BUCKETS)
     blobs.groupBy("shard").applyInArrow(fill, "n long").agg(F.sum("n")).collect()
     return Sketch(path, bits)
 

@@ -212,18 +212,39 @@ BLOBS = "shard int, blob binary"
 _HELD = 1 << 20
 
 
+# Bytes of a key's difference and of its count.
+_PLANES = (8, 4)
+
+
 def packed(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """Sorted keys as differences, bytes of equal weight together, and compressed."""
+    """Sorted keys as differences, without the zero bits at the end of all of them; bytes of equal weight together.
+
+    Each weight is compressed by itself, as its bytes have their own distribution; one that is zero throughout takes no room.
+    """
     steps = np.diff(keys, prepend=np.uint64(0))
-    planes = steps.view(np.uint8).reshape(-1, 8).T.tobytes() + counts.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(planes)
+    every = int(np.bitwise_or.reduce(steps)) if len(steps) else 0
+    zeros = (every & -every).bit_length() - 1 if every else 0
+    planes = [
+        plane
+        for values, size in zip((steps >> np.uint64(zeros), counts.astype(np.uint32)), _PLANES, strict=True)
+        for plane in np.ascontiguousarray(values.view(np.uint8).reshape(-1, size).T)
+    ]
+    compressor = zstandard.ZstdCompressor(level=1)
+    blobs = [compressor.compress(plane.tobytes()) if plane.any() else b"" for plane in planes]
+    return np.array([len(keys), zeros, *map(len, blobs)], np.uint32).tobytes() + b"".join(blobs)
 
 
 def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
-    n = len(planes) // 12
-    steps = np.ascontiguousarray(planes[: 8 * n].reshape(8, n).T).view(np.uint64).reshape(-1)
-    counts = np.ascontiguousarray(planes[8 * n :].reshape(4, n).T).view(np.uint32).reshape(-1)
+    n, zeros, *sizes = np.frombuffer(blob, np.uint32, 2 + sum(_PLANES)).tolist()
+    planes = np.zeros((len(sizes), n), np.uint8)
+    decompressor = zstandard.ZstdDecompressor()
+    at = 4 * (2 + len(sizes))
+    for plane, size in zip(planes, sizes, strict=True):
+        if size:
+            plane[:] = np.frombuffer(decompressor.decompress(blob[at : at + size]), np.uint8)
+        at += size
+    steps = np.ascontiguousarray(planes[: _PLANES[0]].T).view(np.uint64).reshape(-1) << np.uint64(zeros)
+    counts = np.ascontiguousarray(planes[_PLANES[0] :].T).view(np.uint32).reshape(-1)
     return np.cumsum(steps, dtype=np.uint64), counts
 
 
@@ -246,8 +267,8 @@ def counted_blobs(chunks: list[np.ndarray], edges: np.ndarray) -> Iterator[tuple
             yield shard, packed(keys[where], counts[where])
 
 
-def count_keys(df: DataFrame, keys: Callable[[pa.RecordBatch], Iterable[np.ndarray]], edges: np.ndarray) -> DataFrame:
-    """Blobs per shard of the 64-bit keys that `keys(batch)` yields, counted within the task first."""
+def count_keys(df: DataFrame, keys: Callable[[pa.RecordBatch], Iterable[np.ndarray]], edges: np.ndarray, most: int = _HELD) -> DataFrame:
+    """Blobs per shard of the 64-bit keys that `keys(batch)` yields, counted within the task first, about `most` at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -264,7 +285,7 @@ def count_keys(df: DataFrame, keys: Callable[[pa.RecordBatch], Iterable[np.ndarr
             for own in keys(batch):
                 held.append(own)
                 size += len(own)
-                if size >= _HELD:
+                if size >= most:
                     yield out()
                     size = 0
         yield out()

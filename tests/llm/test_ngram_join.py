@@ -2,9 +2,10 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
-from chargestream.llm import ngram_join
+from chargestream.llm import ngram_join, shared
 from chargestream.llm.components import components
 
 from .conftest import edited, prose, words
@@ -88,3 +89,25 @@ def test_rows_of_a_large_group_of_near_copies_grow_with_it(documents, monkeypatc
     found = ngram_join.join_documents(documents(*rows), 3, 0.9).collect()
     assert {r.component_id for r in found} == {0} and len(found) == len(rows)
     assert max(made.values()) <= 4 * len(rows), made
+
+
+def test_counted_keys_take_little_more_than_their_entropy():
+    """Buckets of n cells that k keys of one chunk meet: about log2(n / k) + 1.44 bits each."""
+    for bits, size in ((25, 1 << 20), (26, 1 << 20), (26, 1 << 22)):
+        top = np.uint64(64 - bits)
+        keys = np.unique(np.random.default_rng(bits).integers(0, 1 << 64, size, np.uint64) >> top << top)
+        counts = np.ones(len(keys), np.int64)
+        counts[::1000] = 70_000
+        blobs = [shared.packed(keys[where], counts[where]) for _, where in shared.split_by_shard(keys, shared.hash_edges(7))]
+        assert [x.tolist() for x in shared.merged(blobs)] == [keys.tolist(), counts.tolist()]
+        assert 8 * sum(map(len, blobs)) / len(keys) < 1.1 * (np.log2((1 << bits) / len(keys)) + 1.44)
+    for keys in ([], [0], [0, 1], [2**64 - 1], [5, 1 << 63]):
+        assert shared.unpacked(shared.packed(np.array(keys, np.uint64), np.ones(len(keys), np.int64)))[0].tolist() == keys
+
+
+def test_a_task_counts_as_many_keys_at_a_time_as_asked(documents):
+    """As the sketch does, whose buckets lie the closer the more of them are counted at a time."""
+    keys = np.arange(3000, dtype=np.uint64) << np.uint64(50)
+    blobs = shared.count_keys(documents((1, "x")).coalesce(1), lambda batch: [keys, keys], shared.hash_edges(0), most=6000).collect()
+    assert [x.tolist() for x in shared.unpacked(blobs[0].blob)] == [keys.tolist(), [2] * 3000]
+    assert sum(len(shared.unpacked(r.blob)[0]) for r in blobs) == 3000
