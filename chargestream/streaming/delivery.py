@@ -1,7 +1,8 @@
 """Delivery outcomes of a stream of attempts.
 
 Attempts of a batch arrive one by one, in any order. State per batch is the
-answer to each attempt up to the limit. A batch is settled, and sent out once,
+answer to each attempt up to the limit; batches whose ids are neighbours keep it
+together. A batch is settled, and sent out once,
 when all attempts up to a decisive one are known, or all that are allowed;
 attempts that come later change nothing. A batch without a new attempt for
 `forget` seconds is forgotten, settled or not, so that state does not grow with
@@ -25,8 +26,16 @@ from ..operators.delivery import judged
 
 FORGET = 86_400.0
 
+# Ids that are neighbours, 2**10 at most, have one state, which is read and written once per micro-batch: each call of the
+# state store costs far more than what a batch holds. A checkpoint is bound to this number.
+_NEIGHBOURS = 10
+
 _UNKNOWN = -1
 _SETTLED = "batch_id long, protocol string, n_messages long, attempts int, final_status int, decided boolean"
+# One element per batch; `seen` is when its last attempt came.
+_HELD = "batch_id array<long>, protocol array<string>, n_messages array<long>, settled array<boolean>, {}, seen array<long>".format(
+    ", ".join(f"s{attempt} array<int>" for attempt in range(C.MAX_ATTEMPTS))
+)
 
 
 def settle(statuses: list[int]) -> tuple[int, int, bool] | None:
@@ -44,26 +53,43 @@ class _Attempts(StatefulProcessor):
         self.forget = forget
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        slots = "".join(f", s{attempt} int" for attempt in range(C.MAX_ATTEMPTS))
         ttl = None if self.forget is None else int(self.forget * 1000)
-        self.batch = handle.getValueState("batch", f"protocol string, n_messages long, settled boolean{slots}", ttl)
+        self.batches = handle.getValueState("batches", _HELD, ttl)
+
+    def _known(self, now: int) -> dict[int, tuple]:
+        """State of the neighbours by batch, but for those to be forgotten: a neighbour's attempts do not keep them."""
+        held = self.batches.get()
+        if held is None:
+            return {}
+        rows = {batch: state for batch, *state in zip(*held, strict=True)}
+        return rows if self.forget is None else {batch: state for batch, state in rows.items() if now < state[-1] + int(self.forget * 1000)}
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        known = self.batch.get()
-        protocol, n_messages, settled, *statuses = known or (None, None, False, *[_UNKNOWN] * C.MAX_ATTEMPTS)
+        now = 0 if self.forget is None else timerValues.getCurrentProcessingTimeInMs()
+        known = self._known(now)
+        new = (None, None, False, *[_UNKNOWN] * C.MAX_ATTEMPTS, now)
+        arrived: dict[int, list] = {}
         for part in rows:
-            cells = (part[name].tolist() for name in ("protocol", "n_messages", "attempt", "status"))
-            for of, n, attempt, status in zip(*cells, strict=True):
-                protocol = max(filter(None, (protocol, of)), default=None)
-                n_messages = int(n) if n_messages is None else max(n_messages, int(n))
-                if attempt < C.MAX_ATTEMPTS and statuses[int(attempt)] == _UNKNOWN:
-                    statuses[int(attempt)] = int(status)
-        found = None if settled else settle(statuses)
-        self.batch.update((protocol, n_messages, settled or found is not None, *statuses))
-        if found is None:
-            return iter(())
-        names = [part.split()[0] for part in _SETTLED.split(", ")]
-        return iter([pd.DataFrame([(key[0], protocol, n_messages, *found)], columns=names)])
+            cells = (part[name].tolist() for name in ("batch_id", "protocol", "n_messages", "attempt", "status"))
+            for batch, of, n, attempt, status in zip(*cells, strict=True):
+                if batch not in arrived:
+                    arrived[batch] = list(known.get(batch, new))
+                state = arrived[batch]
+                state[0] = max(filter(None, (state[0], of)), default=None)
+                state[1] = int(n) if state[1] is None else max(state[1], int(n))
+                if attempt < C.MAX_ATTEMPTS and state[3 + int(attempt)] == _UNKNOWN:
+                    state[3 + int(attempt)] = int(status)
+        out = []
+        for batch, state in arrived.items():
+            protocol, n_messages, settled, *statuses, _ = state
+            found = None if settled else settle(statuses)
+            known[batch] = (protocol, n_messages, settled or found is not None, *statuses, now)
+            if found is not None:
+                out.append((batch, protocol, n_messages, *found))
+        self.batches.update(tuple(map(list, zip(*((batch, *state) for batch, state in known.items()), strict=True))))
+        if out:
+            names = [part.split()[0] for part in _SETTLED.split(", ")]
+            yield pd.DataFrame(out, columns=names)
 
 
 def delivery_outcomes(attempts: DataFrame, forget: float | None = FORGET) -> DataFrame:
@@ -73,4 +99,5 @@ def delivery_outcomes(attempts: DataFrame, forget: float | None = FORGET) -> Dat
         "batch_id", "protocol", F.coalesce("n_messages", F.lit(0)).alias("n_messages"), "attempt", F.coalesce("status", F.lit(0)).alias("status")
     )
     clock = "None" if forget is None else "ProcessingTime"
-    return judged(rows.groupBy("batch_id").transformWithStateInPandas(_Attempts(forget), _SETTLED, "Append", clock))
+    near = rows.withColumn("near", F.shiftright("batch_id", _NEIGHBOURS))
+    return judged(near.groupBy("near").transformWithStateInPandas(_Attempts(forget), _SETTLED, "Append", clock))

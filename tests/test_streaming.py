@@ -5,6 +5,7 @@ from __future__ import annotations
 import glob
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ from chargestream.operators import batching as B
 from chargestream.operators import sessions as S
 from chargestream.plans.flush import flush, prepare_ocpi, prepare_ocpi_per_client, prepare_ocpp
 from chargestream.sources import captures, sinks
-from chargestream.streaming import connections
+from chargestream.streaming import connections, delivery
 from chargestream.streaming import flush as sf
 from chargestream.streaming import manifest
 from chargestream.streaming.delivery import delivery_outcomes as streamed_outcomes
@@ -361,3 +362,44 @@ def test_batches_are_forgotten_by_the_machines_clock(spark, folder):
         time.sleep(0.3)
     query.stop()
     assert [(r.batch_id, r.outcome) for r in spark.table("outcomes").collect()] == [(1, "accepted")]
+
+
+def test_neighbouring_batches_are_one_read_and_write_of_state_and_forgotten_by_themselves():
+    class Handle:
+        held, calls = None, 0
+
+        def getValueState(self, name, schema, ttl):
+            return self
+
+        def get(self):
+            self.calls += 1
+            return self.held
+
+        def update(self, value):
+            self.calls += 1
+            self.held = value
+
+    class Clock:
+        now = 1_000
+
+        def getCurrentProcessingTimeInMs(self):
+            return self.now
+
+    handle, clock = Handle(), Clock()
+    attempts = delivery._Attempts(10.0)
+    attempts.init(handle)
+
+    def settled(*rows):
+        part = pd.DataFrame(rows, columns=["batch_id", "protocol", "n_messages", "attempt", "status"])
+        handle.calls = 0
+        found = [tuple(row) for out in attempts.handleInputRows((0,), iter([part]), clock) for row in out.itertuples(index=False)]
+        assert handle.calls == 2
+        return found
+
+    assert settled(*[(batch, "ocpi", 3, 0, 200 if batch % 2 else 502) for batch in range(100)]) == [(b, "ocpi", 3, 1, 200, True) for b in range(1, 100, 2)]
+    clock.now += 6_000
+    assert settled((1, "ocpi", 3, 1, 400), (2, "ocpi", 3, 1, 400)) == [(2, "ocpi", 3, 2, 400, True)]
+    clock.now += 6_000
+    # Batch 4 was not heard of for 12 seconds, batch 2 for 6.
+    assert settled((4, "ocpi", 3, 1, 200), (2, "ocpi", 3, 0, 200)) == []
+    assert sorted(handle.held[0]) == [1, 2, 4]
